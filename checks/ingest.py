@@ -68,9 +68,9 @@ def _(spark, sf):
             .select("trans_num", "age"))
 
 
-@query("filter_by_value", V.sql("select trans_num, state, amt from txn where state = 'CANADA'", "txn"))
+@query("filter_by_value", V.sql("select trans_num, state, amt from txn where state = 'NATION_3'", "txn"))
 def _(spark, sf):
-    return ops.filter_by_value(V.txn(spark, sf), "state", "CANADA").select("trans_num", "state", "amt")
+    return ops.filter_by_value(V.txn(spark, sf), "state", "NATION_3").select("trans_num", "state", "amt")
 
 
 @query("filter_out_of_range", V.sql("select trans_num, age from txn where age < 16 or age > 120", "txn"))
