@@ -38,7 +38,7 @@ def quantile_edges(counts: DataFrame, bins) -> DataFrame:
 def width_edges(counts: DataFrame, bins) -> DataFrame:
     """(feature, bins, i, edge): equal-width edges over the range of the reference."""
     span = counts.where("ref > 0").groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    each = span.withColumn("bins", F.explode(F.lit([int(b) for b in bins])).cast("bigint"))
+    each = span.withColumn("bins", F.explode(F.array(*[F.lit(int(b)).cast("bigint") for b in bins])))
     each = each.withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), "bins")))
     edge = F.when(F.col("i") == F.col("bins"), F.col("hi")).otherwise(
         F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("i") / F.col("bins")))
