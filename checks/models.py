@@ -6,6 +6,7 @@ from checks import views as V
 from checks.encoding import preprocess_sql
 from checks.registry import query
 from txnlens.operators import metrics, modelling as M, profiling, scoring, selection
+from txnlens.operators.features import add_log_features
 from txnlens.operators.splitting import train_test_xy
 from txnlens.plans import drift_watch, preprocess, training
 from txnlens.roles import BASE_NUMERICAL
@@ -18,9 +19,9 @@ CORR = " union all ".join(
 
 
 def ready(spark, sf):
-    """Model-ready early rows as a stored table, with the fitted parameters."""
+    """Model-ready early rows as a stored table of as many files as there are cores, and the parameters."""
     rows, fitted = preprocess.fit(V.ref_txn(spark, sf), rare_share=0.04)
-    return materialize(rows, "ready"), fitted
+    return materialize(rows.repartition(spark.sparkContext.defaultParallelism), "ready"), fitted
 
 
 def parts(spark, sf):
@@ -33,11 +34,20 @@ def _(spark, sf):
     return V.rounded(selection.correlation_matrix(V.txn(spark, sf), NUMERIC))
 
 
+HIGH_CORR = " union all ".join(f"""
+    select '{a}' as feature_a, '{b}' as feature_b, round(abs(corr({a}, {b})), 6) as abs_corr from logged"""
+    for a in [*NUMERIC, "log_amt", "log_city_pop", "born"] for b in [*NUMERIC, "log_amt", "log_city_pop", "born"])
+
+
 @query("high_corr_pairs", V.sql(f"""
-    select * from ({CORR}) where abs_corr > 0.7 and feature_a < feature_b""", "txn"))
-def _(spark, sf):
-    rows = V.txn(spark, sf).transform(lambda d: d.select("*", F.log1p("amt").alias("log_amt")))
-    return V.rounded(selection.high_corr_pairs(selection.correlation_matrix(rows, NUMERIC)))
+    with logged as (select * exclude (age, datetime), age as age, ln(1 + amt) as log_amt,
+                           ln(1 + city_pop) as log_city_pop, 2000 - age as born from ingested)
+    select * from ({HIGH_CORR}) where abs_corr > 0.7 and feature_a < feature_b""", "ingested"))
+def _(spark, sf):
+    # age is missing where the date of birth does not parse, so its pairs are taken over fewer rows
+    rows = add_log_features(V.ingested(spark, sf)).withColumn("born", 2000 - F.col("age"))
+    matrix = selection.correlation_matrix(rows, [*NUMERIC, "log_amt", "log_city_pop", "born"])
+    return V.rounded(selection.high_corr_pairs(matrix))
 
 
 ANOVA = " union all ".join(f"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from txnlens.operators.distribution import column_quantiles
-from txnlens.operators.lookup import join_lookup
+from txnlens.operators.lookup import join_lookup, lookup_sizes
 from txnlens.session import materialize
 
 SENTINEL = -9999
@@ -43,12 +43,13 @@ def fit_mode_lookup(df: DataFrame, keys=("city", "state"), value: str = "merch_z
 
 
 def impute_hierarchical(df: DataFrame, lookup: DataFrame, keys=("city", "state"),
-                        value: str = "merch_zipcode") -> DataFrame:
+                        value: str = "merch_zipcode", sizes: dict[str, int] | None = None) -> DataFrame:
     """Fill nulls from the first key that knows a value; what no key knows stays null."""
+    sizes = lookup_sizes(lookup, "level") if sizes is None else sizes
     out = df
     for k in keys:
         level = lookup.where(F.col("level") == k).select("key", F.col("mode").alias("_mode"))
-        out = join_lookup(out, level, k, "key")
+        out = join_lookup(out, level, k, "key", sizes.get(k, 0))
         out = out.withColumn(value, F.coalesce(F.col(value), F.col("_mode"))).drop("_mode")
     return out
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from txnlens.functions.dates import cycle
-from txnlens.operators.lookup import join_shares
+from txnlens.operators.lookup import join_shares, lookup_sizes
 from txnlens.roles import CYCLE_LENGTHS
 from txnlens.session import materialize
 
@@ -68,11 +68,15 @@ def fit_freq(df: DataFrame, columns, counts: DataFrame | None = None) -> DataFra
     return materialize(shares_of(counts.where(F.col("feature").isin(*columns))), "shares")
 
 
-def apply_freq(df: DataFrame, shares: DataFrame, columns) -> DataFrame:
-    """``<column>_freq`` for each column, 0 for unseen or missing values; sources are dropped."""
+def apply_freq(df: DataFrame, shares: DataFrame, columns, sizes: dict[str, int] | None = None) -> DataFrame:
+    """``<column>_freq`` for each column, 0 for unseen or missing values; sources are dropped.
+
+    ``sizes`` are the rows of ``shares`` per feature, counted here if not given.
+    """
+    sizes = lookup_sizes(shares, "feature") if sizes is None else sizes
     out = df
     for c in columns:
-        out = join_shares(out, shares.where(F.col("feature") == c), c, f"{c}_freq")
+        out = join_shares(out, shares.where(F.col("feature") == c), c, f"{c}_freq", sizes.get(c, 0))
     return out.drop(*columns)
 
 

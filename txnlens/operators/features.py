@@ -43,10 +43,10 @@ def fit_rare_labels(df: DataFrame, column: str = "state", threshold: float = RAR
     return materialize(shares.where(F.col("share") < threshold).select("feature", "value", "share"), "rare")
 
 
-def apply_rare_labels(df: DataFrame, rare: DataFrame, column: str = "state") -> DataFrame:
+def apply_rare_labels(df: DataFrame, rare: DataFrame, column: str = "state", rows: int | None = None) -> DataFrame:
     """``<column>_grouped``: rare labels become 'Other', all else, also null, stays."""
     marks = rare.where(F.col("feature") == column).select("value", F.lit(True).alias("_rare"))
-    joined = join_lookup(df, marks, column, "value")
+    joined = join_lookup(df, marks, column, "value", rows)
     grouped = F.when(F.col("_rare"), F.lit(OTHER)).otherwise(F.col(column))
     return joined.withColumn(f"{column}_grouped", grouped).drop("_rare")
 
@@ -63,15 +63,19 @@ def add_invalid_cc_num(df: DataFrame, column: str = "cc_num") -> DataFrame:
     return df.withColumn("invalid_cc_num", mismatches(column, CARD_PATTERN))
 
 
-def feature_engineering(df: DataFrame, rare: DataFrame, roles: Roles = Roles()) -> tuple[DataFrame, Roles]:
+def add_numeric_features(df: DataFrame) -> DataFrame:
+    return df.transform(add_distance).transform(add_log_features).transform(add_amt_per_km)
+
+
+def feature_engineering(df: DataFrame, rare: DataFrame, roles: Roles = Roles(),
+                        rare_rows: int | None = None) -> tuple[DataFrame, Roles]:
     """All derived features in their fixed order, with the roles they add.
 
     ``rare`` comes from :func:`fit_rare_labels` on training rows, so that scoring groups the same labels.
     """
     out = (
-        df.transform(add_distance).transform(add_calendar_parts).transform(add_is_weekend)
-        .transform(add_log_features).transform(add_amt_per_km)
-        .transform(lambda d: apply_rare_labels(d, rare)).transform(add_invalid_zip)
+        df.transform(add_numeric_features).transform(add_calendar_parts).transform(add_is_weekend)
+        .transform(lambda d: apply_rare_labels(d, rare, rows=rare_rows)).transform(add_invalid_zip)
     )
     added = roles.extended(
         numerical=("distance", "log_amt", "log_city_pop", "amt_per_km"),

@@ -9,22 +9,28 @@ HOT_SHARE = 1e-4
 _SPREAD = 4096
 
 
-def join_lookup(df: DataFrame, lookup: DataFrame, column: str, key: str,
+def lookup_sizes(lookup: DataFrame, by: str) -> dict[str, int]:
+    """Rows per lookup of a stored table that holds several of them."""
+    return {r[by]: r["n"] for r in lookup.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def join_lookup(df: DataFrame, lookup: DataFrame, column: str, key: str, rows: int | None = None,
                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add the lookup's value columns to every row; rows without a match get nulls.
 
-    ``lookup`` should be a stored table: it is counted here, and broadcast if it has at most ``broadcast_rows``. A larger one is joined by
-    shuffle, with rows that have no key spread over many partitions instead of meeting in one.
+    A lookup of at most ``broadcast_rows`` rows is broadcast; it is counted here if ``rows`` is not given, so
+    it should be a stored table. A larger one is joined by shuffle, with rows that have no key spread over
+    many partitions instead of meeting in one.
     """
     values = [c for c in lookup.columns if c != key]
     right = lookup.withColumnRenamed(key, "_lookup_key")
-    if right.count() <= broadcast_rows:
+    if (right.count() if rows is None else rows) <= broadcast_rows:
         joined = df.join(F.broadcast(right), F.col(column) == F.col("_lookup_key"), "left")
         return joined.drop("_lookup_key")
     return _spread_join(df, right, F.col(column), values)
 
 
-def join_shares(df: DataFrame, shares: DataFrame, column: str, out: str,
+def join_shares(df: DataFrame, shares: DataFrame, column: str, out: str, rows: int | None = None,
                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add ``out`` from a (value, share) table, 0 where the value is unknown or missing.
 
@@ -33,7 +39,7 @@ def join_shares(df: DataFrame, shares: DataFrame, column: str, out: str,
     such value can fill a partition.
     """
     right = shares.select(F.col("value").alias("_lookup_key"), F.col("share").alias(out))
-    if right.count() <= broadcast_rows:
+    if (right.count() if rows is None else rows) <= broadcast_rows:
         joined = df.join(F.broadcast(right), F.col(column) == F.col("_lookup_key"), "left").drop("_lookup_key")
         return joined.withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
     hot = right.where(F.col(out) >= HOT_SHARE).withColumnRenamed(out, "_hot")

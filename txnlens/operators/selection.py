@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.ml.classification import RandomForestClassifier
@@ -11,44 +12,62 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from txnlens.operators.ingest import drop_listed_features
+from txnlens.operators.profiling import columns_with_nulls
 from txnlens.roles import TARGET
 
 CORRELATION_LIMIT = 0.7
-_PAIRS_IN_ONE_PASS = 2000
+_PAIRS_IN_ONE_PASS = 200
+_PAIR_SCHEMA = "feature_a string, feature_b string, abs_corr double"
 
 
 def correlation_matrix(df: DataFrame, columns) -> DataFrame:
     """(feature_a, feature_b, abs_corr) for all ordered pairs, each over rows where both are present.
 
-    Null where a column is constant. Frames too wide for one aggregate use the vector correlation, which
-    needs data without nulls.
+    Null where a column is constant. Columns without nulls go through one distributed matrix product, which
+    also serves very wide frames; only pairs with a column that has nulls need aggregates of their own.
     """
     columns = list(columns)
-    pairs = list(combinations(columns, 2))
-    if len(pairs) > _PAIRS_IN_ONE_PASS:
-        return _wide_correlation(df, columns)
-    x = {c: F.col(c).cast("double") for c in columns}
+    x = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    holes = set(columns_with_nulls(x))
+    whole = [c for c in columns if c not in holes]
+    found = _vector_correlation(x, whole) if whole else {}
+    parts = [df.sparkSession.createDataFrame([(a, b, r) for (a, b), r in found.items()], _PAIR_SCHEMA)]
+    pairs = [(a, b) for a, b in combinations(columns, 2) if a in holes or b in holes]
+    parts += [_pairwise_correlation(x, pairs[i:i + _PAIRS_IN_ONE_PASS]) for i in range(0, len(pairs), _PAIRS_IN_ONE_PASS)]
+    if holes:
+        parts.append(_own_correlation(x, sorted(holes)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _vector_correlation(x: DataFrame, columns) -> dict[tuple[str, str], float | None]:
+    """The matrix has one cell per pair of columns and comes to the driver."""
+    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(x.select(*columns)).select("v")
+    m = Correlation.corr(vectors, "v").head()[0].toArray()
+    constant = {c for i, c in enumerate(columns) if all(m[i, j] != m[i, j] for j in range(len(columns)) if j != i)}
+    if len(columns) > 1:
+        return {(a, b): None if m[i, j] != m[i, j] or a in constant else abs(float(m[i, j]))
+                for i, a in enumerate(columns) for j, b in enumerate(columns)}
+    spread = x.agg(F.stddev_pop(columns[0])).first()[0]
+    return {(columns[0], columns[0]): 1.0 if spread else None}
+
+
+def _pairwise_correlation(x: DataFrame, pairs) -> DataFrame:
     # regr_r2(y, x) is null for a constant x and 1 for a constant y, so both directions are asked
-    aggs = [f(x[a], x[b]).alias(f"{side}_{i}") for i, (a, b) in enumerate(pairs)
-            for side, f in (("u", F.regr_r2), ("v", lambda p, q: F.regr_r2(q, p)))]
-    own = [F.stddev_pop(x[c]).alias(f"s_{i}") for i, c in enumerate(columns)]
-    one = df.agg(*aggs, *own)
+    one = x.agg(*[f.alias(f"{side}_{i}") for i, (a, b) in enumerate(pairs)
+                  for side, f in (("u", F.regr_r2(a, b)), ("v", F.regr_r2(b, a)))])
     cells = []
     for i, (a, b) in enumerate(pairs):
         r = F.sqrt(F.when(F.col(f"u_{i}").isNotNull() & F.col(f"v_{i}").isNotNull(), F.col(f"u_{i}")))
         cells += [F.struct(F.lit(p).alias("feature_a"), F.lit(q).alias("feature_b"), r.alias("abs_corr"))
                   for p, q in ((a, b), (b, a))]
-    cells += [F.struct(F.lit(c).alias("feature_a"), F.lit(c).alias("feature_b"),
-                       F.when(F.col(f"s_{i}") > 0, F.lit(1.0)).alias("abs_corr")) for i, c in enumerate(columns)]
     return one.select(F.inline(F.array(*cells)))
 
 
-def _wide_correlation(df: DataFrame, columns) -> DataFrame:
-    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(df.select(*columns))
-    m = Correlation.corr(vectors, "v").head()[0].toArray()
-    rows = [(a, b, None if m[i, j] != m[i, j] else abs(float(m[i, j])))
-            for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, abs_corr double")
+def _own_correlation(x: DataFrame, columns) -> DataFrame:
+    one = x.agg(*[F.stddev_pop(c).alias(c) for c in columns])
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature_a"), F.lit(c).alias("feature_b"),
+                 F.when(F.col(c) > 0, F.lit(1.0)).alias("abs_corr")) for c in columns])))
 
 
 def high_corr_pairs(matrix: DataFrame, limit: float = CORRELATION_LIMIT) -> DataFrame:
@@ -96,7 +115,7 @@ def _importances(df: DataFrame, vector: str, target: str, trees: int, depth: int
     return [float(x) for x in model.featureImportances.toArray()]
 
 
-def rf_importance(df: DataFrame, columns, target: str = TARGET, trees: int = 100, depth: int = 10,
+def rf_importance(df: DataFrame, columns, target: str = TARGET, trees: int = 100, depth: int = 5,
                   seed: int = 42) -> DataFrame:
     """(feature, importance) in descending order."""
     scores = _importances(assemble(df, columns, target), "features", target, trees, depth, seed)
@@ -104,7 +123,7 @@ def rf_importance(df: DataFrame, columns, target: str = TARGET, trees: int = 100
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
-def rfe(df: DataFrame, columns, n_features: int = 10, target: str = TARGET, trees: int = 100, depth: int = 10,
+def rfe(df: DataFrame, columns, n_features: int = 10, target: str = TARGET, trees: int = 100, depth: int = 5,
         seed: int = 42) -> DataFrame:
     """(feature, position): what is left after repeatedly dropping the least important column.
 
@@ -143,7 +162,7 @@ def combine_selections(importance: DataFrame, k_best: DataFrame, eliminated: Dat
 
 
 def select_features(df: DataFrame, columns, drifted=(), target: str = TARGET, method: str = "union", k_best: int = 10,
-                    n_features: int = 10, top_n: int = 10, trees: int = 100, depth: int = 10,
+                    n_features: int = 10, top_n: int = 10, trees: int = 100, depth: int = 5,
                     seed: int = 42) -> DataFrame:
     """Drop drifted columns, score the rest three ways on one stored frame, and combine."""
     stable = [c for c in drop_listed_features(df, drifted).columns if c in set(columns)]

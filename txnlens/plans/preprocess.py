@@ -1,8 +1,9 @@
 """The whole preprocessing chain as one fit and one apply.
 
 The fit reads the training rows four times: for the zip lookup, for the counts of all categorical columns,
-for the amount's quantile, and for means and deviations. Everything it learns is scalars or lookup tables,
-so the apply is a projection with lookup joins.
+for the amount's quantile, and for means and deviations. The numeric passes leave out the lookup joins, which
+they do not need. Everything learnt is scalars or stored lookup tables with known sizes, so the apply is one
+projection with lookup joins and starts no job of its own.
 """
 
 from __future__ import annotations
@@ -15,52 +16,51 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from txnlens import roles as R
 from txnlens.functions.dates import lenient_timestamp
 from txnlens.operators import cleaning, encoding, features, ingest
+from txnlens.operators.lookup import lookup_sizes
 from txnlens.roles import Roles
 from txnlens.session import materialize
 
 IDENTIFIERS = ("cc_num", "cc_num_hashed", "first_hashed", "last_hashed")
 EARLY_DROPS = ("merchant", "first")
+GROUPED = "state"
 
 
 @dataclass
 class Fitted:
-    """What :func:`fit` learnt. ``zip_modes``, ``rare`` and ``shares`` are stored tables."""
+    """What :func:`fit` learnt. ``zip_modes`` and ``shares`` are stored tables, ``*_sizes`` their rows by lookup."""
 
     zip_modes: DataFrame
-    rare: DataFrame
     shares: DataFrame
+    zip_sizes: dict[str, int]
+    share_sizes: dict[str, int]
+    rare_share: float
     amt_cap: float
     onehot: dict[str, list[str]]
     scaling: dict[str, tuple[float, float]]
     roles: Roles
 
+    @property
+    def rare(self) -> DataFrame:
+        """The labels grouped as 'Other'."""
+        return self.shares.where((F.col("feature") == GROUPED) & (F.col("share") < self.rare_share))
+
     def save(self, path: str) -> None:
         """Tables as Parquet, scalars as one JSON row, under ``path``."""
-        for name in ("zip_modes", "rare", "shares"):
+        for name in ("zip_modes", "shares"):
             getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
-        scalars = {"amt_cap": self.amt_cap, "onehot": self.onehot, "scaling": self.scaling,
-                   "roles": {k: getattr(self.roles, k) for k in self.roles.__dataclass_fields__}}
+        scalars = {n: getattr(self, n) for n in ("zip_sizes", "share_sizes", "rare_share", "amt_cap", "onehot", "scaling")}
+        scalars["roles"] = {k: getattr(self.roles, k) for k in self.roles.__dataclass_fields__}
         spark = self.shares.sparkSession
         spark.createDataFrame([(json.dumps(scalars),)], "value string").coalesce(1).write.mode("overwrite").text(
             f"{path}/scalars")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Fitted":
-        tables = {n: spark.read.parquet(f"{path}/{n}") for n in ("zip_modes", "rare", "shares")}
+        tables = {n: spark.read.parquet(f"{path}/{n}") for n in ("zip_modes", "shares")}
         s = json.loads(spark.read.text(f"{path}/scalars").first()["value"])
-        return cls(**tables, amt_cap=s["amt_cap"], onehot=s["onehot"],
-                   scaling={k: tuple(v) for k, v in s["scaling"].items()},
-                   roles=Roles(**{k: tuple(v) for k, v in s["roles"].items()}))
-
-
-def _clean(df: DataFrame, zip_modes: DataFrame) -> DataFrame:
-    """Impute first, flag what stays missing, and only then fill the sentinel."""
-    return (
-        _typed(df)
-        .transform(lambda d: cleaning.impute_hierarchical(d, zip_modes))
-        .transform(cleaning.missing_flag)
-        .transform(lambda d: cleaning.fill_sentinel(d, skip=(R.KEY, R.TARGET)))
-    )
+        s["scaling"] = {k: tuple(v) for k, v in s["scaling"].items()}
+        s["roles"] = Roles(**{k: tuple(v) for k, v in s["roles"].items()})
+        return cls(**tables, **s)
 
 
 def _typed(df: DataFrame) -> DataFrame:
@@ -68,22 +68,31 @@ def _typed(df: DataFrame) -> DataFrame:
     return ingest.ids_to_string(out, ("zip",)).transform(cleaning.cap_min)
 
 
-def clean_fit(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    zip_modes = cleaning.fit_mode_lookup(df)
-    return _clean(df, zip_modes), zip_modes
+def _filled(df: DataFrame) -> DataFrame:
+    return cleaning.fill_sentinel(df, skip=(R.KEY, R.TARGET))
 
 
-def _derive(df: DataFrame, rare: DataFrame, roles: Roles) -> tuple[DataFrame, Roles]:
-    out, roles = ingest.drop_columns(df, roles, EARLY_DROPS)
-    out, roles = features.feature_engineering(out, rare, roles)
-    return ingest.drop_columns(out, roles, IDENTIFIERS)
+def _clean(df: DataFrame, zip_modes: DataFrame, zip_sizes: dict[str, int]) -> DataFrame:
+    """Impute first, flag what stays missing, and only then fill the sentinel."""
+    imputed = cleaning.impute_hierarchical(_typed(df), zip_modes, sizes=zip_sizes)
+    return imputed.transform(cleaning.missing_flag).transform(_filled)
 
 
-def _encode(df: DataFrame, fitted: Fitted) -> DataFrame:
+def clean_fit(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cleaned rows, zip lookup)."""
+    zip_modes = cleaning.fit_mode_lookup(df)
+    return _clean(df, zip_modes, lookup_sizes(zip_modes, "level")), zip_modes
+
+
+def _encode(cleaned: DataFrame, fitted: Fitted) -> DataFrame:
+    """Features and encodings of cleaned rows."""
+    base, _ = ingest.drop_columns(cleaned, Roles(), EARLY_DROPS)
+    derived, _ = features.feature_engineering(base, fitted.rare, Roles(), fitted.share_sizes.get(GROUPED, 0))
+    derived, _ = ingest.drop_columns(derived, Roles(), IDENTIFIERS)
     return (
-        df.transform(lambda d: cleaning.apply_cap(d, fitted.amt_cap))
+        derived.transform(lambda d: cleaning.apply_cap(d, fitted.amt_cap))
         .transform(lambda d: encoding.apply_onehot(d, fitted.onehot, list(fitted.onehot)))
-        .transform(lambda d: encoding.apply_freq(d, fitted.shares, fitted.roles.high_cardinality))
+        .transform(lambda d: encoding.apply_freq(d, fitted.shares, fitted.roles.high_cardinality, fitted.share_sizes))
         .transform(encoding.cyclic_encode)
         .transform(lambda d: encoding.apply_standard(d, fitted.scaling))
     )
@@ -101,37 +110,44 @@ def _ordered(df: DataFrame, fitted: Fitted) -> DataFrame:
     return df.select(*kept, *model_columns(fitted))
 
 
-def _group_rare(counts: DataFrame, rare: DataFrame, column: str = "state") -> DataFrame:
-    """Counts of the grouped labels, from the counts of the plain ones."""
-    marks = rare.where(F.col("feature") == column).select("value", F.lit(True).alias("rare"))
-    plain = counts.where(F.col("feature") == column).join(marks, "value", "left")
-    label = F.when(F.col("rare"), F.lit(features.OTHER)).otherwise(F.col("value"))
-    return plain.groupBy(F.lit(f"{column}_grouped").alias("feature"), label.alias("value")).agg(F.sum("n").alias("n"))
+def _fitted_roles() -> Roles:
+    added = Roles().extended(numerical=("distance", "log_amt", "log_city_pop", "amt_per_km"),
+                             low_cardinality=("is_weekend", "invalid_zip"), high_cardinality=(f"{GROUPED}_grouped",))
+    return added.without((*EARLY_DROPS, *IDENTIFIERS))
+
+
+def _with_grouped(shares: DataFrame, rare_share: float) -> DataFrame:
+    """Add the shares of the grouped labels, which are sums of the shares of the plain ones."""
+    label = F.when(F.col("share") < rare_share, F.lit(features.OTHER)).otherwise(F.col("value"))
+    grouped = shares.where(F.col("feature") == GROUPED).groupBy(label.alias("value")).agg(
+        F.sum("n").alias("n"), F.sum("share").alias("share"))
+    return shares.unionByName(grouped.withColumn("feature", F.lit(f"{GROUPED}_grouped")))
 
 
 def fit(df: DataFrame, rare_share: float = features.RARE_SHARE, quantile: float = 0.99) -> tuple[DataFrame, Fitted]:
     """Learn all parameters on training rows; returns the model-ready rows and the parameters."""
-    cleaned, zip_modes = clean_fit(df)
+    roles = _fitted_roles()
+    zip_modes = cleaning.fit_mode_lookup(df)
+    zip_sizes = lookup_sizes(zip_modes, "level")
+    cleaned = _clean(df, zip_modes, zip_sizes)
+
     flagged = (cleaned.transform(features.add_calendar_parts).transform(features.add_is_weekend)
                .transform(features.add_invalid_zip))
-    plain = [c for c in (*R.LOW_CARDINALITY, "is_weekend", "invalid_zip", *R.HIGH_CARDINALITY) if c not in EARLY_DROPS]
+    plain = [c for c in roles.categorical if c != f"{GROUPED}_grouped"]
     counts = materialize(encoding.category_counts(flagged, plain), "counts")
-    rare = materialize(encoding.shares_of(counts.where(F.col("feature") == "state"))
-                       .where(F.col("share") < rare_share).select("feature", "value", "share"), "rare")
-    counts = counts.unionByName(_group_rare(counts, rare))
-    derived, roles = _derive(cleaned, rare, Roles())
-    categories = encoding.fit_onehot(derived, roles.low_cardinality, counts)
-    shares = encoding.fit_freq(derived, roles.high_cardinality, counts)
-    cap = float(cleaning.fit_quantile_cap(derived, "amt", quantile).first()["cap"])
-    capped = cleaning.apply_cap(derived, cap)
-    scaling = {r["feature"]: (r["mean"], r["std"])
-               for r in encoding.fit_standard(capped, roles.numerical).collect()}  # one row per column
-    onehot = encoding.onehot_plan(categories, roles.low_cardinality)
-    fitted = Fitted(zip_modes, rare, shares, cap, onehot, scaling, roles)
-    return _ordered(_encode(derived, fitted), fitted), fitted
+    shares = materialize(_with_grouped(encoding.shares_of(counts), rare_share), "shares")
+    onehot = encoding.onehot_plan(encoding.fit_onehot(df, roles.low_cardinality, shares), roles.low_cardinality)
+
+    numeric = features.add_numeric_features(_filled(_typed(df)))
+    cap = float(cleaning.fit_quantile_cap(numeric, "amt", quantile).first()["cap"])
+    scaling = {r["feature"]: (r["mean"], r["std"]) for r in encoding.fit_standard(
+        cleaning.apply_cap(numeric, cap), roles.numerical).collect()}  # one row per column
+
+    fitted = Fitted(zip_modes, shares, zip_sizes, lookup_sizes(shares, "feature"), rare_share, cap, onehot, scaling,
+                    roles)
+    return _ordered(_encode(cleaned, fitted), fitted), fitted
 
 
 def apply(df: DataFrame, fitted: Fitted) -> DataFrame:
     """The model-ready rows of new data under learnt parameters."""
-    derived, _ = _derive(_clean(df, fitted.zip_modes), fitted.rare, Roles())
-    return _ordered(_encode(derived, fitted), fitted)
+    return _ordered(_encode(_clean(df, fitted.zip_modes, fitted.zip_sizes), fitted), fitted)
