@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from txnlens.functions.dates import cycle
-from txnlens.operators.lookup import join_shares, lookup_sizes
+from txnlens.operators.lookup import join_lookup, lookup_sizes
 from txnlens.roles import CYCLE_LENGTHS
 from txnlens.session import materialize
 
@@ -76,8 +76,9 @@ def apply_freq(df: DataFrame, shares: DataFrame, columns, sizes: dict[str, int]
     sizes = lookup_sizes(shares, "feature") if sizes is None else sizes
     out = df
     for c in columns:
-        out = join_shares(out, shares.where(F.col("feature") == c), c, f"{c}_freq", sizes.get(c, 0))
-    return out.drop(*columns)
+        known = shares.where(F.col("feature") == c).select("value", F.col("share").alias(f"{c}_freq"))
+        out = join_lookup(out, known, c, "value", sizes.get(c, 0), f"{c}_freq")
+    return out.na.fill(0.0, [f"{c}_freq" for c in columns]).drop(*columns)
 
 
 def cyclic_encode(df: DataFrame, periods: dict[str, int] = CYCLE_LENGTHS) -> DataFrame:

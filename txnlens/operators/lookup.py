@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_ROWS = 1_000_000
 HOT_SHARE = 1e-4
@@ -15,42 +15,31 @@ def lookup_sizes(lookup: DataFrame, by: str) -> dict[str, int]:
 
 
 def join_lookup(df: DataFrame, lookup: DataFrame, column: str, key: str, rows: int | None = None,
-                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                share: str | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add the lookup's value columns to every row; rows without a match get nulls.
 
     A lookup of at most ``broadcast_rows`` rows is broadcast; it is counted here if ``rows`` is not given, so
-    it should be a stored table. A larger one is joined by shuffle, with rows that have no key spread over
-    many partitions instead of meeting in one.
+    it should be a stored table. A larger one is joined by shuffle, and rows that need no partner there are
+    spread over many partitions instead of meeting in one. If ``share`` names the column with each key's
+    share of the rows, keys with at least HOT_SHARE (there can be at most 1/HOT_SHARE of them) are broadcast,
+    so that no key left for the shuffle can fill a partition.
     """
     values = [c for c in lookup.columns if c != key]
     right = lookup.withColumnRenamed(key, "_lookup_key")
     if (right.count() if rows is None else rows) <= broadcast_rows:
-        joined = df.join(F.broadcast(right), F.col(column) == F.col("_lookup_key"), "left")
-        return joined.drop("_lookup_key")
-    return _spread_join(df, right, F.col(column), values)
-
-
-def join_shares(df: DataFrame, shares: DataFrame, column: str, out: str, rows: int | None = None,
-                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Add ``out`` from a (value, share) table, 0 where the value is unknown or missing.
-
-    For a table too large to broadcast, the values with a share of at least ``HOT_SHARE`` (there can be at
-    most 1/HOT_SHARE of them) are broadcast; only rows with a rarer value need the shuffled side, and no
-    such value can fill a partition.
-    """
-    right = shares.select(F.col("value").alias("_lookup_key"), F.col("share").alias(out))
-    if (right.count() if rows is None else rows) <= broadcast_rows:
-        joined = df.join(F.broadcast(right), F.col(column) == F.col("_lookup_key"), "left").drop("_lookup_key")
-        return joined.withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
-    hot = right.where(F.col(out) >= HOT_SHARE).withColumnRenamed(out, "_hot")
-    tail = right.where(F.col(out) < HOT_SHARE)
-    known = df.join(F.broadcast(hot), F.col(column) == F.col("_lookup_key"), "left").drop("_lookup_key")
-    rest = F.when(F.col("_hot").isNull(), F.col(column))
-    joined = _spread_join(known, tail, rest, [out])
-    return joined.withColumn(out, F.coalesce(F.col("_hot"), F.col(out), F.lit(0.0))).drop("_hot")
-
-
-def _spread_join(df: DataFrame, right: DataFrame, key, values) -> DataFrame:
+        return df.join(F.broadcast(right), F.col(column) == F.col("_lookup_key"), "left").drop("_lookup_key")
+    if share is None:
+        return _spread_join(df, right, F.col(column), values)
+    hot = right.where(F.col(share) >= HOT_SHARE).select("_lookup_key", *[F.col(v).alias(f"_hot_{v}") for v in values])
+    known = df.join(F.broadcast(hot), F.col(column) == F.col("_lookup_key"), "left")
+    rest = F.when(F.col("_lookup_key").isNull(), F.col(column))
+    joined = _spread_join(known.withColumn("_rest", rest).drop("_lookup_key"),
+                          right.where(F.col(share) < HOT_SHARE), F.col("_rest"), values)
+    return joined.withColumns({v: F.coalesce(f"_hot_{v}", v) for v in values}).drop(
+        "_rest", *[f"_hot_{v}" for v in values])
+
+
+def _spread_join(df: DataFrame, right: DataFrame, key: Column, values) -> DataFrame:
     """Shuffled left join; rows whose key is null go to partitions picked by a hash of the row."""
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
     slot = F.when(key.isNull(), F.pmod(row_hash, F.lit(_SPREAD)).cast("int")).otherwise(F.lit(-1))

@@ -74,7 +74,8 @@ def histogram_numeric(df: DataFrame, columns, bins: int = 50) -> DataFrame:
     def slot(c: str):
         low, high = bounds[c]
         width = (high - low) or 1.0
-        return F.least(F.floor((number[c] - low) / width * bins), F.lit(bins - 1).cast("bigint"))
+        at = F.floor((number[c] - low) / width * bins)
+        return F.when(at >= bins, F.lit(bins - 1).cast("bigint")).otherwise(at)
 
     used = list(bounds)
     long = df.select(*[slot(c).alias(c) for c in used]).unpivot([], used, "feature", "bin").where("bin is not null")

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from txnlens.operators.ingest import drop_listed_features
-from txnlens.operators.profiling import columns_with_nulls
 from txnlens.roles import TARGET
 
 CORRELATION_LIMIT = 0.7
@@ -28,14 +27,19 @@ def correlation_matrix(df: DataFrame, columns) -> DataFrame:
     """
     columns = list(columns)
     x = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    holes = set(columns_with_nulls(x))
-    whole = [c for c in columns if c not in holes]
-    found = _vector_correlation(x, whole) if whole else {}
+    # one row: nulls and spread per column
+    one = x.agg(*[F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(columns)],
+                *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(columns)]).first()
+    holes = {c for i, c in enumerate(columns) if one[f"n_{i}"]}
+    varying = {c for i, c in enumerate(columns) if one[f"s_{i}"]}
+    whole = [c for c in columns if c not in holes and c in varying]
+    found = {(a, b): None for a in columns for b in columns if not {a, b} <= varying}
+    found |= {(c, c): 1.0 for c in varying}
+    if len(whole) > 1:
+        found |= _vector_correlation(x, whole)
     parts = [df.sparkSession.createDataFrame([(a, b, r) for (a, b), r in found.items()], _PAIR_SCHEMA)]
-    pairs = [(a, b) for a, b in combinations(columns, 2) if a in holes or b in holes]
+    pairs = [(a, b) for a, b in combinations(columns, 2) if {a, b} & holes and {a, b} <= varying]
     parts += [_pairwise_correlation(x, pairs[i:i + _PAIRS_IN_ONE_PASS]) for i in range(0, len(pairs), _PAIRS_IN_ONE_PASS)]
-    if holes:
-        parts.append(_own_correlation(x, sorted(holes)))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -43,12 +47,7 @@ def _vector_correlation(x: DataFrame, columns) -> dict[tuple[str, str], float |
     """The matrix has one cell per pair of columns and comes to the driver."""
     vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(x.select(*columns)).select("v")
     m = Correlation.corr(vectors, "v").head()[0].toArray()
-    constant = {c for i, c in enumerate(columns) if all(m[i, j] != m[i, j] for j in range(len(columns)) if j != i)}
-    if len(columns) > 1:
-        return {(a, b): None if m[i, j] != m[i, j] or a in constant else abs(float(m[i, j]))
-                for i, a in enumerate(columns) for j, b in enumerate(columns)}
-    spread = x.agg(F.stddev_pop(columns[0])).first()[0]
-    return {(columns[0], columns[0]): 1.0 if spread else None}
+    return {(a, b): abs(float(m[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)}
 
 
 def _pairwise_correlation(x: DataFrame, pairs) -> DataFrame:
@@ -63,13 +62,6 @@ def _pairwise_correlation(x: DataFrame, pairs) -> DataFrame:
     return one.select(F.inline(F.array(*cells)))
 
 
-def _own_correlation(x: DataFrame, columns) -> DataFrame:
-    one = x.agg(*[F.stddev_pop(c).alias(c) for c in columns])
-    return one.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature_a"), F.lit(c).alias("feature_b"),
-                 F.when(F.col(c) > 0, F.lit(1.0)).alias("abs_corr")) for c in columns])))
-
-
 def high_corr_pairs(matrix: DataFrame, limit: float = CORRELATION_LIMIT) -> DataFrame:
     return matrix.where((F.col("abs_corr") > limit) & (F.col("feature_a") < F.col("feature_b")))
 
