@@ -69,3 +69,29 @@ def test_single_value(spark):
     df = spark.createDataFrame([(4.0,)], "x double")
     assert [r["value"] for r in D.column_quantiles(df, ["x"], [0.25, 0.99]).collect()] == [4.0, 4.0]
     assert Fraction(str(0.99)) == Fraction(99, 100)
+
+
+@pytest.mark.parametrize("accuracy, slack", [(10_000, 2.0), (20, 2.0), (20, 0.0)])
+def test_bracketed_quantiles_are_exact(sample, accuracy, slack):
+    """Also with a sketch too coarse to be right, where the values fall outside the brackets."""
+    df, a, b = sample
+    grid = [(i, 50) for i in range(51)] + [(i, 7) for i in range(8)]
+    sketch = D.estimate(df, ["a", "b"], grid, accuracy, slack)
+    got = {(r["feature"], r["num"], r["den"]): r["value"] for r in D.wide_quantiles(df, sketch, grid).collect()}
+    assert len(got) == 2 * len(grid)
+    for name, values in (("a", a), ("b", b)):
+        for num, den in grid:
+            assert got[name, num, den] == pytest.approx(np.percentile(values, 100 * num / den), abs=1e-9)
+
+
+def test_few_and_many_values_give_the_same_quantiles(sample):
+    df, _, _ = sample
+    rows = lambda many: sorted(map(tuple, D.column_quantiles(df, ["a", "b"], [0.1, 0.5, 0.99], many).collect()))
+    assert rows(10**9) == rows(0) == rows(100)
+
+
+def test_scanned_counts_at_points(sample):
+    df, a, _ = sample
+    points = [-1.0, 20.0, 20.005, float(a.max()), 1e9]
+    found = {r["value"]: (r["n_lt"], r["n_le"]) for r in D.scan_counts_at({"n": df}, {"a": points}).collect()}
+    assert found == {p: (int((a < p).sum()), int((a <= p).sum())) for p in points}

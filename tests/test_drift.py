@@ -39,6 +39,16 @@ def test_psi_matches_numpy(samples, edges):
     assert len(got) == 6
 
 
+@pytest.mark.parametrize("edges", ["quantiles", "width"])
+def test_scanned_psi_equals_counted_psi(samples, edges):
+    _, _, r, a = samples
+    rows = lambda many: {(x["feature"], x["bins"]): x["psi"] for x in
+                         D.psi_sweep(r, a, ["amt", "lat"], [5, 20, 50], edges, many_values=many).collect()}
+    counted, scanned, mixed = rows(10**9), rows(0), rows(100)
+    assert len(counted) == 6
+    assert scanned == pytest.approx(counted, abs=1e-12) and mixed == pytest.approx(counted, abs=1e-12)
+
+
 def test_psi_of_a_sample_with_itself_is_zero(samples):
     _, _, r, _ = samples
     assert all(abs(x["psi_score"]) < 1e-12 for x in D.psi(r, r, ["amt", "lat"]).collect())

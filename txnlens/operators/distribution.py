@@ -1,24 +1,37 @@
 """Exact distributions of numeric columns: value counts, running counts, quantiles, counts below a point.
 
-Every operator starts from the counts of distinct values, so a value that fills a third of the table is one
+Most operators start from the counts of distinct values, so a value that fills a third of the table is one
 row here. Running counts are taken inside value ranges of bounded size and then shifted by the totals of the
 ranges before them, so no task ever holds all values of a column.
+
+Columns with very many distinct values are not shuffled at all: a sketch brackets each wanted quantile, one
+more pass keeps the values inside the brackets and only counts those between them, and the exact quantile is
+picked from what was kept.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from fractions import Fraction
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txnlens.session import materialize
 
 ROWS_PER_RANGE = 1_000_000
+MANY_VALUES = 20_000_000
+SKETCH_ACCURACY = 10_000
 _RANK_BINS = 1024
 
 
+def number(column: str) -> Column:
+    """The column as a double, with NaN as null."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+
+
 def numeric_counts(samples: dict[str, DataFrame], columns) -> DataFrame:
     """(feature, value, one count per sample) over all distinct values, as a stored table.
 
@@ -97,12 +110,14 @@ def totals(counts: DataFrame, names) -> DataFrame:
 
 
 def quantiles(counts: DataFrame, name: str, grid, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """(feature, num, den, value): linearly interpolated quantiles at the fractions num/den.
+    """(feature, num, den, value, sure): linearly interpolated quantiles at the fractions num/den.
 
     A fraction falls between two ranks; the rows that hold these ranks are found by an equi-join on
-    coarse rank bins, so the cost per row does not grow with the number of fractions.
+    coarse rank bins, so the cost per row does not grow with the number of fractions. If ``counts`` has a
+    ``gap`` column, a quantile that falls on a gap row is not ``sure``.
     """
-    rows = (running_counts(counts.select("feature", "value", name), [name], rows_per_range)
+    gap = F.col("gap") if "gap" in counts.columns else F.lit(False)
+    rows = (running_counts(counts.select("feature", "value", name, gap.alias("gap")), [name], rows_per_range)
             .where(F.col(name) > 0))
     size = totals(counts, [name]).withColumnRenamed(f"{name}_total", "total").where("total > 0")
     width = F.expr(f"greatest(1, total div {_RANK_BINS})")
@@ -125,27 +140,131 @@ def quantiles(counts: DataFrame, name: str, grid, rows_per_range: int = ROWS_PER
     )
     spans = (
         rows.join(F.broadcast(size), "feature")
-        .select("feature", "value", (F.col(f"{name}_to") - F.col(name)).alias("start"),
+        .select("feature", "value", "gap", (F.col(f"{name}_to") - F.col(name)).alias("start"),
                 (F.col(f"{name}_to") - 1).alias("stop"), width.alias("width"))
         .withColumn("bin", F.explode(F.expr("sequence(start div width, stop div width)")))
     )
     hits = spans.join(F.broadcast(ranks), ["feature", "bin"]).where("rank between start and stop")
     picked = hits.groupBy("feature", "num", "den", "part").agg(
         F.max(F.when(F.col("side") == "low", F.col("value"))).alias("a"),
-        F.max(F.when(F.col("side") == "high", F.col("value"))).alias("b"))
-    return picked.select("feature", "num", "den", F.expr("a + (b - a) * part").alias("value"))
+        F.max(F.when(F.col("side") == "high", F.col("value"))).alias("b"), (~F.max("gap")).alias("sure"))
+    return picked.select("feature", "num", "den", F.expr("a + (b - a) * part").alias("value"), "sure")
+
+
+@dataclass(frozen=True)
+class Estimate:
+    """What one sketch pass tells about a column: its distinct values and a bracket around each quantile."""
+
+    distinct: int
+    brackets: list[tuple[float, float]]
+
+
+def estimate(df: DataFrame, columns, grid, accuracy: int = SKETCH_ACCURACY, slack: float = 2.0) -> dict[str, Estimate]:
+    """Sketch all columns in one pass. A sketched quantile is off by at most 1/accuracy of the ranks, so
+    brackets of ``slack`` times that hold the exact ones; overlapping brackets are merged."""
+    off = slack / accuracy
+    shares = sorted({min(1.0, max(0.0, a / b + d)) for a, b in grid for d in (-off, off)})
+    # one row; the arrays are as long as the grid
+    one = df.agg(*[F.approx_count_distinct(number(c)).alias(f"d_{i}") for i, c in enumerate(columns)],
+                 *[F.percentile_approx(number(c), shares, accuracy).alias(f"q_{i}") for i, c in enumerate(columns)]
+                 ).first()
+    found = {}
+    for i, c in enumerate(columns):
+        at = dict(zip(shares, one[f"q_{i}"] or []))
+        merged: list[tuple[float, float]] = []
+        for a, b in sorted(grid, key=lambda g: g[0] / g[1]):
+            if not at:
+                break
+            low, high = at[max(0.0, a / b - off)], at[min(1.0, a / b + off)]
+            if merged and low <= math.nextafter(merged[-1][1], math.inf):
+                merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+            else:
+                merged.append((low, high))
+        found[c] = Estimate(one[f"d_{i}"], merged)
+    return found
 
 
-def column_quantiles(df: DataFrame, columns, probabilities) -> DataFrame:
+def _bucketed(df: DataFrame, splits: dict[str, list[float]], keep=()) -> DataFrame:
+    """(keep.., feature, value, k): the bucket of each value among its column's ascending split points."""
+    columns = list(splits)
+    rows = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
+    ks = [f"_k_{i}" for i in range(len(columns))]
+    placed = Bucketizer(splitsArray=[splits[c] for c in columns], inputCols=columns, outputCols=ks,
+                        handleInvalid="keep").transform(rows)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(k).alias("k"))
+                                for c, k in zip(columns, ks)]))
+    long = placed.select(*keep, cells.alias("cell")).select(*keep, "cell.*")
+    return long.where(F.col("value").isNotNull() & ~F.isnan("value")).withColumn("k", F.col("k").cast("int"))
+
+
+def bracket_counts(df: DataFrame, brackets: dict[str, list[tuple[float, float]]]) -> DataFrame:
+    """Stored (feature, value, n, gap): counts of the values inside the brackets and one row per gap between."""
+    inf = math.inf
+    splits = {c: [-inf, *[x for low, high in b for x in (low, math.nextafter(high, inf))], inf]
+              for c, b in brackets.items()}
+    rows = _bucketed(df, splits)
+    # bucket 2i+1 is bracket i; a gap row stands at the split below it
+    gap = F.col("k") % 2 == 0
+    rows = rows.select("feature", "k", F.when(~gap, F.col("value")).alias("value"), gap.alias("gap"))
+    counts = rows.groupBy("feature", "k", "value", "gap").agg(F.count(F.lit(1)).alias("n"))
+    starts = df.sparkSession.createDataFrame([(c, i, x) for c, s in splits.items() for i, x in enumerate(s[:-1])],
+                                             "feature string, k int, start double")
+    return materialize(counts.join(F.broadcast(starts), ["feature", "k"]).select(
+        "feature", F.coalesce("value", "start").alias("value"), "n", "gap"), "counts")
+
+
+def wide_quantiles(df: DataFrame, estimates: dict[str, Estimate], grid) -> DataFrame:
+    """Exact quantiles of columns with very many values from two scans and no shuffle of the values."""
+    brackets = {c: e.brackets for c, e in estimates.items() if e.brackets}
+    if not brackets:
+        return df.sparkSession.createDataFrame([], "feature string, num bigint, den bigint, value double")
+    found = materialize(quantiles(bracket_counts(df, brackets), "n", grid), "quantiles")
+    unsure = [r["feature"] for r in found.where("not sure").select("feature").distinct().collect()]  # column names
+    exact = found.drop("sure")
+    if unsure:
+        again = quantiles(numeric_counts({"n": df}, unsure), "n", grid).drop("sure")
+        exact = exact.where(~F.col("feature").isin(unsure)).unionByName(again)
+    return exact
+
+
+def column_quantiles(df: DataFrame, columns, probabilities, many_values: int = MANY_VALUES) -> DataFrame:
     """(feature, prob, value) for plain probabilities such as 0.25 or 0.99."""
-    grid = {float(p): Fraction(str(p)) for p in probabilities}
-    counts = numeric_counts({"n": df}, columns)
-    found = quantiles(counts, "n", [(f.numerator, f.denominator) for f in grid.values()])
+    fractions = {float(p): Fraction(str(p)) for p in probabilities}
+    grid = [(f.numerator, f.denominator) for f in fractions.values()]
+    sketch = estimate(df, columns, grid)
+    few = [c for c in columns if sketch[c].distinct <= many_values]
+    wide = {c: e for c, e in sketch.items() if c not in few}
+    parts = [quantiles(numeric_counts({"n": df}, few), "n", grid).drop("sure")] if few else []
+    parts += [wide_quantiles(df, wide, grid)] if wide else []
+    found = reduce(DataFrame.unionByName, parts)
     prob = F.coalesce(*[F.when((F.col("num") == f.numerator) & (F.col("den") == f.denominator), F.lit(p))
-                        for p, f in grid.items()])
+                        for p, f in fractions.items()])
     return found.select("feature", prob.alias("prob"), "value")
 
 
+def scan_counts_at(samples: dict[str, DataFrame], points: dict[str, list[float]]) -> DataFrame:
+    """Like :func:`counts_at`, by one scan that counts each row's bucket among the points."""
+    names = list(samples)
+    splits = {c: [-math.inf, *sorted({y for x in xs for y in (x, math.nextafter(x, math.inf))}), math.inf]
+              for c, xs in points.items()}
+    flagged = [df.select(*[F.lit(int(n == o)).cast("bigint").alias(o) for o in names], *points)
+               for n, df in samples.items()]
+    counts = _bucketed(reduce(DataFrame.unionByName, flagged), splits, names).groupBy("feature", "k").agg(
+        *[F.sum(n).alias(n) for n in names])
+    spark = counts.sparkSession
+    # as many rows as split points
+    grid = spark.createDataFrame([(c, k, x) for c, s in splits.items() for k, x in enumerate(s[1:])],
+                                 "feature string, k int, upto double")
+    w = Window.partitionBy("feature").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    below = grid.join(counts, ["feature", "k"], "left").select(
+        "feature", "upto", *[F.sum(F.coalesce(n, F.lit(0))).over(w).alias(n) for n in names])
+    wanted = spark.createDataFrame([(c, x, math.nextafter(x, math.inf)) for c, xs in points.items() for x in set(xs)],
+                                   "feature string, value double, after double")
+    lt = below.select("feature", F.col("upto").alias("value"), *[F.col(n).alias(f"{n}_lt") for n in names])
+    le = below.select("feature", F.col("upto").alias("after"), *[F.col(n).alias(f"{n}_le") for n in names])
+    return wanted.join(lt, ["feature", "value"]).join(le, ["feature", "after"]).drop("after")
+
+
 def counts_at(counts: DataFrame, points: DataFrame, names, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """(feature, value, ``<name>_lt``, ``<name>_le``): counts below, and up to, each point."""
     distinct = points.select("feature", "value").distinct()

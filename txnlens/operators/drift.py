@@ -8,7 +8,8 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame, Window, functions as F
 
 from txnlens.functions.stats import half_kl, ks_p_value, psi_term
-from txnlens.operators.distribution import counts_at, numeric_counts, quantiles, running_counts, totals
+from txnlens.operators.distribution import (MANY_VALUES, Estimate, counts_at, estimate, number, numeric_counts, quantiles,
+                                            running_counts, scan_counts_at, totals, wide_quantiles)
 from txnlens.operators.encoding import apply_standard, category_counts, fit_standard, shares_of
 from txnlens.operators.rowindex import with_row_index
 from txnlens.roles import DRIFT_CATEGORICAL, DRIFT_NUMERICAL, EVENT_TIME, KEY
@@ -31,13 +32,20 @@ def sample_counts(ref: DataFrame, ana: DataFrame, columns=DRIFT_NUMERICAL) -> Da
 def quantile_edges(counts: DataFrame, bins) -> DataFrame:
     """(feature, bins, i, edge) for i = 0..bins: interpolated percentiles of the reference."""
     grid = [(i, b) for b in bins for i in range(b + 1)]
-    edges = quantiles(counts, "ref", grid)
-    return edges.select("feature", F.col("den").alias("bins"), F.col("num").alias("i"), F.col("value").alias("edge"))
+    return _named_edges(quantiles(counts, "ref", grid))
+
+
+def _named_edges(found: DataFrame) -> DataFrame:
+    return found.select("feature", F.col("den").alias("bins"), F.col("num").alias("i"), F.col("value").alias("edge"))
 
 
 def width_edges(counts: DataFrame, bins) -> DataFrame:
     """(feature, bins, i, edge): equal-width edges over the range of the reference."""
     span = counts.where("ref > 0").groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    return _span_edges(span, bins)
+
+
+def _span_edges(span: DataFrame, bins) -> DataFrame:
     each = span.withColumn("bins", F.explode(F.array(*[F.lit(int(b)).cast("bigint") for b in bins])))
     each = each.withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), "bins")))
     edge = F.when(F.col("i") == F.col("bins"), F.col("hi")).otherwise(
@@ -46,36 +54,80 @@ def width_edges(counts: DataFrame, bins) -> DataFrame:
 
 
 def psi_from_edges(counts: DataFrame, edges: DataFrame) -> DataFrame:
-    """(feature, bins, psi): half-open bins, the last one closed.
+    """(feature, bins, psi) from value counts and bin edges."""
+    edges = materialize(edges, "edges")
+    below = counts_at(counts, edges.withColumnRenamed("edge", "value"), SAMPLES)
+    return _psi_scores(edges, below, totals(counts, SAMPLES))
 
-    A bin's count is the difference of the counts below its edges, so all bin numbers share one pass over
-    the values. Values outside the reference range are in no bin but stay in the denominator.
+
+def _psi_scores(edges: DataFrame, below: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Half-open bins, the last one closed; a bin's count is the difference of the counts below its edges.
+
+    All bin numbers share the one table of counts. Values outside the reference range are in no bin but stay
+    in the denominator.
     """
-    edges = materialize(edges, "edges")
-    below = counts_at(counts, edges.withColumnRenamed("edge", "value"), SAMPLES).withColumnRenamed("value", "edge")
     # at most one row per feature and distinct edge
-    placed = edges.join(F.broadcast(below), ["feature", "edge"])
+    placed = edges.join(F.broadcast(below.withColumnRenamed("value", "edge")), ["feature", "edge"])
     w = Window.partitionBy("feature", "bins").orderBy("i")
     last = F.col("i") + 1 == F.col("bins")
     for s in SAMPLES:
         upper = F.when(last, F.lead(f"{s}_le").over(w)).otherwise(F.lead(f"{s}_lt").over(w))
         placed = placed.withColumn(f"{s}_in", upper - F.col(f"{s}_lt"))
-    bins = placed.where("i < bins").join(F.broadcast(totals(counts, SAMPLES)), "feature")
+    bins = placed.where("i < bins").join(F.broadcast(sizes), "feature")
     term = psi_term(F.col("ref_in") / F.col("ref_total"), F.col("ana_in") / F.col("ana_total"))
     return bins.groupBy("feature", "bins").agg(F.sum(term).alias("psi"))
 
 
-def psi(ref: DataFrame, ana: DataFrame, columns=DRIFT_NUMERICAL, bins: int = 50, edges: str = "quantiles") -> DataFrame:
+def _wide_psi(ref: DataFrame, ana: DataFrame, sketch: dict[str, Estimate], bins, edges: str) -> DataFrame:
+    """PSI of columns with very many values: the values are scanned, never shuffled."""
+    columns = list(sketch)
+    if edges == "width":
+        # one row per column
+        one = ref.agg(*[F.min(number(c)).alias(f"lo_{c}") for c in columns],
+                      *[F.max(number(c)).alias(f"hi_{c}") for c in columns])
+        cuts = _span_edges(one.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("feature"), F.col(f"lo_{c}").alias("lo"), F.col(f"hi_{c}").alias("hi"))
+            for c in columns]))).where("lo is not null"), bins)
+    else:
+        cuts = _named_edges(wide_quantiles(ref, sketch, [(i, b) for b in bins for i in range(b + 1)]))
+    cuts = materialize(cuts, "edges")
+    points: dict[str, list[float]] = {}
+    for r in cuts.select("feature", "edge").distinct().collect():  # at most the grid per column
+        points.setdefault(r["feature"], []).append(r["edge"])
+    below = scan_counts_at({"ref": ref, "ana": ana}, points)
+    counted = [df.agg(*[F.count(number(c)).alias(c) for c in points]).unpivot([], list(points), "feature", f"{s}_total")
+               for s, df in (("ref", ref), ("ana", ana))]
+    return _psi_scores(cuts, below, counted[0].join(counted[1], "feature"))
+
+
+def psi(ref: DataFrame, ana: DataFrame, columns=DRIFT_NUMERICAL, bins: int = 50, edges: str = "quantiles",
+        many_values: int = MANY_VALUES) -> DataFrame:
     """(feature, psi_score) with one number of bins for all columns; ``edges`` is 'quantiles' or 'width'."""
-    return psi_sweep(ref, ana, columns, [bins], edges).select("feature", F.col("psi").alias("psi_score"))
+    return psi_sweep(ref, ana, columns, [bins], edges, None, many_values).select(
+        "feature", F.col("psi").alias("psi_score"))
 
 
 def psi_sweep(ref: DataFrame, ana: DataFrame, columns=DRIFT_NUMERICAL, bins=range(5, 51), edges: str = "quantiles",
-              counts: DataFrame | None = None) -> DataFrame:
-    """(feature, bins, psi) for every number of bins."""
-    counts = sample_counts(ref, ana, columns) if counts is None else counts
+              counts: DataFrame | None = None, many_values: int = MANY_VALUES) -> DataFrame:
+    """(feature, bins, psi) for every number of bins.
+
+    Columns whose distinct values would make a large shuffle are sketched and scanned instead, with the same
+    result. ``counts`` are the value counts of both samples if they are at hand.
+    """
+    bins = [int(b) for b in bins]
     make = {"quantiles": quantile_edges, "width": width_edges}[edges]
-    return psi_from_edges(counts, make(counts, list(bins)))
+    if counts is not None:
+        return psi_from_edges(counts, make(counts, bins))
+    sketch = estimate(ref, columns, [(i, b) for b in bins for i in range(b + 1)])
+    few = [c for c in columns if sketch[c].distinct <= many_values]
+    wide = {c: sketch[c] for c in columns if c not in few}
+    parts = []
+    if few:
+        counts = sample_counts(ref, ana, few)
+        parts.append(psi_from_edges(counts, make(counts, bins)))
+    if wide:
+        parts.append(_wide_psi(ref, ana, wide, bins, edges))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def knee_bins(sweep: DataFrame, sensitivity: float = 1.0) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from txnlens.operators.distribution import column_quantiles, numeric_counts, quantiles
+from txnlens.operators.distribution import column_quantiles, number, numeric_counts, quantiles
 from txnlens.operators.encoding import category_counts, shares_of
 
 QUARTILES = ((1, 4), (1, 2), (3, 4))
@@ -65,16 +65,15 @@ def histogram_numeric(df: DataFrame, columns, bins: int = 50) -> DataFrame:
     Bins without a value are listed with 0.
     """
     columns = list(columns)
-    number = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
     # one row per column
-    edges = _to_rows(df.agg(*[F.min(number[c]).alias(f"{c}__low") for c in columns],
-                            *[F.max(number[c]).alias(f"{c}__high") for c in columns]), columns, ["low", "high"])
+    edges = _to_rows(df.agg(*[F.min(number(c)).alias(f"{c}__low") for c in columns],
+                            *[F.max(number(c)).alias(f"{c}__high") for c in columns]), columns, ["low", "high"])
     bounds = {r["column_name"]: (r["low"], r["high"]) for r in edges.collect() if r["low"] is not None}
 
     def slot(c: str):
         low, high = bounds[c]
         width = (high - low) or 1.0
-        at = F.floor((number[c] - low) / width * bins)
+        at = F.floor((number(c) - low) / width * bins)
         return F.when(at >= bins, F.lit(bins - 1).cast("bigint")).otherwise(at)
 
     used = list(bounds)
@@ -105,8 +104,7 @@ def describe_table(df: DataFrame, columns=None) -> DataFrame:
     """count, mean, sample deviation, minimum, exact quartiles and maximum per numeric column."""
     columns = list(columns or numeric_columns(df))
     fields = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min_value": F.min, "max_value": F.max}
-    number = {c: F.col(c).cast("double") for c in columns}
-    one = df.agg(*[f(number[c]).alias(f"{c}__{name}") for c in columns for name, f in fields.items()])
+    one = df.agg(*[f(F.col(c).cast("double")).alias(f"{c}__{name}") for c in columns for name, f in fields.items()])
     moments = _to_rows(one, columns, list(fields)).withColumnRenamed("column_name", "feature")
     counts = numeric_counts({"n": df}, columns)
     return moments.join(_quartile_columns(counts), "feature", "left")
