@@ -97,3 +97,17 @@ def test_histogram_closes_last_bin(spark):
     assert got == {0: 2, 1: 1, 2: 0, 3: 0, 4: 2}
     constant = spark.createDataFrame([(3.0,), (3.0,)], "x double")
     assert {r["bin"]: r["n"] for r in profiling.histogram_numeric(constant, ["x"], 2).collect()} == {0: 2, 1: 0}
+
+
+def test_ingest_and_validate_job(spark, sf_dir):
+    from checks import views as V
+    from txnlens.plans.ingest import ingest_and_validate
+
+    raw = V.raw_txn(spark, sf_dir)
+    reference, analysis, report = ingest_and_validate(raw)
+    n = raw.count()
+    assert reference.count() + analysis.count() == n and abs(analysis.count() - 0.2 * n) <= 2
+    rows = {(r["expectation"], r["column_name"]): r for r in report.collect()}
+    assert len(rows) == 57
+    assert rows[Q.UNIQUE, "trans_num"]["success"] and rows[Q.UNIQUE, "trans_num"]["element_count"] == analysis.count()
+    assert not rows[Q.IN_SET, "state"]["success"] and not rows[Q.REGEX, "zip"]["success"]

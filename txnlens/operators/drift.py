@@ -11,6 +11,7 @@ from txnlens.functions.stats import half_kl, ks_p_value, psi_term
 from txnlens.operators.distribution import (MANY_VALUES, Estimate, counts_at, estimate, number, numeric_counts, quantiles,
                                             running_counts, scan_counts_at, totals, wide_quantiles)
 from txnlens.operators.encoding import apply_standard, category_counts, fit_standard, shares_of
+from txnlens.operators.lookup import join_lookup
 from txnlens.operators.rowindex import with_row_index
 from txnlens.roles import DRIFT_CATEGORICAL, DRIFT_NUMERICAL, EVENT_TIME, KEY
 from txnlens.session import materialize
@@ -229,18 +230,19 @@ def dataset_drift_share(tests: DataFrame, share: float = DRIFT_SHARE) -> DataFra
 def js_distances(parts: DataFrame, reference: DataFrame, by) -> DataFrame:
     """(by.., feature, distance): Jensen-Shannon distance, base 2, of each group from the reference.
 
-    ``parts`` holds (by.., feature, value, n), ``reference`` (feature, value, share). A value only the
-    reference has adds half its share, so those values enter as one difference and are never listed.
+    ``parts`` holds (by.., feature, value, n), ``reference`` is a stored table (feature, value, share). A value
+    only the reference has adds half its share, so those values enter as one difference and are never listed.
+    A value that occurs in every group is frequent in the reference as well, and its share is broadcast.
     """
     by = list(by)
     size = parts.groupBy(*by, "feature").agg(F.sum("n").alias("size"))
-    shares = parts.join(size, [*by, "feature"]).join(
-        reference.select("feature", "value", F.col("share").alias("q")), ["feature", "value"], "left")
-    shares = shares.select(*by, "feature", (F.col("n") / F.col("size")).alias("p"),
-                           F.coalesce("q", F.lit(0.0)).alias("q"))
-    p, q = F.col("p"), F.col("q")
-    one = shares.groupBy(*by, "feature").agg(
-        (F.sum(half_kl(p, q) + half_kl(q, p)) + (1 - F.sum("q")) / 2).alias("js"))
+    item = F.concat_ws("\u0001", "feature", "value").alias("item")
+    known = reference.select(item, F.col("share").alias("q"))
+    shares = join_lookup(parts.join(size, [*by, "feature"]).select(*by, "feature", "n", "size", item), known, "item",
+                         "item", share="q")
+    p, q = F.col("n") / F.col("size"), F.coalesce("q", F.lit(0.0))
+    one = shares.select(*by, "feature", p.alias("p"), q.alias("q")).groupBy(*by, "feature").agg(
+        (F.sum(half_kl(F.col("p"), F.col("q")) + half_kl(F.col("q"), F.col("p"))) + (1 - F.sum("q")) / 2).alias("js"))
     return one.select(*by, "feature", F.sqrt(F.when(F.col("js") > 0, F.col("js")).otherwise(0.0)).alias("distance"))
 
 

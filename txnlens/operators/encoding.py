@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from txnlens.functions.dates import cycle
 from txnlens.operators.lookup import join_lookup, lookup_sizes
@@ -27,11 +27,19 @@ def shares_of(counts: DataFrame) -> DataFrame:
 
 
 def fit_onehot(df: DataFrame, columns, counts: DataFrame | None = None) -> DataFrame:
-    """(feature, value, position): the categories of each column in ascending order, from 1."""
+    """(feature, value, position): the categories of each column in ascending order, from 1.
+
+    Refuses columns that are not low-cardinality before any list is built.
+    """
     counts = category_counts(df, columns) if counts is None else counts
-    by_value = Window.partitionBy("feature").orderBy("value")
-    return counts.where(F.col("feature").isin(*columns)).select(
-        "feature", "value", F.row_number().over(by_value).alias("position"))
+    limit = MAX_ONEHOT * len(columns)
+    rows = counts.where(F.col("feature").isin(*columns)).select("feature", "value").take(limit + 1)
+    listed = {c: sorted(r["value"] for r in rows if r["feature"] == c) for c in columns}
+    if len(rows) > limit or any(len(v) > MAX_ONEHOT for v in listed.values()):
+        raise ValueError(f"a one-hot column has more than {MAX_ONEHOT} categories; use frequency encoding")
+    return df.sparkSession.createDataFrame(
+        [(c, v, i) for c, values in listed.items() for i, v in enumerate(values, 1)],
+        "feature string, value string, position int")
 
 
 def onehot_name(column: str, value: str) -> str:
@@ -39,13 +47,9 @@ def onehot_name(column: str, value: str) -> str:
 
 
 def onehot_plan(categories: DataFrame, columns) -> dict[str, list[str]]:
-    """The categories by column, brought to the driver; refuses columns that are not low-cardinality."""
-    limit = MAX_ONEHOT * len(columns)
-    rows = categories.where(F.col("feature").isin(*columns)).orderBy("feature", "position").take(limit + 1)
-    plan = {c: [r["value"] for r in rows if r["feature"] == c] for c in columns}
-    if len(rows) > limit or any(len(v) > MAX_ONEHOT for v in plan.values()):
-        raise ValueError(f"a one-hot column has more than {MAX_ONEHOT} categories; use frequency encoding")
-    return plan
+    """The fitted categories by column, at most MAX_ONEHOT each."""
+    rows = sorted(categories.collect(), key=lambda r: r["position"])
+    return {c: [r["value"] for r in rows if r["feature"] == c] for c in columns}
 
 
 def apply_onehot(df: DataFrame, categories: DataFrame | dict, columns) -> DataFrame:

@@ -106,8 +106,10 @@ def describe_table(df: DataFrame, columns=None) -> DataFrame:
     fields = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min_value": F.min, "max_value": F.max}
     one = df.agg(*[f(F.col(c).cast("double")).alias(f"{c}__{name}") for c in columns for name, f in fields.items()])
     moments = _to_rows(one, columns, list(fields)).withColumnRenamed("column_name", "feature")
-    counts = numeric_counts({"n": df}, columns)
-    return moments.join(_quartile_columns(counts), "feature", "left")
+    q = column_quantiles(df, columns, [0.25, 0.5, 0.75])
+    at = lambda p: F.max(F.when(F.col("prob") == p, F.col("value")))
+    quartiles = q.groupBy("feature").agg(at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))
+    return moments.join(quartiles, "feature", "left")
 
 
 def _quartile_columns(counts: DataFrame) -> DataFrame:

@@ -201,7 +201,10 @@ def expect_schema(df: DataFrame, rules: list[Rule], numbers: list[int] | None =
 
 def run_suite(df: DataFrame, rules: list[Rule], strict: bool = False, key: str = R.KEY,
               target: str = R.TARGET) -> DataFrame:
-    """Evaluate a suite; one row per rule in the order of the rules.
+    """Evaluate a suite; one row per rule.
+
+    The table is read once for all row-level rules and once per uniqueness or distinct-set rule, so pass a
+    stored table rather than a long plan.
 
     ``strict`` raises :class:`SuiteFailure` if the column set differs, the key has nulls or repeats, the
     target is not 0 or 1, or the amount is not a double.

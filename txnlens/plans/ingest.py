@@ -8,6 +8,7 @@ from txnlens import roles as R
 from txnlens.operators import ingest as ops
 from txnlens.operators.quality import Rule, expect_columns, ingested_suite, run_suite
 from txnlens.operators.splitting import stratified_split
+from txnlens.session import materialize
 
 
 def ingest(raw: DataFrame) -> DataFrame:
@@ -31,8 +32,8 @@ def checked_groups(ingested: DataFrame, target: str = R.TARGET) -> dict[str, Dat
 
 
 def ingest_and_validate(raw: DataFrame, rules: list[Rule] | None = None):
-    """(reference part, analysis part, report on the analysis part)."""
-    ingested = ingest(raw)
+    """(reference part, analysis part, report on the analysis part); the ingested table is stored once."""
+    ingested = materialize(ingest(raw), "ingested")
     checked_groups(ingested)
     reference, analysis = stratified_split(ingested)
     return reference, analysis, run_suite(analysis, rules or ingested_suite())
