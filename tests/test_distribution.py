@@ -76,8 +76,8 @@ def test_bracketed_quantiles_are_exact(sample, accuracy, slack):
     """Also with a sketch too coarse to be right, where the values fall outside the brackets."""
     df, a, b = sample
     grid = [(i, 50) for i in range(51)] + [(i, 7) for i in range(8)]
-    sketch = D.estimate(df, ["a", "b"], grid, accuracy, slack)
-    got = {(r["feature"], r["num"], r["den"]): r["value"] for r in D.wide_quantiles(df, sketch, grid).collect()}
+    found = D.wide_quantiles(df, ["a", "b"], grid, accuracy, slack)
+    got = {(r["feature"], r["num"], r["den"]): r["value"] for r in found.collect()}
     assert len(got) == 2 * len(grid)
     for name, values in (("a", a), ("b", b)):
         for num, den in grid:

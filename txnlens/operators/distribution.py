@@ -12,7 +12,6 @@ picked from what was kept.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 from fractions import Fraction
 from functools import reduce
 
@@ -123,7 +122,7 @@ def quantiles(counts: DataFrame, name: str, grid, rows_per_range: int = ROWS_PER
     width = F.expr(f"greatest(1, total div {_RANK_BINS})")
     # one row per feature and fraction
     asked = (
-        size.select("feature", "total", F.explode(F.lit([f"{a}/{b}" for a, b in grid])).alias("g"))
+        size.select("feature", "total", F.explode(F.split(F.lit(" ".join(f"{a}/{b}" for a, b in grid)), " ")).alias("g"))
         .select("feature", "total", F.split("g", "/")[0].cast("bigint").alias("num"),
                 F.split("g", "/")[1].cast("bigint").alias("den"))
         .withColumns({"low": F.expr("num * (total - 1) div den"),
@@ -151,36 +150,40 @@ def quantiles(counts: DataFrame, name: str, grid, rows_per_range: int = ROWS_PER
     return picked.select("feature", "num", "den", F.expr("a + (b - a) * part").alias("value"), "sure")
 
 
-@dataclass(frozen=True)
-class Estimate:
-    """What one sketch pass tells about a column: its distinct values and a bracket around each quantile."""
+Brackets = dict[str, list[tuple[float, float]]]
 
-    distinct: int
-    brackets: list[tuple[float, float]]
 
+def split_by_distinct(df: DataFrame, columns, many_values: int = MANY_VALUES) -> tuple[list[str], list[str]]:
+    """(columns whose value counts make a small table, columns with more than ``many_values``), by estimate."""
+    one = df.agg(*[F.approx_count_distinct(number(c)).alias(f"d_{i}") for i, c in enumerate(columns)]).first()
+    few = [c for i, c in enumerate(columns) if one[f"d_{i}"] <= many_values]
+    return few, [c for c in columns if c not in few]
 
-def estimate(df: DataFrame, columns, grid, accuracy: int = SKETCH_ACCURACY, slack: float = 2.0) -> dict[str, Estimate]:
-    """Sketch all columns in one pass. A sketched quantile is off by at most 1/accuracy of the ranks, so
-    brackets of ``slack`` times that hold the exact ones; overlapping brackets are merged."""
+
+def brackets(df: DataFrame, columns, grid, accuracy: int = SKETCH_ACCURACY, slack: float = 2.0) -> Brackets:
+    """Ascending, disjoint value ranges that hold the quantiles of the grid, from one sketch pass.
+
+    A sketched quantile is off by at most 1/accuracy of the ranks; the brackets reach ``slack`` times as far.
+    """
     off = slack / accuracy
     shares = sorted({min(1.0, max(0.0, a / b + d)) for a, b in grid for d in (-off, off)})
+    frame = df.select(*[number(c).alias(f"x_{i}") for i, c in enumerate(columns)])
+    wanted = f"array({', '.join(f'{x!r}D' for x in shares)})"
     # one row; the arrays are as long as the grid
-    one = df.agg(*[F.approx_count_distinct(number(c)).alias(f"d_{i}") for i, c in enumerate(columns)],
-                 *[F.percentile_approx(number(c), shares, accuracy).alias(f"q_{i}") for i, c in enumerate(columns)]
-                 ).first()
-    found = {}
+    one = frame.agg(*[F.expr(f"percentile_approx(x_{i}, {wanted}, {accuracy})").alias(f"q_{i}")
+                      for i in range(len(columns))]).first()
+    found: Brackets = {}
     for i, c in enumerate(columns):
         at = dict(zip(shares, one[f"q_{i}"] or []))
         merged: list[tuple[float, float]] = []
-        for a, b in sorted(grid, key=lambda g: g[0] / g[1]):
-            if not at:
-                break
+        for a, b in sorted(grid, key=lambda g: g[0] / g[1]) if at else ():
             low, high = at[max(0.0, a / b - off)], at[min(1.0, a / b + off)]
             if merged and low <= math.nextafter(merged[-1][1], math.inf):
                 merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
             else:
                 merged.append((low, high))
-        found[c] = Estimate(one[f"d_{i}"], merged)
+        if merged:
+            found[c] = merged
     return found
 
 
@@ -197,11 +200,11 @@ def _bucketed(df: DataFrame, splits: dict[str, list[float]], keep=()) -> DataFra
     return long.where(F.col("value").isNotNull() & ~F.isnan("value")).withColumn("k", F.col("k").cast("int"))
 
 
-def bracket_counts(df: DataFrame, brackets: dict[str, list[tuple[float, float]]]) -> DataFrame:
+def bracket_counts(df: DataFrame, inside: Brackets) -> DataFrame:
     """Stored (feature, value, n, gap): counts of the values inside the brackets and one row per gap between."""
     inf = math.inf
     splits = {c: [-inf, *[x for low, high in b for x in (low, math.nextafter(high, inf))], inf]
-              for c, b in brackets.items()}
+              for c, b in inside.items()}
     rows = _bucketed(df, splits)
     # bucket 2i+1 is bracket i; a gap row stands at the split below it
     gap = F.col("k") % 2 == 0
@@ -213,12 +216,12 @@ def bracket_counts(df: DataFrame, brackets: dict[str, list[tuple[float, float]]]
         "feature", F.coalesce("value", "start").alias("value"), "n", "gap"), "counts")
 
 
-def wide_quantiles(df: DataFrame, estimates: dict[str, Estimate], grid) -> DataFrame:
+def wide_quantiles(df: DataFrame, columns, grid, accuracy: int = SKETCH_ACCURACY, slack: float = 2.0) -> DataFrame:
     """Exact quantiles of columns with very many values from two scans and no shuffle of the values."""
-    brackets = {c: e.brackets for c, e in estimates.items() if e.brackets}
-    if not brackets:
+    inside = brackets(df, columns, grid, accuracy, slack)
+    if not inside:
         return df.sparkSession.createDataFrame([], "feature string, num bigint, den bigint, value double")
-    found = materialize(quantiles(bracket_counts(df, brackets), "n", grid), "quantiles")
+    found = materialize(quantiles(bracket_counts(df, inside), "n", grid), "quantiles")
     unsure = [r["feature"] for r in found.where("not sure").select("feature").distinct().collect()]  # column names
     exact = found.drop("sure")
     if unsure:
@@ -231,9 +234,7 @@ def column_quantiles(df: DataFrame, columns, probabilities, many_values: int = M
     """(feature, prob, value) for plain probabilities such as 0.25 or 0.99."""
     fractions = {float(p): Fraction(str(p)) for p in probabilities}
     grid = [(f.numerator, f.denominator) for f in fractions.values()]
-    sketch = estimate(df, columns, grid)
-    few = [c for c in columns if sketch[c].distinct <= many_values]
-    wide = {c: e for c, e in sketch.items() if c not in few}
+    few, wide = split_by_distinct(df, columns, many_values)
     parts = [quantiles(numeric_counts({"n": df}, few), "n", grid).drop("sure")] if few else []
     parts += [wide_quantiles(df, wide, grid)] if wide else []
     found = reduce(DataFrame.unionByName, parts)

@@ -8,8 +8,8 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame, Window, functions as F
 
 from txnlens.functions.stats import half_kl, ks_p_value, psi_term
-from txnlens.operators.distribution import (MANY_VALUES, Estimate, counts_at, estimate, number, numeric_counts, quantiles,
-                                            running_counts, scan_counts_at, totals, wide_quantiles)
+from txnlens.operators.distribution import (MANY_VALUES, counts_at, number, numeric_counts, quantiles, running_counts,
+                                            scan_counts_at, split_by_distinct, totals, wide_quantiles)
 from txnlens.operators.encoding import apply_standard, category_counts, fit_standard, shares_of
 from txnlens.operators.lookup import join_lookup
 from txnlens.operators.rowindex import with_row_index
@@ -79,9 +79,8 @@ def _psi_scores(edges: DataFrame, below: DataFrame, sizes: DataFrame) -> DataFra
     return bins.groupBy("feature", "bins").agg(F.sum(term).alias("psi"))
 
 
-def _wide_psi(ref: DataFrame, ana: DataFrame, sketch: dict[str, Estimate], bins, edges: str) -> DataFrame:
+def _wide_psi(ref: DataFrame, ana: DataFrame, columns, bins, edges: str) -> DataFrame:
     """PSI of columns with very many values: the values are scanned, never shuffled."""
-    columns = list(sketch)
     if edges == "width":
         # one row per column
         one = ref.agg(*[F.min(number(c)).alias(f"lo_{c}") for c in columns],
@@ -90,7 +89,7 @@ def _wide_psi(ref: DataFrame, ana: DataFrame, sketch: dict[str, Estimate], bins,
             F.struct(F.lit(c).alias("feature"), F.col(f"lo_{c}").alias("lo"), F.col(f"hi_{c}").alias("hi"))
             for c in columns]))).where("lo is not null"), bins)
     else:
-        cuts = _named_edges(wide_quantiles(ref, sketch, [(i, b) for b in bins for i in range(b + 1)]))
+        cuts = _named_edges(wide_quantiles(ref, columns, [(i, b) for b in bins for i in range(b + 1)]))
     cuts = materialize(cuts, "edges")
     points: dict[str, list[float]] = {}
     for r in cuts.select("feature", "edge").distinct().collect():  # at most the grid per column
@@ -119,9 +118,7 @@ def psi_sweep(ref: DataFrame, ana: DataFrame, columns=DRIFT_NUMERICAL, bins=rang
     make = {"quantiles": quantile_edges, "width": width_edges}[edges]
     if counts is not None:
         return psi_from_edges(counts, make(counts, bins))
-    sketch = estimate(ref, columns, [(i, b) for b in bins for i in range(b + 1)])
-    few = [c for c in columns if sketch[c].distinct <= many_values]
-    wide = {c: sketch[c] for c in columns if c not in few}
+    few, wide = split_by_distinct(ref, columns, many_values)
     parts = []
     if few:
         counts = sample_counts(ref, ana, few)
