@@ -58,10 +58,28 @@ def short(report):
     return V.rounded(report.select(*REPORT), "unexpected_percent")
 
 
-@query("expect_schema")
+NUMERIC = ["age", "amt", "lat", "long", "city_pop", "merch_lat", "merch_long"]
+TEXT = ["cc_num_hashed", "merchant", "category", "first_hashed", "last_hashed", "gender", "street", "city", "state",
+        "zip", "job", "merch_zipcode"]
+TYPED = ([("trans_num", "object")] + [(c, "int64" if c in ("age", "city_pop") else "float64") for c in NUMERIC]
+         + [(c, "object") for c in TEXT] + [("datetime", "datetime64[ns]"), ("is_fraud", "int64")])
+TYPE_SQL = """case typeof(any_value({c})) when 'BIGINT' then 'int64' when 'DOUBLE' then 'float64'
+    when 'VARCHAR' then 'object' when 'TIMESTAMP' then 'datetime64[ns]' end"""
+
+
+@query("expect_schema", V.sql(" union all ".join(
+    [f"""select 0 as rule, 'expect_table_columns_to_match_set' as expectation, null::varchar as column_name,
+         count(*) = 1 as success, null::varchar as observed_value
+         from (select {', '.join(f'min({c})' for c, _ in TYPED)} from ingested)"""]
+    + [f"""select {i}, 'expect_column_values_to_be_of_type', '{c}', {TYPE_SQL.format(c=c)} = '{t}',
+           {TYPE_SQL.format(c=c)} from ingested""" for i, (c, t) in enumerate(TYPED, 1)]), "ingested"))
 def _(spark, sf):
+    from pyspark.sql import functions as F
+
     rules = [r for r in Q.ingested_suite() if r.expectation in (Q.COLUMN_SET, Q.OF_TYPE)]
-    return Q.expect_schema(V.ingested(spark, sf), rules)
+    report = Q.expect_schema(V.ingested(spark, sf), rules)
+    typed = F.when(F.col("expectation") == Q.OF_TYPE, F.col("observed_value"))
+    return report.select("rule", "expectation", "column_name", "success", typed.alias("observed_value"))
 
 
 @query("expect_not_null", V.sql(report_sql(
@@ -126,11 +144,6 @@ def _(spark, sf):
     return short(Q.run_suite(V.raw_txn(spark, sf), rules))
 
 
-TEXT = ["cc_num_hashed", "merchant", "category", "first_hashed", "last_hashed", "gender", "street", "city", "state",
-        "zip", "job", "merch_zipcode"]
-NUMERIC = ["age", "amt", "lat", "long", "city_pop", "merch_lat", "merch_long"]
-
-
 def suite_sql() -> str:
     """The value rules of the ingested suite under the numbers they have there, and the type rules as constants."""
     value_rules, typed = [unique(2, "trans_num", "ingested")], [(0, "expect_table_columns_to_match_set", None), (
@@ -234,10 +247,24 @@ def _(spark, sf):
     return V.rounded(profiling.profile_table(V.txn(spark, sf)))
 
 
-@query("suggest_suite")
+def suggested_sql() -> str:
+    numbers = ["age", "amt", "lat", "long", "city_pop", "merch_lat", "merch_long", "is_fraud"]
+    text = ["trans_num", "cc_num", "merchant", "category", "gender", "street", "city", "state", "zip", "job",
+            "merch_zipcode"]
+    row = "select '{e}' as expectation, '{c}' as column_name, true as success, count(*) as element_count from txn"
+    parts = [(row + " having count({c}) = count(*)").format(e="expect_column_values_to_not_be_null", c=c)
+             for c in numbers + text]
+    parts += [(row + " having count(distinct {c}) = count(*)").format(e=UNIQUE, c=c) for c in numbers + text]
+    parts += [row.format(e=BETWEEN, c=c) for c in numbers]
+    parts += [(row + " having count(distinct {c}) between 1 and 20").format(e=IN_SET, c=c) for c in text]
+    return " union all ".join(parts)
+
+
+@query("suggest_suite", V.sql(suggested_sql(), "txn"))
 def _(spark, sf):
-    rows = V.txn(spark, sf)
-    return Q.run_suite(rows, Q.suggest_suite(rows))
+    rows = materialize(V.txn(spark, sf), "txn")
+    report = Q.run_suite(rows, Q.suggest_suite(rows))
+    return report.select("expectation", "column_name", "success", "element_count")
 
 
 @query("value_length_histogram", V.sql(
