@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txnlens.session import materialize
 
-ROWS_PER_RANGE = 1_000_000
-MANY_VALUES = 20_000_000
+ROWS_PER_RANGE = 200_000
+MAX_RANGES = 2000
+MANY_VALUES = 1_000_000
 SKETCH_ACCURACY = 10_000
 _RANK_BINS = 1024
 
@@ -53,7 +54,7 @@ def numeric_counts(samples: dict[str, DataFrame], columns) -> DataFrame:
 def _ranges(counts: DataFrame, rows_per_range: int) -> DataFrame | None:
     """Cut points (feature, cuts) that part each feature's distinct values; None if one range will do."""
     largest = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    pieces = math.ceil(largest / rows_per_range)
+    pieces = min(MAX_RANGES, math.ceil(largest / rows_per_range))
     if pieces <= 1:
         return None
     shares = [i / pieces for i in range(1, pieces)]
