@@ -64,7 +64,7 @@ def _(spark, sf):
 
 @query("select_k_best", V.sql(f"""
     select feature, position, round(f_score, 6) as f_score from ({ANOVA})
-    order by ({ANOVA.count('select')} * 0), f_score desc, position desc limit 4""", "txn"))
+    order by f_score desc, position desc limit 4""", "txn"))
 def _(spark, sf):
     return V.rounded(selection.select_k_best(selection.anova_f(V.txn(spark, sf), NUMERIC), 4))
 
@@ -120,7 +120,7 @@ def _(spark, sf):
                       from labels join documents using (doc_id)),
     challenger as (select quality as y, case when n_chars % 3 < 2 then 1 else 0 end as p
                    from labels join documents using (doc_id)),
-    f1 as (select (select avg(f) from (""" + """
+    f1 as (select (select avg(f) from (
             select 2.0 * count(*) filter (y = c and p = c)
                    / nullif(count(*) filter (y = c) + count(*) filter (p = c), 0) as f
             from champion, (values (0), (1)) k(c) group by c)) as champion_f1,

@@ -206,13 +206,16 @@ def wasserstein_normed(counts: DataFrame, limit: float = TEST_LIMIT) -> DataFram
 
 def drift_tests(counts: DataFrame, limit: float = TEST_LIMIT, small: int = 1000) -> DataFrame:
     """(feature, method, score, drifted): KS p-value up to ``small`` reference rows, else Wasserstein."""
-    ks = ks_two_sample(counts, limit).select("feature", F.lit("ks").alias("method"), F.col("p_value").alias("score"),
-                                             "drifted")
-    ws = wasserstein_normed(counts, limit).select("feature", F.lit("wasserstein").alias("method"),
-                                                  F.col("distance").alias("score"), "drifted")
-    chosen = totals(counts, ["ref"]).select("feature", F.when(F.col("ref_total") <= small, "ks").otherwise(
-        "wasserstein").alias("method"))
-    return ks.unionByName(ws).join(F.broadcast(chosen), ["feature", "method"])
+    sizes = totals(counts, ["ref"]).collect()  # one row per feature
+    few = [r["feature"] for r in sizes if r["ref_total"] <= small]
+    many = [r["feature"] for r in sizes if r["ref_total"] > small]
+    ks = ks_two_sample(counts.where(F.col("feature").isin(few)), limit).select(
+        "feature", F.lit("ks").alias("method"), F.col("p_value").alias("score"), "drifted")
+    ws = wasserstein_normed(counts.where(F.col("feature").isin(many)), limit).select(
+        "feature", F.lit("wasserstein").alias("method"), F.col("distance").alias("score"), "drifted")
+    if few and many:
+        return ks.unionByName(ws)
+    return ks if few else ws
 
 
 def dataset_drift_share(tests: DataFrame, share: float = DRIFT_SHARE) -> DataFrame:
@@ -244,11 +247,16 @@ def js_distances(parts: DataFrame, reference: DataFrame, by) -> DataFrame:
 
 
 def js_categorical_chunks(ref: DataFrame, ana: DataFrame, columns=DRIFT_CATEGORICAL, chunk_size: int = 1000,
-                          order_by=(EVENT_TIME, KEY), limit: float = JS_LIMIT) -> DataFrame:
-    """Distance of every chunk of the analysis rows, in the given order, from the whole reference."""
+                          order_by=(EVENT_TIME, KEY), limit: float = JS_LIMIT,
+                          partitions: int | None = None) -> DataFrame:
+    """Distance of every chunk of the analysis rows, in the given order, from the whole reference.
+
+    ``partitions`` is the number of sorted ranges, by default the session's shuffle partitions.
+    """
     columns, order_by = list(columns), list(order_by)
     reference = materialize(shares_of(category_counts(ref, columns)), "shares")
-    rows = with_row_index(ana.select(*order_by, *[c for c in columns if c not in order_by]), order_by)
+    rows = with_row_index(ana.select(*order_by, *[c for c in columns if c not in order_by]), order_by,
+                          partitions=partitions)
     rows = rows.withColumn("chunk_index", F.expr(f"row_index div {int(chunk_size)}"))
     ends = rows.groupBy("chunk_index").agg(F.min("row_index").alias("start_index"), F.max("row_index").alias("end_index"))
     long = (rows.select("chunk_index", *[F.col(c).cast("string").alias(c) for c in columns])
