@@ -64,8 +64,10 @@ def contexts(values: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, np.n
     if len(values) < size:
         none = np.empty(0, np.int64)
         return np.empty(0, np.uint64), none, none
-    anchor = sliding_min(window_hashes(values, gram), size - gram + 1)
-    edge = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
+    pieces = window_hashes(values, gram)
+    anchor = sliding_min(pieces, size - gram + 1)
+    # A context ends where the anchor changes, or where its first place leaves the window and another has its value.
+    edge = np.flatnonzero((anchor[1:] != anchor[:-1]) | (pieces[:len(anchor) - 1] == anchor[:-1])) + 1
     first = np.concatenate([[0], edge])
     last = np.append(edge, len(anchor)) - 1
     if (last - first >= MOST_WINDOWS).any():
