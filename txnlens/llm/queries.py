@@ -2,5 +2,11 @@
 
 from __future__ import annotations
 
-from txnlens.llm import dedup_queries, model_queries, quality_queries, secret_queries  # noqa: F401  (fill the registry)
+from txnlens.llm import (  # noqa: F401  (fill the registry)
+    corpus_queries,
+    dedup_queries,
+    model_queries,
+    quality_queries,
+    secret_queries,
+)
 from txnlens.llm.registry import ORACLES, QUERIES  # noqa: F401
