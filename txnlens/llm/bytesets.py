@@ -36,10 +36,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    """The first n powers of a base; tables are kept and only grow."""
+    known = _POWERS.get(int(base))
+    if known is None or len(known) < n:
+        known = np.full(max(n, 1 << 16 if known is None else 2 * len(known)), base, np.uint64)
+        known[0] = 1
+        np.multiply.accumulate(known, out=known)
+        _POWERS[int(base)] = known
+    return known[:n]
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -87,21 +95,12 @@ class Words:
         #: Index of each row's first word (one more than rows).
         self.rows = np.searchsorted(self.starts, offsets)
 
-    def hashes(self, salt: int = 0) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        if not len(self.starts):
-            return np.empty(0, np.uint64)
-        lengths = self.ends - self.starts
-        place = np.arange(len(self.raw)) - np.repeat(self.starts, np.diff(np.append(self.starts, len(self.raw)))) \
-            if self.starts[0] == 0 else self._place()
-        np.clip(place, 0, int(lengths.max()), out=place)
-        base = _BASE * np.uint64(2 * salt + 1)
-        values = _WORD_BYTE[self.raw] * powers(base, int(lengths.max()) + 1)[place]
-        return mix(np.add.reduceat(values, self.starts) + lengths.astype(np.uint64))
-
-    def _place(self) -> np.ndarray:
-        edges = np.concatenate([[0], self.starts])
-        return np.arange(len(self.raw)) - np.repeat(edges, np.diff(np.append(edges, len(self.raw))))
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash of each word's bytes: a difference of running sums, shifted back to the word's start."""
+        sums = np.zeros(len(self.raw) + 1, np.uint64)
+        np.cumsum(_WORD_BYTE[self.raw] * powers(_BASE, len(self.raw)), out=sums[1:])
+        own = (sums[self.ends] - sums[self.starts]) * powers(_BASE_INVERSE, len(self.raw) + 1)[self.starts]
+        return mix(own + (self.ends - self.starts).astype(np.uint64))
 
 
 def row_words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Iterator[tuple[int, int, Words]]:

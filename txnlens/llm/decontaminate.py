@@ -29,11 +29,10 @@ from txnlens.session import materialize
 
 BLOCK_ITEMS = 1_000
 STEP = 32
-RANK = 128
-EXTRA = 8
+RANK = 96
 #: Terms in more than this share of the blocks carry no weight.
-MOST_SHARE = 0.1
-LEAST_COSINE = 0.3
+MOST_SHARE = 0.005
+LEAST_COSINE = 0.4
 LEAST_COMMON = 0.6
 LEAST_ANSWER = 0.5
 #: Terms whose sums travel together.
@@ -193,17 +192,21 @@ def gram_times(stored: DataFrame, weight: np.ndarray, basis: np.ndarray) -> np.n
     width, n_terms = basis.shape[1], len(weight)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((n_terms, width), np.float64)
+        total = np.zeros((n_terms, width))
         for batch in batches:
             for _, texts in _texts(batch):
                 blocks = Blocks(texts)
                 rows, scale, _ = blocks.passages(weight, basis)
-                back = rows * scale[:, None]
+                back = rows * scale[:, None].astype(np.float32)
                 before = _previous(blocks.used_block, blocks.first, blocks.n)
-                for k in range(0, width, 16):
-                    part = back[blocks.used_block, k:k + 16] + np.where((before >= 0)[:, None], back[before, k:k + 16], 0)
-                    for c in range(part.shape[1]):
-                        total[:, k + c] += np.bincount(blocks.used_term, part[:, c], n_terms)
+                part = back[blocks.used_block]
+                inner = np.flatnonzero(before >= 0)
+                part[inner] += back[before[inner]]
+                order = np.argsort(blocks.used_term, kind="stable")
+                term = blocks.used_term[order]
+                begin = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else order
+                if len(term):
+                    total[term[begin]] += np.add.reduceat(part[order], begin, axis=0)
         total *= weight[:, None]
         import pyspark
         task = pyspark.TaskContext.get().partitionId()
@@ -226,13 +229,13 @@ def gram_times(stored: DataFrame, weight: np.ndarray, basis: np.ndarray) -> np.n
 
 
 def latent_basis(stored: DataFrame, weight: np.ndarray, rank: int) -> np.ndarray:
-    """Terms x rank: the leading right singular vectors of the passages' TF-IDF rows."""
-    width = min(len(weight), rank + EXTRA)
-    start = np.random.default_rng(11).standard_normal((len(weight), width))
-    basis = np.linalg.qr(gram_times(stored, weight, start.astype(np.float32)))[0]
-    again = gram_times(stored, weight, basis.astype(np.float32))
-    values, turn = np.linalg.eigh(basis.T @ again)
-    return (basis @ turn[:, ::-1][:, :rank]).astype(np.float32)
+    """Terms x rank: an orthonormal basis of the leading latent space, from one pass with a power step.
+
+    A'A times random columns leans to the leading right singular vectors. Turning the basis to the single vectors would
+    change no cosine, so that pass is left out.
+    """
+    start = np.random.default_rng(11).standard_normal((len(weight), min(len(weight), rank)))
+    return np.linalg.qr(gram_times(stored, weight, start.astype(np.float32)))[0].astype(np.float32)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -249,8 +252,14 @@ def leaks_of(stored: DataFrame, items: Items, rank: int = RANK) -> DataFrame:
     latent = _unit(own.passages(weight, basis)[0])
     item_of = np.repeat(np.arange(len(items.words)), np.diff(own.first))
     solid = np.linalg.norm(latent, axis=1) > 0.5
+    longest = max(map(len, items.words))
+    length = np.array([len(w) for w in items.words])
+    padded = np.full((len(length), longest), n_terms)
+    for i, w in enumerate(items.words):
+        padded[i, :len(w)] = w
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        present = np.zeros(n_terms + 1, np.int32)
         for batch in batches:
             for start, texts in _texts(batch):
                 part = Blocks(texts)
@@ -259,12 +268,24 @@ def leaks_of(stored: DataFrame, items: Items, rank: int = RANK) -> DataFrame:
                 text_of = np.repeat(np.arange(len(texts)), np.diff(part.first))
                 for low in range(0, len(rows), 8192):
                     near = rows[low:low + 8192] @ latent.T
+                    pairs: list[tuple[int, int, int, int]] = []
                     r, c = np.nonzero((near >= LEAST_COSINE) & solid[None, :])
-                    pairs = sorted({(int(x) + low, int(item_of[y])): float(near[x, y]) for x, y in zip(r, c)}.items())
-                    for (row, item), cosine in pairs:
-                        n = len(items.words[item])
-                        text = int(text_of[row])
+                    r, c = r + low, item_of[c]
+                    begin = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]])) if len(r) else r
+                    for x, y in zip(begin, np.append(begin[1:], len(r))):
+                        row, text = int(r[x]), int(text_of[r[x]])
                         middle = (row - int(part.first[text])) * STEP
+                        # No subsequence is longer than the item's words that stand around at all.
+                        wide = texts[text][max(0, middle - longest):middle + 2 * STEP + longest]
+                        present[wide] = 1
+                        present[-1] = 0  # unknown words and the padding
+                        near_items = np.unique(c[x:y])
+                        enough = present[padded[near_items]].sum(axis=1) >= LEAST_COMMON * length[near_items]
+                        present[wide] = 0
+                        pairs += [(row, text, middle, int(i)) for i in near_items[enough]]
+                    for row, text, middle, item in pairs:
+                        n = len(items.words[item])
+                        cosine = float(near[row - low][item_of == item].max())
                         a, b = max(0, middle - n), min(len(texts[text]), middle + 2 * STEP + n)
                         around = texts[text][a:b].tolist()
                         common = common_length(items.masks[item], n, around) / n
