@@ -6,8 +6,8 @@ every document, 0 or more, whose expected tokens by domain meet the targets. A s
 distributed sum; a document's rate follows from the steps' short history, so nothing but one number a domain and step
 passes through the driver and a lost executor costs nothing.
 
-The classifier is a softmax over text features and word evidence, fitted on at most ``MOST_ROWS`` labelled rows (a
-documented bound); word counts by domain cover all labelled rows. Tokens are words of the text. Defined cases: null and
+The classifier is a softmax over text features and word evidence, both learned from at most ``MOST_ROWS`` labelled rows
+(a documented bound; rows are taken in the order of a hash of their key). Tokens are words of the text. Defined cases: null and
 empty texts have no tokens and rate 1; without labelled rows there is one domain and all rates meet its total alike;
 domains without any expected token are left out of the fit; equal rows get equal rates; a document with several labels
 counts with the smallest pair; extra columns are not read.
@@ -29,7 +29,7 @@ from txnlens.session import materialize
 MOST_ROWS = 20_000
 TABLE_BITS = 15
 STEPS = 40
-TOLERANCE = 1e-9
+TOLERANCE = 1e-6
 #: Share of all tokens by domain (quality/toxic); other domains share what is left.
 TARGETS = {"1/0": 0.85, "1/1": 0.03, "0/0": 0.10, "0/1": 0.02}
 
@@ -94,9 +94,10 @@ def learn_domains(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     for p in parts:
         whole = whole.where(F.col(p).isNotNull())
     known = whole.groupBy(F.col(key).alias("_k")).agg(F.min(name).alias("domain"))
-    rows = docs.select(F.col(key).alias("_d"), F.col(text).cast("string").alias("t")) \
-        .join(known, F.col("_d") == F.col("_k")).select("_k", "domain", "t")
     names = sorted(r["domain"] for r in known.select("domain").distinct().collect()) or ["all"]
+    sample = known.orderBy(F.xxhash64("_k"), "_k").limit(most)  # at most ``most`` keys, so it may be broadcast
+    rows = materialize(docs.select(F.col(key).alias("_d"), F.col(text).cast("string").alias("t"))
+                       .join(F.broadcast(sample), F.col("_d") == F.col("_k")).select("domain", "t"), "labelled")
     number = {n: i for i, n in enumerate(names)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +111,7 @@ def learn_domains(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"slot": pa.array(some), "n": pa.array(total[some])})
     counts = np.zeros((1 << TABLE_BITS, len(names)))
-    sums = rows.select("domain", "t").mapInArrow(count, "slot bigint, n bigint").groupBy("slot") \
+    sums = rows.mapInArrow(count, "slot bigint, n bigint").groupBy("slot") \
         .agg(F.sum("n").alias("n")).toPandas()  # a table of fixed size
     counts.ravel()[sums["slot"].to_numpy(np.int64)] = sums["n"].to_numpy(float)
     model = Domains(names, counts)
@@ -119,9 +120,7 @@ def learn_domains(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         for batch in batches:
             x = model.inputs(*text_buffer(batch.column(1)))[1]
             yield pa.RecordBatch.from_pydict({"domain": batch.column(0), "x": pa.array(list(x), pa.list_(pa.float64()))})
-    sample = known.orderBy(F.xxhash64("_k"), "_k").limit(most)
-    chosen = rows.drop("domain").join(F.broadcast(sample), "_k").select("domain", "t")
-    got = chosen.mapInArrow(take, "domain string, x array<double>").toPandas()
+    got = rows.mapInArrow(take, "domain string, x array<double>").toPandas()
     got = got.sort_values(["domain", "x"], key=lambda c: c.map(lambda v: v if isinstance(v, str) else tuple(v)))
     if len(got) and len(names) > 1:
         model.fit(np.array(got["x"].tolist(), float), np.array([number[d] for d in got["domain"]]))
