@@ -179,16 +179,14 @@ def test_pca_psi_against_numpy(spark):
 
 
 def test_watch_job(spark):
-    rng = np.random.default_rng(11)
-
-    def rows(n, shift, city):
-        return [(f"k{i}", i, float(rng.normal(100, 10) + shift), float(rng.uniform(25, 49)), float(rng.uniform(-124, -67)),
-                 int(rng.integers(1e4, 1e6)), float(rng.uniform(25, 49)), float(rng.uniform(-124, -67)), "shop",
-                 str(rng.choice(["M", "F"])), city or str(rng.choice(["x", "y", "z"])), "NY", "10001") for i in range(n)]
+    """A shop that doubles its prices and sells in one town only; all else cycles through the same values."""
+    def rows(n, price, towns):
+        return [(f"k{i}", i, float(price * (20 + i % 17)), 40 + i % 5 / 10, -90 + i % 7 / 10, 1000 * (1 + i % 9),
+                 41 + i % 3 / 10, -91 + i % 4 / 10, "books", "FM"[i % 2], towns[i % len(towns)], "OH", "44100") for i in range(n)]
 
     schema = ("trans_num string, datetime int, amt double, lat double, long double, city_pop bigint, merch_lat double, "
               "merch_long double, category string, gender string, city string, state string, zip string")
-    ref, ana = spark.createDataFrame(rows(200, 0, None), schema), spark.createDataFrame(rows(200, 1500, "x"), schema)
+    ref, ana = spark.createDataFrame(rows(252, 1, "pqrst"), schema), spark.createDataFrame(rows(200, 2, "p"), schema)
     result = drift_watch.watch(ref, ana, chunk_size=100)
     scores = {r["feature"]: r["psi_score"] for r in result.psi.collect()}
     assert len(scores) == 6 and all(s >= 0 for s in scores.values())

@@ -109,7 +109,8 @@ def _row(i: int, rule: Rule, *, success, elements=None, unexpected=None, percent
 def _judge(base: Column, bad: Column, mostly: float) -> tuple[Column, Column]:
     """(success, unexpected percent) out of ``base`` values; nothing to check is a success."""
     share = F.try_divide(bad, base)
-    return F.coalesce(1 - share >= F.lit(mostly), F.lit(True)), F.coalesce(share * 100, F.lit(0.0))
+    good = F.try_divide(base - bad, base)  # one division: 1 - share would round
+    return F.coalesce(good >= F.lit(mostly), F.lit(True)), F.coalesce(share * 100, F.lit(0.0))
 
 
 def _scan_report(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
