@@ -5,16 +5,17 @@ from pyspark.sql import functions as F
 from txnlens.operators import metrics, modelling as M, scoring, selection as S
 from txnlens.plans import training
 
-NAMES = ["feature1", "feature2", "feature3", "feature4", "feature5"]
+NAMES = ["age", "balance", "calls", "delay", "echo"]
 
 
 @pytest.fixture(scope="module")
 def data(spark):
-    rng = np.random.default_rng(42)
-    x = rng.normal(size=(300, 5))
-    x[:, 1] = x[:, 0] * 0.9 + rng.normal(0, 0.1, 300)
-    y = (0.5 * x[:, 0] + 0.8 * x[:, 2] > 0).astype(int)
-    rows = [(f"k{i}", f"t{i}", int(t), *map(float, r)) for i, (r, t) in enumerate(zip(x, y))]
+    """Uniform columns on a grid; echo repeats calls with the sign turned and a small wave; two columns decide."""
+    i = np.arange(300)
+    x = np.stack([(i * k % 359) / 359 for k in (7, 31, 89, 151, 1)], axis=1)
+    x[:, 4] = 2 - x[:, 2] + 0.05 * np.sin(i)
+    y = (2 * x[:, 0] - x[:, 2] > 0.5).astype(int)
+    rows = [(f"k{n}", f"t{n}", int(t), *map(float, r)) for n, (r, t) in enumerate(zip(x, y))]
     df = spark.createDataFrame(rows, "trans_num string, datetime string, is_fraud int, " + ", ".join(f"{n} double" for n in NAMES))
     return x, y, df.repartition(2).cache()
 
@@ -27,7 +28,7 @@ def test_correlation(data, spark):
     for i, a in enumerate(NAMES):
         for j, b in enumerate(NAMES):
             assert got[a, b] == pytest.approx(want[i, j], abs=1e-9)
-    assert [(r["feature_a"], r["feature_b"]) for r in S.high_corr_pairs(S.correlation_matrix(df, NAMES)).collect()] == [("feature1", "feature2")]
+    assert [(r["feature_a"], r["feature_b"]) for r in S.high_corr_pairs(S.correlation_matrix(df, NAMES)).collect()] == [("calls", "echo")]
 
 
 def test_correlation_with_gaps_and_constants(spark):
@@ -53,7 +54,7 @@ def test_anova_and_k_best(data):
     for i, n in enumerate(NAMES):
         assert got[n] == pytest.approx(brute_f(x[:, i], y))
     best = [r["feature"] for r in S.select_k_best(S.anova_f(df, NAMES), 3).collect()]
-    assert best == ["feature1", "feature2", "feature3"]
+    assert sorted(best) == ["age", "calls", "echo"]
 
 
 def test_selection_rules(data):
@@ -61,7 +62,7 @@ def test_selection_rules(data):
     importance = S.rf_importance(df, NAMES, trees=20)
     rows = importance.collect()
     assert [r["importance"] for r in rows] == sorted((r["importance"] for r in rows), reverse=True)
-    assert {"feature1", "feature3"} & {r["feature"] for r in rows[:3]}
+    assert rows[0]["feature"] == "age"
     left = S.rfe(df, NAMES, 2, trees=10)
     assert left.count() == 2
     best = S.select_k_best(S.anova_f(df, NAMES), 3)
@@ -105,8 +106,8 @@ def test_baselines_tuning_and_scoring(data):
     scored = scoring.score(df, trials[0].model)
     assert scored.columns == [*df.columns, "y_pred"] and scored.count() == 300
     assert scoring.score(df.limit(0), trials[0].model).count() == 0
-    with pytest.raises(ValueError, match="feature3"):
-        scoring.score(df.drop("feature3"), trials[0].model)
+    with pytest.raises(ValueError, match="calls"):
+        scoring.score(df.drop("calls"), trials[0].model)
 
 
 def test_boosted_model_takes_positive_weight(data):
@@ -128,8 +129,8 @@ def test_linear_attribution(data):
 
 def test_final_model_uses_selected_columns(data):
     _, _, df = data
-    final = M.train_final(df, df, NAMES, "LogisticRegression", {}, ["feature3", "feature1"])
-    assert scoring.model_columns(final.model) == ["feature1", "feature3"]
+    final = M.train_final(df, df, NAMES, "LogisticRegression", {}, ["calls", "age"])
+    assert scoring.model_columns(final.model) == ["age", "calls"]
     every = M.train_final(df, df, NAMES, "LogisticRegression", {}, [])
     assert scoring.model_columns(every.model) == NAMES
 
@@ -137,7 +138,7 @@ def test_final_model_uses_selected_columns(data):
 def test_champion_is_replaced_only_by_a_better_model(data, tmp_path):
     _, _, df = data
     path = str(tmp_path / "champion")
-    weak = M.fit_model(df, ["feature4"], "LogisticRegression")
+    weak = M.fit_model(df, ["delay"], "LogisticRegression")
     strong = M.fit_model(df, NAMES, "LogisticRegression")
     assert M.champion_challenger(weak, df, path).first()["replace"]
     assert not M.champion_challenger(weak, df, path).first()["replace"]
