@@ -28,7 +28,7 @@ from txnlens.session import materialize
 
 MOST_ROWS = 20_000
 TABLE_BITS = 15
-STEPS = 40
+STEPS = 100
 TOLERANCE = 1e-6
 #: Share of all tokens by domain (quality/toxic); other domains share what is left.
 TARGETS = {"1/0": 0.85, "1/1": 0.03, "0/0": 0.10, "0/1": 0.02}
