@@ -6,8 +6,10 @@ by forward-backward over the whole text, so a switch of language inside a text s
 language is the one with the most expected words, its score that share.
 
 The lexicon counts the words of every learnable text by language (hashed into a fixed table, added up by Spark). The
-weights are fitted by gradient ascent on at most ``MOST_TEXTS`` learnable texts, taken in the order of a hash; their
-words are dealt into sequences that switch between texts every ``RUN`` words. Defined cases: null texts and texts
+weights are fitted by gradient ascent on at most ``MOST_TEXTS`` different learnable texts of at most ``MOST_BYTES``
+together, whole ones in the order of a hash; their words are dealt into sequences that switch between texts every
+``RUN`` words. Gradients are added up over blocks of texts, so the fit's memory is that of one block and of the
+compact feature numbers. Defined cases: null texts and texts
 without a letter are ``und`` with score 0; without any learnable text every text is ``und`` with score 0; equal texts
 get equal results; extra columns are not read.
 """
@@ -25,6 +27,8 @@ from txnlens.llm.bytesets import Words, row_chunks, text_buffer
 from txnlens.llm.folds import held_out
 
 MOST_TEXTS = 2_000
+MOST_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20
 RUN = 16
 RUNS = 4
 TABLE_BITS = 16
@@ -47,7 +51,7 @@ class WordFeatures:
     def __init__(self, words: Words, order: np.ndarray | None = None):
         """order: of the words, if not that of the text."""
         hashes = words.hashes()
-        padded = np.concatenate([words.raw, np.zeros(4, np.uint8)]).astype(np.uint64)
+        padded = np.concatenate([words.raw, np.zeros(4, np.uint8)])
         s, e = words.starts, words.ends
         if order is not None:
             s, e, hashes = s[order], e[order], hashes[order]
@@ -56,20 +60,44 @@ class WordFeatures:
         def piece(at: np.ndarray, n: int) -> np.ndarray:
             value = np.zeros(len(at), np.uint64)
             for k in range(n):
-                value = value << np.uint64(8) | np.where(k < length, padded[np.clip(at + k, 0, len(padded) - 1)], 0)
+                value = value << np.uint64(8) | np.where(k < length, padded[np.clip(at + k, 0, len(padded) - 1)], 0).astype(np.uint64)
             return value
         self.affixes = np.stack([
             _bucket(piece(s, 2), 1, TABLE_BITS), _bucket(piece(s, 3), 2, TABLE_BITS),
-            _bucket(piece(np.maximum(e - 2, s), 2), 3, TABLE_BITS), _bucket(piece(np.maximum(e - 3, s), 3), 4, TABLE_BITS)])
+            _bucket(piece(np.maximum(e - 2, s), 2), 3, TABLE_BITS), _bucket(piece(np.maximum(e - 3, s), 3), 4, TABLE_BITS)]).astype(np.uint16)
         many = np.maximum(length - 2, 0)
-        self.owner = np.repeat(np.arange(len(s)), many)
         place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(s, many)
-        value = padded[place] << np.uint64(16) | padded[place + 1] << np.uint64(8) | padded[place + 2]
-        self.trigrams = _bucket(value, 5, TABLE_BITS)
+        value = np.zeros(len(place), np.uint64)
+        for k in range(3):
+            value = value << np.uint64(8) | padded[place + k].astype(np.uint64)
+        self.trigrams = _bucket(value, 5, TABLE_BITS).astype(np.uint16)
         self.edges = np.concatenate([[0], np.cumsum(many)])
-        self.lexicon = _bucket(hashes, 6, LEXICON_BITS)
+        self.lexicon = _bucket(hashes, 6, LEXICON_BITS).astype(np.uint16)
         self.n = len(s)
 
+    def owners(self) -> np.ndarray:
+        """The word of each trigram."""
+        return np.repeat(np.arange(self.n), np.diff(self.edges))
+
+
+class Block:
+    """Some learnable texts, their words dealt into sequences, with the language number of each word."""
+
+    def __init__(self, texts: list[bytes], languages: list[int], rng: np.random.Generator):
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        words = Words(raw, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64), lower=True)
+        labels = np.repeat(np.array(languages, np.uint8), np.diff(words.rows))
+        runs = [np.arange(a, min(a + RUN, z)) for p, z in zip(words.rows[:-1], words.rows[1:]) for a in range(p, z, RUN)]
+        runs = [runs[i] for i in rng.permutation(len(runs))]
+        order = np.concatenate(runs) if runs else np.empty(0, np.int64)
+        self.features, self.labels = WordFeatures(words, order), labels[order]
+        starts = np.cumsum([0, *map(len, runs)])[:-1][::RUNS]
+        self.rows = np.append(starts, len(order))
+        #: Words that have a next one in their sequence.
+        inner = np.ones(len(order), bool)
+        inner[self.rows[1:] - 1] = False
+        self.inner = np.flatnonzero(inner)
+
 
 class Model:
     """Languages, hashed weights, lexicon values with their weight, and transitions."""
@@ -116,37 +144,37 @@ class Model:
         self.forward, self.back, self.local = forward, back, local
         return both / both.sum(axis=1, keepdims=True)
 
-    def fit(self, f: WordFeatures, labels: np.ndarray, rows: np.ndarray) -> None:
+    def fit(self, blocks: list[Block]) -> None:
         """Gradient ascent on the log-likelihood of the labels, with steps scaled by past gradients."""
         k = len(self.names)
-        wanted = np.eye(k)[labels]
         past = np.full(self.weights.shape, 1e-6)
         past_moves, past_lexicon = np.full((k, k), 1e-6), 1e-6
-        inner = np.ones(f.n, bool)
-        inner[rows[1:] - 1] = False
-        inner = np.flatnonzero(inner)
-        seen = np.zeros((k, k))
-        np.add.at(seen, (labels[inner], labels[inner + 1]), 1.0)
         for _ in range(STEPS):
-            gap = wanted - self.word_chances(self.emissions(f), rows)
-            slope = np.zeros(self.weights.shape)
-            for c in range(k):
-                for affix in f.affixes:
-                    slope[:, c] += np.bincount(affix, gap[:, c], len(slope))
-                slope[:, c] += np.bincount(f.trigrams, gap[f.owner, c], len(slope))
-            slope -= 0.1 * self.weights
+            slope, turn, pull = -0.1 * self.weights.astype(float), -0.1 * self.moves, 0.0
+            for block in blocks:
+                pull += self._add_slopes(block, slope, turn)
             past += slope**2
-            joint = self.forward[inner][:, :, None] * np.exp(self.moves)[None] * \
-                (self.local[inner + 1] * self.back[inner + 1])[:, None, :]
-            expected = (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-            turn = seen - expected - 0.1 * self.moves
             past_moves += turn**2
-            pull = float((gap * self.lexicon[f.lexicon]).sum())
             past_lexicon += pull**2
             self.weights += (RATE * slope / np.sqrt(past)).astype(np.float32)
             self.moves += RATE * turn / np.sqrt(past_moves)
             self.lexicon_weight += 0.1 * pull / np.sqrt(past_lexicon)
 
+    def _add_slopes(self, block: Block, slope: np.ndarray, turn: np.ndarray) -> float:
+        """Add a block's part of the gradients of weights and transitions; returns that of the lexicon's weight."""
+        k, f, inner = len(self.names), block.features, block.inner
+        gap = np.eye(k)[block.labels] - self.word_chances(self.emissions(f), block.rows)
+        owner = f.owners()
+        for c in range(k):
+            for affix in f.affixes:
+                slope[:, c] += np.bincount(affix, gap[:, c], len(slope))
+            slope[:, c] += np.bincount(f.trigrams, gap[owner, c], len(slope))
+        joint = self.forward[inner][:, :, None] * np.exp(self.moves)[None] * \
+            (self.local[inner + 1] * self.back[inner + 1])[:, None, :]
+        seen = np.bincount(block.labels[inner].astype(np.int64) * k + block.labels[inner + 1], minlength=k * k)
+        turn += seen.reshape(k, k) - (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        return float((gap * self.lexicon[f.lexicon]).sum())
+
     def label(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
         """Words of some texts and the chance of each language for each word."""
         words = Words(raw, offsets, lower=True)
@@ -163,7 +191,23 @@ def has_letter(raw: np.ndarray) -> bool:
     return bool(_ASCII_LETTER[raw].any()) or any(c.isalpha() for c in raw.tobytes().decode())
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", most: int = MOST_TEXTS) -> Model:
+def sample_texts(known: DataFrame, most: int, most_bytes: int) -> list[tuple[str, bytes]]:
+    """Different texts with their languages, as columns ``l`` and ``t``, in the order of a hash up to either bound.
+
+    Hashes and lengths are ranked first; only then are texts read, so no task and no driver meets more than the bounds.
+    """
+    keyed = known.withColumn("h", F.xxhash64("t", "l"))
+    ranked = keyed.select("h", F.octet_length("t").alias("n")).distinct().orderBy("h", "n").limit(most).collect()
+    if not ranked:
+        return []
+    used = np.cumsum([r["n"] for r in ranked])
+    last = ranked[max(0, int(np.searchsorted(used, most_bytes, side="right")) - 1)]["h"]
+    rows = keyed.where(F.col("h") <= last).dropDuplicates(["h"]).orderBy("h").select("l", "t").collect()
+    return [(r["l"], r["t"].encode()) for r in rows]
+
+
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", most: int = MOST_TEXTS,
+        most_bytes: int = MOST_BYTES) -> Model:
     """Learns from texts outside the held-out fold whose language is known."""
     known = docs.where(~held_out(key) & F.col(text).isNotNull() & F.col(lang).isNotNull()) \
         .select(F.col(lang).alias("l"), F.col(text).cast("string").alias("t"))
@@ -188,19 +232,16 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     model = Model(names, lexicon)
     if len(names) < 2:
         return model
-    sample = known.orderBy(F.xxhash64("t", "l"), "t", "l").limit(most).toPandas()
-    texts = [t.encode() for t in sample["t"]]
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    words = Words(raw, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64), lower=True)
-    labels = np.repeat([number[x] for x in sample["l"]], np.diff(words.rows))
-    runs = [np.arange(a, min(a + RUN, z)) for p, z in zip(words.rows[:-1], words.rows[1:]) for a in range(p, z, RUN)]
-    dealt = np.random.default_rng(5).permutation(len(runs))
-    order = np.concatenate([runs[i] for i in dealt]) if len(runs) else np.empty(0, np.int64)
-    if not len(order):
-        return model
-    sizes = np.array([len(runs[i]) for i in dealt])
-    rows = np.append(np.concatenate([[0], np.cumsum(sizes)])[:-1][::RUNS], len(order))
-    model.fit(WordFeatures(words, order), labels[order], rows)
+    sample = sample_texts(known, most, most_bytes)
+    rng = np.random.default_rng(5)
+    place = np.cumsum([0, *(len(t) for _, t in sample)])[:-1] // BLOCK_BYTES
+    blocks = []
+    for p in np.unique(place):
+        part = [sample[i] for i in np.flatnonzero(place == p)]
+        blocks.append(Block([t for _, t in part], [number[x] for x, _ in part], rng))
+    blocks = [b for b in blocks if len(b.labels)]
+    if blocks:
+        model.fit(blocks)
     return model
 
 
