@@ -95,3 +95,30 @@ def test_scanned_counts_at_points(sample):
     points = [-1.0, 20.0, 20.005, float(a.max()), 1e9]
     found = {r["value"]: (r["n_lt"], r["n_le"]) for r in D.scan_counts_at({"n": df}, {"a": points}).collect()}
     assert found == {p: (int((a < p).sum()), int((a <= p).sum())) for p in points}
+
+
+def test_both_ways_agree_on_infinities_and_nan(spark):
+    from txnlens.operators import distribution as D
+    from txnlens.operators.profiling import describe_table, null_rates
+    from txnlens.operators.selection import anova_f, correlation_matrix
+
+    inf = float("inf")
+    values = [-inf, -inf, -1.5, -0.0, 0.0, 0.0, 2.0, 3.5, 7.0, inf, inf, inf, float("nan"), None]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    probabilities = [0.0, 0.5, 0.9, 1.0]
+    told = [{r["prob"]: r["value"] for r in D.column_quantiles(df, ["x"], probabilities, many_values=n).collect()}
+            for n in (0, 10**6)]
+    assert told[0] == told[1] and told[0][1.0] == inf and told[0][0.0] == -inf
+    points = {"x": [-inf, -0.0, 1.0, 3.5, inf]}
+    frame = spark.createDataFrame([("x", p) for p in points["x"]], "feature string, value double")
+    slow = D.counts_at(D.numeric_counts({"n": df}, ["x"]), frame, ["n"])
+    both = [{r["value"]: (r["n_lt"], r["n_le"]) for r in t.collect()} for t in (slow, D.scan_counts_at({"n": df}, points))]
+    assert both[0] == both[1] == {-inf: (0, 2), 0.0: (3, 6), 1.0: (6, 6), 3.5: (7, 8), inf: (9, 12)}
+
+    gaps = spark.createDataFrame([(1.0, 2.0, 0), (2.0, 4.5, 0), (4.0, 7.0, 1), (float("nan"), 1.0, 1), (3.0, 5.0, 1)],
+                                 "a double, b double, is_fraud int")
+    clean = gaps.withColumn("a", D.number("a"))
+    for f in (lambda d: describe_table(d, ["a", "b"]), lambda d: null_rates(d, ["a"]),
+              lambda d: correlation_matrix(d, ["a", "b"]), lambda d: anova_f(d, ["a", "b"])):
+        assert sorted(map(str, f(gaps).collect())) == sorted(map(str, f(clean).collect()))
+    assert null_rates(gaps, ["a"]).first()["n_null"] == 1

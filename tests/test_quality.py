@@ -1,3 +1,5 @@
+import json
+
 import pytest
 
 from txnlens.operators import profiling, quality as Q
@@ -49,7 +51,8 @@ def test_many_unexpected_values_are_not_cut_short(spark):
     df = spark.range(Q.LISTED_VALUES + 5).selectExpr("cast(id as string) v")
     rule = Rule(Q.DISTINCT_IN_SET, "v", values=("0",))
     got = by_rule(Q.run_suite(df, [rule]))[0]
-    assert not got["success"] and got["observed_value"] is None
+    assert not got["success"] and got["unexpected_count"] == Q.LISTED_VALUES + 4
+    assert len(json.loads(got["unexpected_value"])) == Q.LISTED_VALUES
     assert Q.observed_values(df, rule).count() == Q.LISTED_VALUES + 5
 
 
@@ -111,3 +114,16 @@ def test_ingest_and_validate_job(spark, sf_dir):
     assert len(rows) == 57
     assert rows[Q.UNIQUE, "trans_num"]["success"] and rows[Q.UNIQUE, "trans_num"]["element_count"] == analysis.count()
     assert not rows[Q.IN_SET, "state"]["success"] and not rows[Q.REGEX, "zip"]["success"]
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,), (float("nan"),)], "x double")
+    rules = [Rule(Q.NOT_NULL, "x"), Rule(Q.BETWEEN, "x", 0, 3), Rule(Q.UNIQUE, "x"), Rule(Q.DISTINCT_IN_SET, "x", values=(1.0, 2.0))]
+    got = by_rule(Q.run_suite(df, rules))
+    assert (got[0]["success"], got[0]["unexpected_count"]) == (False, 3)
+    assert got[1]["success"] and got[2]["success"] and got[3]["success"]
+
+
+def test_unknown_time_directives_are_refused(spark):
+    with pytest.raises(ValueError, match="%j"):
+        Q.run_suite(spark.createDataFrame([("2020",)], "t string"), [Rule(Q.STRFTIME, "t", pattern="%Y %j")])

@@ -5,10 +5,12 @@ from pyspark.sql.types import DataType, DoubleType, FloatType
 
 
 def id_text(col: str, dtype: DataType) -> Column:
-    """An identifier as text; whole floating numbers are printed without a decimal point."""
+    """An identifier as text; whole floating numbers are printed without a decimal point, others as they are."""
     value = F.col(col)
     if isinstance(dtype, (DoubleType, FloatType)):
-        value = value.try_cast("bigint")
+        whole = value.try_cast("bigint")
+        kept = F.when(~F.isnan(value), value.cast("string"))
+        return F.when(whole.cast("double") == value, whole.cast("string")).otherwise(kept)
     return value.cast("string")
 
 

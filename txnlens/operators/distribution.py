@@ -17,7 +17,9 @@ from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
+from txnlens.functions.stats import number
 from txnlens.session import materialize
 
 ROWS_PER_RANGE = 200_000
@@ -27,9 +29,11 @@ SKETCH_ACCURACY = 10_000
 _RANK_BINS = 1024
 
 
-def number(column: str) -> Column:
-    """The column as a double, with NaN as null."""
-    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+def missing(df: DataFrame, column: str) -> Column:
+    """True for null and, in floating columns, for NaN."""
+    absent = F.col(column).isNull()
+    floating = isinstance(df.schema[column].dataType, (DoubleType, FloatType))
+    return absent | F.isnan(column) if floating else absent
 
 
 def numeric_counts(samples: dict[str, DataFrame], columns) -> DataFrame:
@@ -148,7 +152,8 @@ def quantiles(counts: DataFrame, name: str, grid, rows_per_range: int = ROWS_PER
     picked = hits.groupBy("feature", "num", "den", "part").agg(
         F.max(F.when(F.col("side") == "low", F.col("value"))).alias("a"),
         F.max(F.when(F.col("side") == "high", F.col("value"))).alias("b"), (~F.max("gap")).alias("sure"))
-    return picked.select("feature", "num", "den", F.expr("a + (b - a) * part").alias("value"), "sure")
+    return picked.select("feature", "num", "den", # between equal ranks nothing is computed, so an infinity stays one
+                         F.expr("if(a = b or part = 0, a, a + (b - a) * part)").alias("value"), "sure")
 
 
 Brackets = dict[str, list[tuple[float, float]]]
@@ -188,15 +193,27 @@ def brackets(df: DataFrame, columns, grid, accuracy: int = SKETCH_ACCURACY, slac
     return found
 
 
+def _split_points(points) -> list[float]:
+    """Ascending split points from -inf to inf, three at least."""
+    inner = sorted({x + 0.0 for x in points} - {-math.inf, math.inf}) or [0.0]
+    return [-math.inf, *inner, math.inf]
+
+
 def _bucketed(df: DataFrame, splits: dict[str, list[float]], keep=()) -> DataFrame:
-    """(keep.., feature, value, k): the bucket of each value among its column's ascending split points."""
+    """(keep.., feature, value, k): the bucket of each value among its column's ascending split points.
+
+    The points reach from -inf to inf; a value of inf has a bucket of its own, numbered as the last point.
+    """
     columns = list(splits)
-    rows = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
+    # -0.0 is 0.0 here as in a grouping
+    plain = lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)
+    rows = df.select(*keep, *[plain(F.col(c).cast("double")).alias(c) for c in columns])
     ks = [f"_k_{i}" for i in range(len(columns))]
     placed = Bucketizer(splitsArray=[splits[c] for c in columns], inputCols=columns, outputCols=ks,
                         handleInvalid="keep").transform(rows)
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(k).alias("k"))
-                                for c, k in zip(columns, ks)]))
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"),
+                                         F.when(F.col(c) == math.inf, F.lit(float(len(splits[c]) - 1)))
+                                         .otherwise(F.col(k)).alias("k")) for c, k in zip(columns, ks)]))
     long = placed.select(*keep, cells.alias("cell")).select(*keep, "cell.*")
     return long.where(F.col("value").isNotNull() & ~F.isnan("value")).withColumn("k", F.col("k").cast("int"))
 
@@ -204,17 +221,16 @@ def _bucketed(df: DataFrame, splits: dict[str, list[float]], keep=()) -> DataFra
 def bracket_counts(df: DataFrame, inside: Brackets) -> DataFrame:
     """Stored (feature, value, n, gap): counts of the values inside the brackets and one row per gap between."""
     inf = math.inf
-    splits = {c: [-inf, *[x for low, high in b for x in (low, math.nextafter(high, inf))], inf]
+    splits = {c: _split_points(x for low, high in b for x in (low, math.nextafter(high, inf)))
               for c, b in inside.items()}
-    rows = _bucketed(df, splits)
-    # bucket 2i+1 is bracket i; a gap row stands at the split below it
-    gap = F.col("k") % 2 == 0
-    rows = rows.select("feature", "k", F.when(~gap, F.col("value")).alias("value"), gap.alias("gap"))
-    counts = rows.groupBy("feature", "k", "value", "gap").agg(F.count(F.lit(1)).alias("n"))
-    starts = df.sparkSession.createDataFrame([(c, i, x) for c, s in splits.items() for i, x in enumerate(s[:-1])],
-                                             "feature string, k int, start double")
-    return materialize(counts.join(F.broadcast(starts), ["feature", "k"]).select(
-        "feature", F.coalesce("value", "start").alias("value"), "n", "gap"), "counts")
+    # a bucket is kept value by value if it begins in a bracket; a gap row stands at the split below it
+    starts = df.sparkSession.createDataFrame(
+        [(c, i, x, not any(low <= x <= high for low, high in inside[c])) for c, s in splits.items()
+         for i, x in enumerate(s)], "feature string, k int, start double, gap boolean")
+    rows = _bucketed(df, splits).join(F.broadcast(starts), ["feature", "k"])
+    value = F.when(F.col("gap"), F.col("start")).otherwise(F.col("value"))
+    return materialize(rows.select("feature", value.alias("value"), "gap").groupBy("feature", "value", "gap").agg(
+        F.count(F.lit(1)).alias("n")).select("feature", "value", "n", "gap"), "counts")
 
 
 def wide_quantiles(df: DataFrame, columns, grid, accuracy: int = SKETCH_ACCURACY, slack: float = 2.0) -> DataFrame:
@@ -247,24 +263,30 @@ def column_quantiles(df: DataFrame, columns, probabilities, many_values: int = M
 def scan_counts_at(samples: dict[str, DataFrame], points: dict[str, list[float]]) -> DataFrame:
     """Like :func:`counts_at`, by one scan that counts each row's bucket among the points."""
     names = list(samples)
-    splits = {c: [-math.inf, *sorted({y for x in xs for y in (x, math.nextafter(x, math.inf))}), math.inf]
+    splits = {c: _split_points(y for x in xs for y in (x, math.nextafter(x + 0.0, math.inf)))
               for c, xs in points.items()}
+    place = {c: {x: k for k, x in enumerate(s)} for c, s in splits.items()}
     flagged = [df.select(*[F.lit(int(n == o)).cast("bigint").alias(o) for o in names], *points)
                for n, df in samples.items()]
     counts = _bucketed(reduce(DataFrame.unionByName, flagged), splits, names).groupBy("feature", "k").agg(
         *[F.sum(n).alias(n) for n in names])
     spark = counts.sparkSession
     # as many rows as split points
-    grid = spark.createDataFrame([(c, k, x) for c, s in splits.items() for k, x in enumerate(s[1:])],
-                                 "feature string, k int, upto double")
+    grid = spark.createDataFrame([(c, k) for c, s in splits.items() for k in range(len(s))], "feature string, k int")
     w = Window.partitionBy("feature").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    below = grid.join(counts, ["feature", "k"], "left").select(
-        "feature", "upto", *[F.sum(F.coalesce(n, F.lit(0))).over(w).alias(n) for n in names])
-    wanted = spark.createDataFrame([(c, x, math.nextafter(x, math.inf)) for c, xs in points.items() for x in set(xs)],
-                                   "feature string, value double, after double")
-    lt = below.select("feature", F.col("upto").alias("value"), *[F.col(n).alias(f"{n}_lt") for n in names])
-    le = below.select("feature", F.col("upto").alias("after"), *[F.col(n).alias(f"{n}_le") for n in names])
-    return wanted.join(lt, ["feature", "value"]).join(le, ["feature", "after"]).drop("after")
+    through = grid.join(counts, ["feature", "k"], "left").select(
+        "feature", "k", *[F.sum(F.coalesce(n, F.lit(0))).over(w).alias(n) for n in names])
+
+    def upto(c: str, x: float) -> int:
+        """The last bucket with values up to x; that of inf is the last of all."""
+        return len(splits[c]) - 1 if x == math.inf else place[c][math.nextafter(x + 0.0, math.inf)] - 1
+
+    wanted = spark.createDataFrame([(c, x, place[c][x + 0.0] - 1, upto(c, x)) for c, xs in points.items() for x in set(xs)],
+                                   "feature string, value double, k_lt int, k_le int")
+    for side in ("lt", "le"):
+        some = through.select("feature", F.col("k").alias(f"k_{side}"), *[F.col(n).alias(f"{n}_{side}") for n in names])
+        wanted = wanted.join(some, ["feature", f"k_{side}"], "left")
+    return wanted.na.fill(0, [f"{n}_{side}" for n in names for side in ("lt", "le")]).drop("k_lt", "k_le")
 
 
 def counts_at(counts: DataFrame, points: DataFrame, names, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from txnlens.functions.dates import cycle
+from txnlens.functions.stats import number
 from txnlens.operators.lookup import join_lookup, lookup_sizes
 from txnlens.roles import CYCLE_LENGTHS
 from txnlens.session import materialize
@@ -94,9 +95,9 @@ def cyclic_encode(df: DataFrame, periods: dict[str, int] = CYCLE_LENGTHS) -> Dat
 
 
 def fit_standard(df: DataFrame, columns) -> DataFrame:
-    """(feature, mean, std) with the population deviation, all columns in one pass."""
-    one = df.agg(*[F.avg(c).alias(f"{c}__mean") for c in columns],
-                 *[F.stddev_pop(c).alias(f"{c}__std") for c in columns])
+    """(feature, mean, std) with the population deviation, all columns in one pass; NaN counts as missing."""
+    one = df.agg(*[F.avg(number(c)).alias(f"{c}__mean") for c in columns],
+                 *[F.stddev_pop(number(c)).alias(f"{c}__std") for c in columns])
     return one.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"))
         for c in columns])))

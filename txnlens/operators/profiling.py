@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from txnlens.operators.distribution import column_quantiles, number, numeric_counts, quantiles
+from txnlens.operators.distribution import column_quantiles, missing, number, numeric_counts, quantiles
 from txnlens.operators.encoding import category_counts, shares_of
 
 QUARTILES = ((1, 4), (1, 2), (3, 4))
@@ -29,10 +29,10 @@ def _to_rows(one: DataFrame, columns, fields) -> DataFrame:
 
 
 def null_rates(df: DataFrame, columns=None) -> DataFrame:
-    """(column_name, n_null, null_rate) for all columns in one pass."""
+    """(column_name, n_null, null_rate) for all columns in one pass; NaN counts as null."""
     columns = list(columns or df.columns)
-    one = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}__n_null") for c in columns],
-                 *[F.avg(F.col(c).isNull().cast("int")).alias(f"{c}__null_rate") for c in columns])
+    one = df.agg(*[F.count_if(missing(df, c)).alias(f"{c}__n_null") for c in columns],
+                 *[F.avg(missing(df, c).cast("int")).alias(f"{c}__null_rate") for c in columns])
     return _to_rows(one, columns, ["n_null", "null_rate"])
 
 
@@ -104,7 +104,7 @@ def describe_table(df: DataFrame, columns=None) -> DataFrame:
     """count, mean, sample deviation, minimum, exact quartiles and maximum per numeric column."""
     columns = list(columns or numeric_columns(df))
     fields = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min_value": F.min, "max_value": F.max}
-    one = df.agg(*[f(F.col(c).cast("double")).alias(f"{c}__{name}") for c in columns for name, f in fields.items()])
+    one = df.agg(*[f(number(c)).alias(f"{c}__{name}") for c in columns for name, f in fields.items()])
     moments = _to_rows(one, columns, list(fields)).withColumnRenamed("column_name", "feature")
     q = column_quantiles(df, columns, [0.25, 0.5, 0.75])
     at = lambda p: F.max(F.when(F.col("prob") == p, F.col("value")))
@@ -130,16 +130,16 @@ def profile_table(df: DataFrame, columns=None, exact: bool = True) -> DataFrame:
     null_double = F.lit(None).cast("double")
     aggs = []
     for c in keep:
-        x = F.col(c).cast("double") if c in numeric else null_double
+        x = number(c) if c in numeric else null_double
         aggs += [
-            F.count(F.lit(1)).alias(f"{c}__n_rows"), F.count_if(F.col(c).isNull()).alias(f"{c}__n_null"),
+            F.count(F.lit(1)).alias(f"{c}__n_rows"), F.count_if(missing(df, c)).alias(f"{c}__n_null"),
             F.min(x).alias(f"{c}__min_value"), F.max(x).alias(f"{c}__max_value"), F.avg(x).alias(f"{c}__mean"),
             F.stddev_samp(x).alias(f"{c}__std"),
             (F.count_if(F.col(c) == 0) if c in numeric else F.lit(None).cast("bigint")).alias(f"{c}__n_zero"),
         ]
         if not exact:
             quart = F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000)
-            aggs += [F.approx_count_distinct(c).alias(f"{c}__n_distinct"),
+            aggs += [F.approx_count_distinct(x if c in numeric else F.col(c)).alias(f"{c}__n_distinct"),
                      *[quart[i].alias(f"{c}__{q}") for i, q in enumerate(("q1", "median", "q3"))]]
     fields = ["n_rows", "n_null", "min_value", "max_value", "mean", "std", "n_zero"]
     if not exact:

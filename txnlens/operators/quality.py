@@ -6,6 +6,7 @@ own column first, so a repeated value arrives condensed. Rules on an absent colu
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,6 +15,8 @@ from pyspark.sql.types import (DateType, DoubleType, FloatType, IntegerType, Lon
                                TimestampType)
 
 from txnlens import roles as R
+from txnlens.operators.distribution import missing
+from txnlens.session import materialize
 
 # Names of the expectations a suite may hold.
 COLUMN_SET = "expect_table_columns_to_match_set"
@@ -64,6 +67,9 @@ def _type_name(dtype) -> str:
 
 
 def _java_format(strftime: str) -> str:
+    unknown = set(re.findall("%.", strftime)) - set(_STRFTIME_LETTERS)
+    if unknown:
+        raise ValueError(f"strftime directives without a translation: {sorted(unknown)}")
     for python, java in _STRFTIME_LETTERS.items():
         strftime = strftime.replace(python, java)
     return strftime
@@ -116,8 +122,8 @@ def _judge(base: Column, bad: Column, mostly: float) -> tuple[Column, Column]:
 def _scan_report(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
     columns = list(dict.fromkeys(r.column for _, r in rules))
     known = {c: f"known_{i}" for i, c in enumerate(columns)}
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.count(F.col(c)).alias(a) for c, a in known.items()]
-    aggs += [F.count_if(F.col(r.column).isNotNull() & _unexpected(r)).alias(f"bad_{i}")
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.count_if(~missing(df, c)).alias(a) for c, a in known.items()]
+    aggs += [F.count_if(~missing(df, r.column) & _unexpected(r)).alias(f"bad_{i}")
              for i, r in rules if r.expectation != NOT_NULL]
     structs = []
     for i, r in rules:
@@ -131,7 +137,7 @@ def _scan_report(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
 
 
 def _unique_report(df: DataFrame, i: int, rule: Rule) -> DataFrame:
-    groups = df.groupBy(F.col(rule.column).alias("v")).agg(F.count(F.lit(1)).alias("k"))
+    groups = df.groupBy(F.when(~missing(df, rule.column), F.col(rule.column)).alias("v")).agg(F.count(F.lit(1)).alias("k"))
     one = groups.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n"),
                      F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("k"))), F.lit(0)).alias("base"),
                      F.coalesce(F.sum(F.when(F.col("v").isNotNull() & (F.col("k") > 1), F.col("k"))), F.lit(0))
@@ -142,28 +148,26 @@ def _unique_report(df: DataFrame, i: int, rule: Rule) -> DataFrame:
 
 def observed_values(df: DataFrame, rule: Rule) -> DataFrame:
     """(value, n, allowed): every distinct value of a distinct-set rule, however many there are."""
-    return (df.where(F.col(rule.column).isNotNull())
+    return (df.where(~missing(df, rule.column))
             .groupBy(F.col(rule.column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
             .withColumn("allowed", F.col("value").isin(*rule.values)))
 
 
 def _distinct_report(df: DataFrame, i: int, rule: Rule) -> DataFrame:
-    """Lists the observed values if there are at most LISTED_VALUES unexpected ones.
+    """Exact number of unexpected values; the lists show the first LISTED_VALUES of each kind in order.
 
-    Beyond that the lists are null; :func:`observed_values` has them all.
+    :func:`observed_values` has them all. The values are grouped once and stored.
     """
-    seen = observed_values(df, rule)
+    seen = materialize(observed_values(df, rule), "observed")
     stats = seen.agg(F.lit(i).alias("i"), F.count_if(~F.col("allowed")).alias("bad"))
-    # the allowed values are bounded by the rule, the others by the limit
+    # the allowed values are bounded by the rule, the others by the length of the list
     good = seen.where("allowed").agg(F.lit(i).alias("i"), F.collect_list("value").alias("good"))
-    other = seen.where("not allowed").limit(LISTED_VALUES + 1).agg(
+    other = seen.where("not allowed").orderBy("value").limit(LISTED_VALUES).agg(
         F.lit(i).alias("i"), F.collect_list("value").alias("other"))
     one = stats.join(good, "i").join(other, "i")
-    fits = F.col("bad") <= LISTED_VALUES
     return one.select(*_row(
-        i, rule, success=F.col("bad") == 0,
-        bad_values=F.when(fits, F.to_json(F.array_sort("other"))),
-        observed=F.when(fits, F.to_json(F.array_sort(F.concat("good", "other"))))))
+        i, rule, success=F.col("bad") == 0, unexpected=F.col("bad"), bad_values=F.to_json(F.array_sort("other")),
+        observed=F.to_json(F.array_sort(F.concat("good", "other")))))
 
 
 def check_columns(df: DataFrame, expected) -> tuple[list[str], list[str]]:

@@ -11,6 +11,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
+from txnlens.functions.stats import number
 from txnlens.operators.ingest import drop_listed_features
 from txnlens.roles import TARGET
 
@@ -26,7 +27,7 @@ def correlation_matrix(df: DataFrame, columns) -> DataFrame:
     also serves very wide frames; only pairs with a column that has nulls need aggregates of their own.
     """
     columns = list(columns)
-    x = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    x = df.select(*[number(c).alias(c) for c in columns])  # NaN is a gap like null
     # one row: nulls and spread per column
     one = x.agg(*[F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(columns)],
                 *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(columns)]).first()
@@ -70,9 +71,9 @@ def anova_f(df: DataFrame, columns, target: str = TARGET) -> DataFrame:
     """(feature, position, f_score): one-way F per column from per-class counts, means and variances."""
     columns = list(columns)
     per_class = df.groupBy(target).agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
-        *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(columns)],
-        *[F.var_pop(c).alias(f"v_{i}") for i, c in enumerate(columns)])
+        *[F.count(number(c)).alias(f"n_{i}") for i, c in enumerate(columns)],
+        *[F.avg(number(c)).alias(f"m_{i}") for i, c in enumerate(columns)],
+        *[F.var_pop(number(c)).alias(f"v_{i}") for i, c in enumerate(columns)])
     long = per_class.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.lit(i).alias("position"), F.col(f"n_{i}").alias("n"),
                  F.col(f"m_{i}").alias("m"), F.col(f"v_{i}").alias("v")) for i, c in enumerate(columns)])))
