@@ -198,3 +198,25 @@ def test_pipeline_stages(spark, sf_dir):
     first = {root for _, root in near_brute(texts, 5, 80).values()}
     assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, kept, sf_dir).collect()} == first
     assert corpus_pipeline.run(spark, sf_dir).where("rate >= 0").count() > 0
+
+
+def test_language_fit_on_bounded_sample_of_hard_texts(spark):
+    hard = ["", "   \n", "a", "é", "x " * 40]
+    rows = [(i, t, lang) for lang in ("de", "en") for i, t in enumerate(hard)]
+    rows += [(100 + i, f"the cat and the dog number{i}", "en") for i in range(60)]
+    rows += [(200 + i, f"der hund und die katze nummer{i}", "de") for i in range(60)]
+    rows += [(300, "the big house", "en")] * 50  # repeated rows count once
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    known = table.selectExpr("lang l", "text t")
+    whole = language_crf.sample_texts(known, 10_000, 1 << 20)
+    assert len(whole) == len({(r[2], r[1]) for r in rows}) == len(set(whole))
+    assert len(language_crf.sample_texts(known, 7, 1 << 20)) == 7
+    few = language_crf.sample_texts(known, 10_000, 300)
+    assert few == whole[:len(few)] and 0 < sum(len(t) for _, t in few) <= 300
+    for texts in ([b""], [b"  ", b""], [b"a"]):
+        block = language_crf.Block(texts, [0] * len(texts), np.random.default_rng(1))
+        assert len(block.labels) == sum(len(t.split()) for t in texts)
+    told = language_crf.identify(table, language_crf.fit(table), "doc_id").where("doc_id between 100 and 299")
+    assert told.where("lang_pred = if(doc_id < 200, 'en', 'de')").count() == 120
+    blank = table.where("trim(text) = ''")
+    assert {r["lang_pred"] for r in language_crf.identify(blank, language_crf.fit(blank), "doc_id").collect()} == {"und"}
