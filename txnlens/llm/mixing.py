@@ -2,9 +2,9 @@
 
 A classifier learned from the table of labels gives every document its chances of belonging to each domain (here: each
 pair of quality and toxicity that the labels hold). Projected-gradient least squares then finds a rate of repetition for
-every document, 0 or more, whose expected tokens by domain meet the targets. A step needs only the domains' totals: one
-distributed sum; a document's rate follows from the steps' short history, so nothing but one number a domain and step
-passes through the driver and a lost executor costs nothing.
+every document, 0 or more, whose expected tokens by domain meet the targets. A step, with momentum, needs only one
+distributed sum; a document's rate follows from the steps' short history, so nothing but a few numbers a step passes
+through the driver and a lost executor costs nothing.
 
 The classifier is a softmax over text features and word evidence, both learned from at most ``MOST_ROWS`` labelled rows
 (a documented bound; rows are taken in the order of a hash of their key). Tokens are words of the text. Defined cases: null and
@@ -15,6 +15,8 @@ counts with the smallest pair; extra columns are not read.
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -141,38 +143,61 @@ def memberships(docs: DataFrame, model: Domains, *keys: str, text: str = "text")
 
 
 def rate_of(history: list[list[float]]) -> Column:
-    """A document's rate after the given steps: each one subtracts its own share and stays at 0 or above."""
-    if not history:
-        return F.lit(1.0)
-    steps = F.array(*[F.array(*[F.lit(float(v)) for v in h]) for h in history])
-    pull = lambda h: F.aggregate(F.zip_with("chances", h, lambda p, v: p * v), F.lit(0.0), lambda s, v: s + v)
-    return F.aggregate(steps, F.lit(1.0), lambda r, h: F.greatest(F.lit(0.0), r - pull(h)))
+    """A document's ``x`` (its rate) and ``y`` (where the next slope is taken) after the given steps, and before the last.
+
+    Each step holds the domains' slopes and the momentum: the rate goes from ``y`` against the slope and stays at 0 or
+    above, and ``y`` goes on from the new rate in the direction it moved.
+    """
+    # one literal, since a column object for every number takes longer than the step itself
+    steps = F.from_json(F.lit(json.dumps([{"slope": h[:-1], "momentum": h[-1]} for h in history])),
+                        "array<struct<slope: array<double>, momentum: double>>")
+    state = lambda **parts: F.struct(*[c.alias(n) for n, c in parts.items()])
+    one = F.lit(1.0)
+
+    def step(now: Column, by: Column) -> Column:
+        pull = F.aggregate(F.zip_with("chances", by["slope"], lambda p, v: p * v), F.lit(0.0), lambda s, v: s + v)
+        rate = F.greatest(F.lit(0.0), now["y"] - pull)
+        return state(x=rate, y=rate + by["momentum"] * (rate - now["x"]), last_x=now["x"], last_y=now["y"])
+    return F.aggregate(steps, state(x=one, y=one, last_x=one, last_y=one), step)
 
 
 def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float], steps: int = STEPS) -> list[list[float]]:
     """History of steps that brings the expected tokens of every domain to its target share of all tokens.
 
     The squares of the misses are weighted by 1 over the domain's tokens and the rates by the document's tokens; in
-    this measure the slope's steepness is at most 1, so full steps converge.
+    this measure the slope's steepness is at most 1, so full steps converge. Momentum grows from step to step and
+    starts anew when it leads uphill; one pass gives all that a step needs.
     """
     k = len(names)
-    totals = lambda rate: members.agg(*[
-        F.sum(F.col("n_tokens") * F.col("chances")[i] * rate).alias(f"s{i}") for i in range(k)]).first()
-    start = [float(v or 0.0) for v in totals(F.lit(1.0))]
+
+    def measure(history: list[list[float]]) -> tuple[list[float], list[float], float]:
+        """Expected tokens by domain at ``x`` and at ``y``, and how far the last momentum led uphill."""
+        told = members.select("n_tokens", "chances", rate_of(history).alias("now"))
+        x, y = F.col("now.x"), F.col("now.y")
+        row = told.agg(*[F.sum(F.col("n_tokens") * F.col("chances")[i] * at).alias(f"{name}{i}")
+                         for name, at in (("x", x), ("y", y)) for i in range(k)],
+                       F.sum(F.col("n_tokens") * (F.col("now.last_y") - x) * (x - F.col("now.last_x"))).alias("up")).first()
+        value = [float(v or 0.0) for v in row]
+        return value[:k], value[k:2 * k], value[-1]
+
+    start, _, _ = measure([])
     everything = sum(start)
     given = sum(targets.get(n, 0.0) for n in names)
     loose = [n for n in names if n not in targets]
     spread = max(0.0, 1.0 - given) / len(loose) if loose else 0.0
     wanted = [targets.get(n, spread) for n in names]
     wanted = [everything * w / (sum(wanted) or 1.0) for w in wanted]
+    miss = lambda sums: [(s - w) / n if n > 0 else 0.0 for s, w, n in zip(sums, wanted, start)]
     history: list[list[float]] = []
-    now = start
-    for _ in range(steps):
-        miss = [(s - w) / n if n > 0 else 0.0 for s, w, n in zip(now, wanted, start)]
-        if max(map(abs, miss), default=0.0) < TOLERANCE:
-            break
-        history.append(miss)
-        now = [float(v or 0.0) for v in totals(rate_of(history))]
+    at_x = at_y = start
+    weight = 1.0
+    while len(history) < steps and max(map(abs, miss(at_x)), default=0.0) >= TOLERANCE:
+        grown = (1 + math.sqrt(1 + 4 * weight * weight)) / 2
+        history.append([*miss(at_y), (weight - 1) / grown])
+        at_x, at_y, uphill = measure(history)
+        weight = grown
+        if uphill > 0:
+            history[-1][-1], at_y, weight = 0.0, at_x, 1.0
     return history
 
 
@@ -184,4 +209,4 @@ def mix(docs: DataFrame, labels: DataFrame, *keys: str, key: str = "doc_id", tex
     history = fit_rates(members, model.names, TARGETS if targets is None else targets)
     top = F.get(F.array(*[F.lit(n) for n in model.names]),
                 (F.array_position("chances", F.array_max("chances")) - 1).cast("int"))
-    return members.select(*keys, "n_tokens", "chances", top.alias("domain"), rate_of(history).alias("rate"))
+    return members.select(*keys, "n_tokens", "chances", top.alias("domain"), rate_of(history)["x"].alias("rate"))
