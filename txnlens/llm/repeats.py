@@ -188,6 +188,7 @@ def repeated_spans(source: DataFrame, kind: str, size: int, gram: int, judge: Ju
     """
     flat = source.mapInArrow(_anchors(kind, size, gram, False), "g bigint, l bigint")
     shared = flat.groupBy("g").agg(F.min("l").alias("x"), F.max("l").alias("y")).where("x <> y").select("g")
+    shared = materialize(shared, "shared")  # stored, so that the join below can split the places of one hot anchor
     full = source.mapInArrow(_anchors(kind, size, gram, True),
                              "g bigint, w bigint, d bigint, h bigint, lo bigint, hi bigint")
     found = materialize(full.join(shared, "g"), "anchors")
