@@ -220,3 +220,51 @@ def test_language_fit_on_bounded_sample_of_hard_texts(spark):
     assert told.where("lang_pred = if(doc_id < 200, 'en', 'de')").count() == 120
     blank = table.where("trim(text) = ''")
     assert {r["lang_pred"] for r in language_crf.identify(blank, language_crf.fit(blank), "doc_id").collect()} == {"und"}
+
+
+def leaks_brute(texts, items):
+    """All (document, item) whose words around some 32nd word hold 0.6 of the item and half of its answer in order."""
+    def split(t):
+        return decontaminate.clean_words(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+
+    def common(x, y):
+        row = [0] * (len(y) + 1)
+        for u in x:
+            new = [0]
+            for j, v in enumerate(y):
+                new.append(row[j] + 1 if u == v else max(new[j], row[j + 1]))
+            row = new
+        return row[-1]
+    out = set()
+    asked = []
+    for i, t in items.items():
+        w = split(t).hashes().tolist()
+        last = [p for p in t.replace("\n", ". ").split(". ") if any(c.isalnum() for c in p)][-1]
+        asked.append((i, w, w[len(w) - len(split(last).starts):]))
+    for d, t in texts.items():
+        words_of = split(t).hashes().tolist() if t else []
+        for i, w, tail in asked:
+            n = len(w)
+            for middle in range(0, len(words_of), decontaminate.STEP):
+                around = words_of[max(0, middle - n):middle + 2 * decontaminate.STEP + n]
+                if sum(x in around for x in w) / n >= 0.6 and common(w, around) / n >= 0.6 \
+                        and common(tail, around) / len(tail) >= 0.5:
+                    out.add((d, i))
+                    break
+    return out
+
+
+def leaks_found(spark, texts, items):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    rows = decontaminate.find_leaks(docs, spark.createDataFrame(list(items.items()), "item_id bigint, text string"))
+    return {(r["doc_id"], r["item_id"]): r for r in rows.collect()}
+
+
+def test_item_of_a_third_of_all_rows_and_tiny_tables_leak(spark):
+    item = {1: " ".join(f"q{i}" for i in range(23)), 2: "some other thing that nobody holds anywhere"}
+    texts = {d: f"plain text {d} with words " * 30 + (item[1] if d % 3 == 0 else "") for d in range(90)}
+    tiny = {0: "before " + item[1], 1: item[1] + " after", 2: "nothing of it"}
+    for table in (texts, tiny):
+        got = leaks_found(spark, table, item)
+        assert set(got) == {(d, 1) for d, t in table.items() if item[1] in t}
+        assert all(r["cosine"] > 0 for r in got.values())

@@ -4,10 +4,14 @@
    taken in blocks of ``BLOCK_ITEMS`` items, so its words stay a table of bounded size.
 2. Passages of two neighbouring blocks of ``STEP`` words are TF-IDF rows over those words (document frequencies from all
    passages). A randomised SVD of all rows is computed where they are: each task adds up its share of A'AQ, the shares
-   are summed by ranges of terms in two levels, and only terms x rank numbers reach the driver.
-3. Passages and items meet by cosine in the latent space. Every passage over the threshold is a candidate, none is
-   capped, and is confirmed by the longest common subsequence of words with the item and with the item's answer (its
-   last sentence), so paraphrases that change some words are found and chance neighbours are not.
+   are summed by ranges of terms in two levels, and only terms x rank numbers reach the driver. The rarest words of
+   every item have weight however often they stand, so an item that leaked often, or a small table, has its cosine.
+3. Passages and items meet by an exact bound: a passage is a candidate if enough of the item's words stand around it for
+   ``LEAST_COMMON`` (first counted over the item's rarest words only, then over all). A confirmed passage always meets
+   the bound, whatever its cosine, so a search by cosine could add none to it. None is capped.
+4. A candidate is confirmed by the longest common subsequence of words with the item and with the item's answer (its
+   last sentence), so paraphrases that change some words are found and chance neighbours are not. Confirmed passages get
+   their cosine in the latent space, which chooses among rows with the same common words.
 
 Defined cases: null and empty texts leak nothing; null or empty items are never leaked; equal rows get equal results,
 rows with a null key are reported under the null key; an empty benchmark or corpus gives an empty result; other
@@ -30,10 +34,11 @@ from txnlens.session import materialize
 BLOCK_ITEMS = 1_000
 STEP = 32
 RANK = 96
-#: Terms in more than this share of the blocks carry no weight.
+#: Terms in more than this share of the blocks carry no weight, but for the rarest terms of each item.
 MOST_SHARE = 0.005
-LEAST_COSINE = 0.4
 LEAST_COMMON = 0.6
+#: How many of an item's rarest words have to stand around a passage before all of them are counted.
+PROBES = 3
 LEAST_ANSWER = 0.5
 #: Terms whose sums travel together.
 TERM_RANGE = 256
@@ -70,6 +75,70 @@ class Items:
         self.answer_masks = [_masks(w) for w in self.answers]
 
 
+class Bound:
+    """Which items may share ``LEAST_COMMON`` of their words with the text around a row: exact, nothing is missed.
+
+    A common subsequence of ``need`` words leaves out n - need of the item's n words. So of its n - need + p rarest words
+    at least p stand around the row.
+    """
+
+    def __init__(self, items: Items, seen: np.ndarray):
+        n_terms, length = len(items.terms), np.array([len(w) for w in items.words])
+        self.length = length
+        self.need = np.array([next(k for k in range(1, n + 1) if k / n >= LEAST_COMMON) for n in length.tolist()])
+        self.reach = -(-length // STEP)  # blocks before a row and after its second block
+        self.padded = np.full((len(length), length.max()), n_terms)
+        probes = np.minimum(length, length - self.need + PROBES)
+        self.least = probes - (length - self.need)
+        most = int(length.max()) * STEP * 2 * (int(self.reach.max()) + 1)
+        self.order = np.argsort(self.reach, kind="stable")  # columns of one reach stand together
+        self.times = np.zeros((n_terms, len(length)), np.uint16 if most < 1 << 16 else np.int64)
+        for column, i in enumerate(self.order):
+            w = items.words[i]
+            self.padded[i, :len(w)] = w
+            np.add.at(self.times, (w[np.argsort(seen[w], kind="stable")[:probes[i]]], column), 1)
+        self.probe = self.times.any(axis=1)
+        self.slab = max(256, 1_000_000 // max(n_terms, len(length)))  # rows that are looked at together
+
+    def pairs(self, blocks: Blocks) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows and items that meet the bound, by ranges of rows."""
+        n_terms, widest = len(self.times), int(self.reach.max())
+        edge = np.searchsorted(blocks.block, np.arange(blocks.n + 1))
+        for low in range(0, blocks.n, self.slab):
+            rows = min(self.slab, blocks.n - low)
+            begin, end = max(0, low - widest), min(blocks.n, low + rows + 1 + widest)
+            block = blocks.block[edge[begin]:edge[end]] - low + widest
+            term = blocks.term[edge[begin]:edge[end]]
+            some = self.probe[term]
+            if not some.any():
+                continue
+            count = np.zeros((rows + 1 + 2 * widest, len(self.length)), self.times.dtype)
+            at = block[some]
+            cut = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            count[at[cut]] = np.add.reduceat(self.times[term[some]], cut, axis=0)
+            near, items = [], []
+            for r in np.unique(self.reach):
+                a, b = np.searchsorted(self.reach[self.order], [r, r + 1])
+                own = self.order[a:b]
+                around = count[widest - r:widest - r + rows, a:b].copy()
+                for k in range(1 - r, r + 2):
+                    around += count[widest + k:widest + k + rows, a:b]
+                x, y = np.divmod(np.flatnonzero(around >= self.least[own].astype(around.dtype)), len(own))
+                near.append(x)
+                items.append(own[y])
+            near, items = np.concatenate(near), np.concatenate(items)
+            present = np.zeros((len(count), n_terms + 1), bool)
+            present[block, term] = True
+            for start in range(0, len(near), 1 << 14):
+                x, y = near[start:start + (1 << 14)], items[start:start + (1 << 14)]
+                held = np.zeros((len(x), self.padded.shape[1]), bool)
+                for k in range(-widest, widest + 2):
+                    use = np.flatnonzero((k >= -self.reach[y]) & (k <= self.reach[y] + 1))
+                    held[use] |= present[x[use, None] + widest + k, self.padded[y[use]]]
+                good = held.sum(axis=1) >= self.need[y]
+                yield x[good] + low, y[good]
+
+
 def _masks(words: np.ndarray) -> dict[int, int]:
     out: dict[int, int] = {}
     for i, w in enumerate(words.tolist()):
@@ -246,57 +315,40 @@ def leaks_of(stored: DataFrame, items: Items, rank: int = RANK) -> DataFrame:
     """(d, item_id, cosine, common, answer, first_word, end_word): every confirmed passage's best row for an item."""
     n_terms = len(items.terms)
     seen, blocks = term_blocks(stored, n_terms)
-    weight = np.where(seen <= max(1, MOST_SHARE * blocks), np.log((blocks + 1) / (seen + 1)) + 1, 0)
+    bound = Bound(items, seen)
+    common_term = (seen > max(1, MOST_SHARE * blocks)) & ~bound.probe
+    weight = np.where(common_term, 0, np.log((blocks + 1) / (seen + 1)) + 1)
     basis = latent_basis(stored, weight, rank)
     own = Blocks(items.words)
     latent = _unit(own.passages(weight, basis)[0])
-    item_of = np.repeat(np.arange(len(items.words)), np.diff(own.first))
-    solid = np.linalg.norm(latent, axis=1) > 0.5
-    longest = max(map(len, items.words))
-    length = np.array([len(w) for w in items.words])
-    padded = np.full((len(length), longest), n_terms)
-    for i, w in enumerate(items.words):
-        padded[i, :len(w)] = w
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        present = np.zeros(n_terms + 1, np.int32)
         for batch in batches:
+            keys = batch.column(0)
             for start, texts in _texts(batch):
-                part = Blocks(texts)
-                rows = _unit(part.passages(weight, basis)[0])
                 out: dict[tuple[int, int], tuple] = {}
-                text_of = np.repeat(np.arange(len(texts)), np.diff(part.first))
-                for low in range(0, len(rows), 8192):
-                    near = rows[low:low + 8192] @ latent.T
-                    pairs: list[tuple[int, int, int, int]] = []
-                    r, c = np.nonzero((near >= LEAST_COSINE) & solid[None, :])
-                    r, c = r + low, item_of[c]
-                    begin = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]])) if len(r) else r
-                    for x, y in zip(begin, np.append(begin[1:], len(r))):
-                        row, text = int(r[x]), int(text_of[r[x]])
-                        middle = (row - int(part.first[text])) * STEP
-                        # No subsequence is longer than the item's words that stand around at all.
-                        wide = texts[text][max(0, middle - longest):middle + 2 * STEP + longest]
-                        present[wide] = 1
-                        present[-1] = 0  # unknown words and the padding
-                        near_items = np.unique(c[x:y])
-                        enough = present[padded[near_items]].sum(axis=1) >= LEAST_COMMON * length[near_items]
-                        present[wide] = 0
-                        pairs += [(row, text, middle, int(i)) for i in near_items[enough]]
-                    for row, text, middle, item in pairs:
-                        n = len(items.words[item])
-                        cosine = float(near[row - low][item_of == item].max())
-                        a, b = max(0, middle - n), min(len(texts[text]), middle + 2 * STEP + n)
+                part = Blocks(texts)
+                sure: dict[int, list[tuple]] = {}
+                for rows, near in bound.pairs(part):
+                    text_of = np.searchsorted(part.first, rows, side="right") - 1
+                    for row, item, text in zip(rows.tolist(), near.tolist(), text_of.tolist()):
+                        n, m = len(items.words[item]), len(items.answers[item])
+                        place = row - int(part.first[text])
+                        a, b = max(0, place * STEP - n), min(len(texts[text]), (place + 2) * STEP + n)
                         around = texts[text][a:b].tolist()
                         common = common_length(items.masks[item], n, around) / n
                         if common < LEAST_COMMON:
                             continue
-                        m = len(items.answers[item])
                         answer = common_length(items.answer_masks[item], m, around) / m if m else 1.0
-                        if answer >= LEAST_ANSWER and (common, cosine) > out.get((text, item), (0.0, 0.0))[:2]:
+                        if answer >= LEAST_ANSWER:
+                            sure.setdefault(text, []).append((place, item, common, answer, a, b))
+                for text, held in sure.items():
+                    rows = _unit(Blocks([texts[text]]).passages(weight, basis)[0])
+                    for place, item, common, answer, a, b in held:
+                        cosine = float((latent[own.first[item]:own.first[item + 1]] @ rows[place]).max())
+                        if (text, item) not in out or (common, cosine) > out[text, item][:2]:
                             out[text, item] = (common, cosine, answer, a, b)
                 found = sorted(out.items())
-                keys = batch.column(0)
                 yield pa.RecordBatch.from_pydict({
                     "d": pa.array([keys[start + t].as_py() for (t, _), _ in found], pa.int64()),
                     "item_id": pa.array([items.ids[i] for (_, i), _ in found], pa.int64()),
