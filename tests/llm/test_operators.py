@@ -268,3 +268,21 @@ def test_item_of_a_third_of_all_rows_and_tiny_tables_leak(spark):
         got = leaks_found(spark, table, item)
         assert set(got) == {(d, 1) for d, t in table.items() if item[1] in t}
         assert all(r["cosine"] > 0 for r in got.values())
+
+
+def test_leaks_as_by_brute_force_for_items_of_every_length(spark):
+    rng = np.random.default_rng(8)
+    word = lambda n: [f"v{int(x)}" for x in rng.zipf(1.3, n) % 3000]
+    items = {i: word(5 + 2 * i) for i in range(28)}
+    texts = {}
+    for d in range(84):  # literal, 30 % and 45 % of the words replaced
+        own = list(items[d % 28])
+        for k in rng.choice(len(own), int(len(own) * (0, 0.3, 0.45)[d // 28]), replace=False):
+            own[k] = f"other{d}x{k}"
+        plain = word(int(rng.integers(200, 600)))
+        at = int(rng.integers(len(plain)))
+        texts[d] = " ".join(plain[:at] + own + plain[at:])
+    items = {i: " ".join(w) for i, w in items.items()}
+    want = leaks_brute(texts, items)
+    assert {(d, d) for d in range(28)} <= want
+    assert set(leaks_found(spark, texts, items)) == want
