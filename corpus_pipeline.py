@@ -38,9 +38,10 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rates = mixing.mix(docs, labels, "doc_id").select(F.col("doc_id").alias("_id"), "n_tokens", "domain", "rate") \
-        .dropDuplicates(["_id"])
-    return docs.join(rates, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    own = F.xxhash64("text")
+    rates = mixing.mix(docs.withColumn("_own", own), labels, "doc_id", "_own") \
+        .select(F.col("doc_id").alias("_id"), "_own", "n_tokens", "domain", "rate").dropDuplicates(["_id", "_own"])
+    return docs.join(rates, F.col("doc_id").eqNullSafe(F.col("_id")) & (own == F.col("_own")), "left").drop("_id", "_own")
 
 
 STAGES = [

@@ -43,6 +43,8 @@ LEAST_ANSWER = 0.5
 #: Terms whose sums travel together.
 TERM_RANGE = 256
 
+_LEAKS = "d bigint, item_id bigint, cosine double, common double, answer double, first_word bigint, end_word bigint, h bigint"
+
 _CLEAN = np.arange(256, dtype=np.uint8)
 _CLEAN[ord("A"):ord("Z") + 1] += 32
 _CLEAN[[c for c in range(33, 127) if not chr(c).isalnum()]] = 0x20
@@ -157,7 +159,7 @@ def common_length(masks: dict[int, int], n: int, words: list[int]) -> int:
 
 
 def numbered(docs: DataFrame, terms: np.ndarray, key: str, text: str) -> DataFrame:
-    """(d, w): key and the whole text as term numbers (int32, -1 for a word that the benchmark lacks)."""
+    """(d, w, h): key, the whole text as term numbers (int32, -1 for a word that the benchmark lacks), hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_buffer(batch.column(1))
@@ -168,10 +170,12 @@ def numbered(docs: DataFrame, terms: np.ndarray, key: str, text: str) -> DataFra
                 number = np.where(terms[at] == hashes, at, -1).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, last - first),
-                     pa.array([number[a:b].tobytes() for a, b in zip(words.rows[:-1], words.rows[1:])], pa.binary())],
-                    ["d", "w"])
-    source = docs.select(F.col(key).cast("bigint").alias("d"), F.col(text).cast("string").alias("t"))
-    return source.mapInArrow(run, "d bigint, w binary")
+                     pa.array([number[a:b].tobytes() for a, b in zip(words.rows[:-1], words.rows[1:])], pa.binary()),
+                     batch.column(2).slice(first, last - first)],
+                    ["d", "w", "h"])
+    t = F.col(text).cast("string")
+    source = docs.select(F.col(key).cast("bigint").alias("d"), t.alias("t"), F.xxhash64(t).alias("h"))
+    return source.mapInArrow(run, "d bigint, w binary, h bigint")
 
 
 class Blocks:
@@ -312,7 +316,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 def leaks_of(stored: DataFrame, items: Items, rank: int = RANK) -> DataFrame:
-    """(d, item_id, cosine, common, answer, first_word, end_word): every confirmed passage's best row for an item."""
+    """(d, item_id, cosine, common, answer, first_word, end_word, h): every confirmed passage's best row for an item."""
     n_terms = len(items.terms)
     seen, blocks = term_blocks(stored, n_terms)
     bound = Bound(items, seen)
@@ -324,7 +328,7 @@ def leaks_of(stored: DataFrame, items: Items, rank: int = RANK) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0)
+            keys, hashes = batch.column(0), batch.column(2)
             for start, texts in _texts(batch):
                 out: dict[tuple[int, int], tuple] = {}
                 part = Blocks(texts)
@@ -356,14 +360,20 @@ def leaks_of(stored: DataFrame, items: Items, rank: int = RANK) -> DataFrame:
                     "common": pa.array([v[0] for _, v in found], pa.float64()),
                     "answer": pa.array([v[2] for _, v in found], pa.float64()),
                     "first_word": pa.array([v[3] for _, v in found], pa.int64()),
-                    "end_word": pa.array([v[4] for _, v in found], pa.int64())})
-    return stored.mapInArrow(run, "d bigint, item_id bigint, cosine double, common double, answer double, "
-                                  "first_word bigint, end_word bigint")
+                    "end_word": pa.array([v[4] for _, v in found], pa.int64()),
+                    "h": pa.array([hashes[start + t].as_py() for (t, _), _ in found], pa.int64())})
+    return stored.mapInArrow(run, _LEAKS)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                item_key: str = "item_id", item_text: str = "text", rank: int = RANK) -> DataFrame:
     """One row for each document and item that it holds: key, item, cosine, shares found, and where."""
+    found = _all_leaks(docs, benchmark, key, text, item_key, item_text, rank)
+    return found.select(F.col("d").alias(key), "item_id", "cosine", "common", "answer", "first_word", "end_word")
+
+
+def _all_leaks(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item_key: str = "item_id",
+               item_text: str = "text", rank: int = RANK) -> DataFrame:
     items = benchmark.select(F.col(item_key).cast("bigint").alias("i"), F.col(item_text).cast("string").alias("t")) \
         .where(F.col("t").rlike("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"))
     many = -(-items.count() // BLOCK_ITEMS)
@@ -378,12 +388,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
         found = got if found is None else found.unionByName(got)
     if found is None:
         spark = docs.sparkSession
-        found = spark.createDataFrame([], "d bigint, item_id bigint, cosine double, common double, answer double, "
-                                          "first_word bigint, end_word bigint")
-    return found.select(F.col("d").alias(key), "item_id", "cosine", "common", "answer", "first_word", "end_word")
+        found = spark.createDataFrame([], _LEAKS)
+    return found
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document holds no item."""
-    leaked = materialize(find_leaks(docs, benchmark, key, text).select(F.col(key).alias("_leaked")).distinct(), "leaks")
-    return docs.join(leaked, F.col(f"`{key}`").eqNullSafe(F.col("_leaked")), "left_anti")
+    """The rows of ``docs`` whose text holds no item; other texts under the same key stay."""
+    leaked = _all_leaks(docs, benchmark, key, text).select(F.col("d").alias("_leaked"), F.col("h").alias("_hash"))
+    leaked = materialize(leaked.distinct(), "leaks")
+    same = F.col(f"`{key}`").eqNullSafe(F.col("_leaked")) & (F.xxhash64(F.col(f"`{text}`").cast("string")) == F.col("_hash"))
+    return docs.join(leaked, same, "left_anti")

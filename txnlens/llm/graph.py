@@ -9,7 +9,7 @@ from txnlens.session import materialize
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label): the smallest node reachable, for every node of ``links`` (columns a, b; bigint).
+    """(node, label): the smallest node reachable, for every node of ``links`` (columns a, b of one ordered type).
 
     Every round takes the smallest label among the neighbours and then the label of the label, so long chains shorten
     fast. Each round is stored in the shared folder; a lost executor costs one round at most. A node with very many

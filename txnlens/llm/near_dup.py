@@ -13,9 +13,10 @@ Links are found without listing the pairs of a group:
 So all pairs that share a band are in one component or were compared. Components come from joins.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with nothing; fewer words
-than a shingle make the whole sequence the only shingle; equal rows are copies of each other; rows that share a key are
-versions of one document and always in one component; rows with a null key share the null key; other columns are not
-read, whatever their names; an empty table gives an empty result.
+than a shingle make the whole sequence the only shingle. A document is a key and a text: rows equal in both are one,
+different texts under one key or under a null key are different documents (a null key comes before all others). A
+component is named by the key of its first document. Other columns are not read, whatever their names; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ BANDS = PERMUTATIONS // PER_BAND
 #: Shingle values that one block holds at most (a longer document is a block of its own).
 BLOCK_VALUES = 200_000
 _NULL_KEY = -2**63
+_NAME = "struct<k: bigint, h: bigint>"
 _RANDOM = np.random.default_rng(77)
 _FACTOR = _RANDOM.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSET = _RANDOM.integers(0, 2**64, PERMUTATIONS, dtype=np.uint64)
@@ -91,6 +93,13 @@ def band_hashes(sets: list[np.ndarray]) -> np.ndarray:
     return mix(bands + np.arange(BANDS, dtype=np.uint64) * _SECOND)
 
 
+def _named(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(k, t): a document's name (key and hash of the text) and its text."""
+    t = F.col(text).cast("string")
+    return docs.select(F.struct(F.coalesce(F.col(key).cast("bigint"), F.lit(_NULL_KEY)).alias("k"),
+                                F.xxhash64(t).alias("h")).alias("k"), t.alias("t"))
+
+
 def signatures(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """(k, n, f1, f2, bands) of each row; bands is null for an empty set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,9 +113,7 @@ def signatures(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "f1": pa.array(one.view(np.int64)), "f2": pa.array(two.view(np.int64)),
                     "bands": pa.array([next(rows) if len(s) else None for s in sets], pa.list_(pa.int64()))})
-    source = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(_NULL_KEY)).alias("k"),
-                         F.col(text).cast("string").alias("t"))
-    return source.mapInArrow(run, "k bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>")
+    return _named(docs, key, text).mapInArrow(run, f"k {_NAME}, n bigint, f1 bigint, f2 bigint, bands array<bigint>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -114,18 +121,16 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_buffer(batch.column(3))
-            keys, f1, f2 = (batch.column(i).to_numpy() for i in range(3))
+            f1, f2 = (batch.column(i).to_numpy() for i in (1, 2))
             for first, sets in shingle_arrays(raw, offsets, size):
                 one, two = fingerprint(sets)
                 span = slice(first, first + len(sets))
                 hit = np.flatnonzero((one.view(np.int64) == f1[span]) & (two.view(np.int64) == f2[span]))
                 yield pa.RecordBatch.from_pydict({
-                    "k": pa.array(keys[span][hit]), "n": pa.array([len(sets[i]) for i in hit], pa.int64()),
+                    "k": batch.column(0).take(pa.array(first + hit)), "n": pa.array([len(sets[i]) for i in hit], pa.int64()),
                     "s": pa.array([sets[i].view(np.int64) for i in hit], pa.list_(pa.int64()))})
-    source = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(_NULL_KEY)).alias("k"),
-                         F.col(text).cast("string").alias("t"))
-    found = wanted.join(source, "k").select("k", "f1", "f2", "t")
-    return found.mapInArrow(run, "k bigint, n bigint, s array<bigint>").dropDuplicates(["k"])
+    found = wanted.join(_named(docs, key, text), "k").select("k", "f1", "f2", "t")
+    return found.mapInArrow(run, f"k {_NAME}, n bigint, s array<bigint>").dropDuplicates(["k"])
 
 
 def _linked(n: str, m: str, both, percent: int):
@@ -136,7 +141,7 @@ def _compare_blocks(percent: int):
     """Links between components inside one block of queries and members."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         asked = rows["asked"].to_numpy(bool)
-        n, label = rows["n"].to_numpy(), rows["label"].to_numpy()
+        n, label = rows["n"].to_numpy(), rows[["label_k", "label_h"]].to_numpy(np.int64)
         sets = [np.asarray(s, np.int64) for s in rows["s"]]
         flat = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), n)
@@ -155,14 +160,25 @@ def _compare_blocks(percent: int):
             grid[owner[a:b], place[a:b] - start] = 1
             both += grid[q] @ grid[m].T
         union = n[q][:, None] + n[m][None, :] - both
-        i, j = np.nonzero((both * 100 >= union * percent) & (label[q][:, None] != label[m][None, :]))
-        return pd.DataFrame({"a": label[q][i], "b": label[m][j]}).drop_duplicates()
+        i, j = np.nonzero((both * 100 >= union * percent)
+                          & (label[q][:, None, :] != label[m][None, :, :]).any(axis=2))
+        return pd.DataFrame(np.concatenate([label[q][i], label[m][j]], axis=1),
+                            columns=["ak", "ah", "bk", "bh"]).drop_duplicates()
     return run
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 85,
                     block_values: int = BLOCK_VALUES) -> DataFrame:
     """(key, n_shingles, component_id, kept) of each row; two documents are linked at ``percent`` similarity or more."""
+    found = document_components(docs, key, text, size, percent, block_values)
+    back = lambda c: F.when(F.col(c) != _NULL_KEY, F.col(c))
+    return found.select(back("k.k").alias(key), F.col("n").alias("n_shingles"), back("label.k").alias("component_id"),
+                        (F.col("k") == F.col("label")).alias("kept"))
+
+
+def document_components(docs: DataFrame, key: str, text: str, size: int, percent: int,
+                        block_values: int = BLOCK_VALUES) -> DataFrame:
+    """(k, n, label) of each row: its document's name, shingles, and the name of its component's first document."""
     signed = materialize(signatures(docs, key, text, size), "signed")
     classes = signed.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("k").alias("rep"),
                                                                 F.first("bands").alias("bands"))
@@ -183,10 +199,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     both = F.size(F.array_intersect("s", "z"))
     links = left.join(right, "center").where(_linked("n", "m", both, percent)) \
         .select(F.col("center").alias("a"), F.col("k").alias("b"))
-    versions = signed.where("n > 0").join(classes.select("f1", "f2", "n", "rep"), ["f1", "f2", "n"]).select("k", "rep")
-    whole = versions.groupBy("k").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).where("a <> top")
-    split = versions.join(whole.select("k", "a"), "k").select("a", F.col("rep").alias("b"))
-    links = materialize(links.unionByName(split), "links")
+    links = materialize(links, "links")
     labels = components(links)
 
     # 3. What is left inside groups of three or more documents. Groups of the same members are looked at once.
@@ -204,14 +217,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     rest = inside.join(state, "band").join(sets.select("k", "s"), "k")
     own = F.pmod(F.xxhash64("k"), F.lit(1 << 30))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    asked = rest.where("label <> main").select("band", "n", "label", "s", F.lit(True).alias("asked"),
+    label = [F.col("label.k").alias("label_k"), F.col("label.h").alias("label_h")]
+    asked = rest.where("label <> main").select("band", "n", *label, "s", F.lit(True).alias("asked"),
                                                (own % F.col("q_blocks")).cast("int").alias("q"),
                                                each("m_blocks").alias("m"))
-    held = rest.select("band", "n", "label", "s", F.lit(False).alias("asked"), each("q_blocks").alias("q"),
+    held = rest.select("band", "n", *label, "s", F.lit(False).alias("asked"), each("q_blocks").alias("q"),
                        (own % F.col("m_blocks")).cast("int").alias("m"))
     found = asked.unionByName(held).groupBy("band", "q", "m").applyInPandas(_compare_blocks(percent),
-                                                                           "a bigint, b bigint")
-    joined = components(materialize(found.distinct(), "links"))
+                                                                           "ak bigint, ah bigint, bk bigint, bh bigint")
+    name = lambda c: F.struct(F.col(c + "k").alias("k"), F.col(c + "h").alias("h")).alias(c)
+    joined = components(materialize(found.distinct().select(name("a"), name("b")), "links"))
     top = labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left") \
         .select("node", F.coalesce("top", "label").alias("label"))
     lone = joined.join(labels.select("node"), "node", "left_anti")
@@ -219,16 +234,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
     of_class = classes.select("f1", "f2", "n", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left") \
         .select("f1", "f2", "n", F.coalesce("label", "rep").alias("label"))
-    rows = signed.drop("bands").join(of_class, ["f1", "f2", "n"], "left") \
+    return signed.drop("bands").join(of_class, ["f1", "f2", "n"], "left") \
         .select("k", "n", F.coalesce("label", "k").alias("label"))
-    back = lambda c: F.when(F.col(c) != _NULL_KEY, F.col(c))
-    return rows.select(back("k").alias(key), F.col("n").alias("n_shingles"), back("label").alias("component_id"),
-                       (F.col("k") == F.col("label")).alias("kept"))
 
 
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5,
                      percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose document is the first of its component; of repeated rows of a key, one stays."""
-    found = near_duplicates(docs, key, text, size, percent).where("kept").select(F.col(key).alias("_kept")).distinct()
-    mark = f"`{key}`"
-    return docs.join(found, F.col(mark).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([key])
+    """The rows of ``docs`` whose document is the first of its component; of rows equal in key and text, one stays."""
+    first = document_components(docs, key, text, size, percent).where(F.col("k") == F.col("label"))
+    first = first.select(F.when(F.col("k.k") != _NULL_KEY, F.col("k.k")).alias("_kept"),
+                         F.col("k.h").alias("_hash")).distinct()
+    marked = docs.withColumn("_own", F.xxhash64(F.col(f"`{text}`").cast("string")))
+    same = F.col(f"`{key}`").eqNullSafe(F.col("_kept")) & (F.col("_own") == F.col("_hash"))
+    return marked.join(first, same, "left_semi").dropDuplicates([key, "_own"]).drop("_own")
