@@ -306,3 +306,12 @@ def test_documents_are_told_apart_by_key_and_text(spark):
     clean = decontaminate.drop_leaks(kept, spark.createDataFrame([(1, item)], "item_id bigint, text string"))
     assert sorted(((r["doc_id"], r["text"]) for r in clean.collect()), key=repr) == [
         r for r in got if item not in (r[1] or "")]
+
+
+def test_copies_of_a_labelled_key_count_once_and_the_bound_is_on_documents(spark):
+    rows = [(1, "the same text")] * 50 + [(2, f"text number {i}") for i in range(30)] + [(3, "third")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sample = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "_k bigint, _y int")
+    taken = lambda most: quality_model.labelled_texts(docs, sample, "_y", "doc_id", "text", most).collect()
+    assert sorted(tuple(r) for r in taken(100)) == sorted({(int(d != 1), t) for d, t in rows})
+    assert len(taken(5)) == 5

@@ -6,8 +6,8 @@ every document, 0 or more, whose expected tokens by domain meet the targets. A s
 distributed sum; a document's rate follows from the steps' short history, so nothing but a few numbers a step passes
 through the driver and a lost executor costs nothing.
 
-The classifier is a softmax over text features and word evidence, both learned from at most ``MOST_ROWS`` labelled rows
-(a documented bound; rows are taken in the order of a hash of their key). Tokens are words of the text. Defined cases: null and
+The classifier is a softmax over text features and word evidence, both learned from at most ``MOST_ROWS`` different
+labelled documents (a documented bound; keys and documents are taken in the order of a hash). Tokens are words of the text. Defined cases: null and
 empty texts have no tokens and rate 1; without labelled rows there is one domain and all rates meet its total alike;
 domains without any expected token are left out of the fit; equal rows get equal rates; a document with several labels
 counts with the smallest pair; extra columns are not read.
@@ -98,8 +98,7 @@ def learn_domains(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     known = whole.groupBy(F.col(key).alias("_k")).agg(F.min(name).alias("domain"))
     names = sorted(r["domain"] for r in known.select("domain").distinct().collect()) or ["all"]
     sample = known.orderBy(F.xxhash64("_k"), "_k").limit(most)  # at most ``most`` keys, so it may be broadcast
-    rows = materialize(docs.select(F.col(key).alias("_d"), F.col(text).cast("string").alias("t"))
-                       .join(F.broadcast(sample), F.col("_d") == F.col("_k")).select("domain", "t"), "labelled")
+    rows = materialize(quality_model.labelled_texts(docs, sample, "domain", key, text, most), "labelled")
     number = {n: i for i, n in enumerate(names)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

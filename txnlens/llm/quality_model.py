@@ -4,8 +4,8 @@ Features of a text are cut into bins; cyclic boosting grows one shallow tree for
 the logistic loss and adds it to that feature's lookup table; the strongest pairs of features get tables of their own.
 A score is a sum of looked-up values, taken for a whole batch at once.
 
-The model is fitted on at most ``MOST_ROWS`` labelled rows outside the held-out fold (a documented bound for the fit;
-rows are taken in the order of a hash of their key). Everything else covers all rows. Defined cases: null and empty
+The model is fitted on at most ``MOST_ROWS`` different labelled documents (key and text) outside the held-out fold (a
+documented bound for the fit; keys and documents are taken in the order of a hash). Everything else covers all rows. Defined cases: null and empty
 texts have features of 0 and get a score like any other; without labelled rows, or with one class only, every score is
 the smoothed share of label 1; a document with several labels counts with the smallest; extra columns are not read.
 """
@@ -163,14 +163,25 @@ def feature_rows(docs: DataFrame, text: str, label: str) -> DataFrame:
         .mapInArrow(run, "y double, x array<double>")
 
 
+def labelled_texts(docs: DataFrame, sample: DataFrame, label: str, key: str, text: str, most: int) -> DataFrame:
+    """(label, ``_t``): at most ``most`` different documents of the small table ``sample`` (``_k``, label).
+
+    Keys and hashes of texts are ranked first; only then are texts read, so copies of a key's text count once.
+    """
+    t = F.col(text).cast("string")
+    rows = docs.select(F.col(key).alias("_d"), t.alias("_t"), F.xxhash64(t).alias("_h")) \
+        .join(F.broadcast(sample), F.col("_d") == F.col("_k"))
+    chosen = rows.select("_k", "_h").distinct().orderBy(F.xxhash64("_k", "_h"), "_k", "_h").limit(most)
+    return rows.join(F.broadcast(chosen), ["_k", "_h"]).dropDuplicates(["_k", "_h"]).select(label, "_t")
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
         most: int = MOST_ROWS) -> AdditiveModel:
-    """Learns from labelled rows outside the held-out fold; at most ``most`` keys, so the sample may be broadcast."""
+    """Learns from labelled rows outside the held-out fold; at most ``most`` keys and ``most`` documents."""
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key))
     sample = known.groupBy(F.col(key).alias("_k")).agg(F.min(label).alias("_y")) \
         .orderBy(F.xxhash64("_k"), "_k").limit(most)
-    rows = docs.select(F.col(key).alias("_d"), F.col(text).alias("_t")).join(F.broadcast(sample), F.col("_d") == F.col("_k"))
-    got = feature_rows(rows, "_t", "_y").toPandas()
+    got = feature_rows(labelled_texts(docs, sample, "_y", key, text, most), "_t", "_y").toPandas()
     got = got.sort_values("x", key=lambda c: c.map(tuple), kind="stable")
     x = np.array(got["x"].tolist(), float).reshape(len(got), len(FEATURES))
     return AdditiveModel(x, got["y"].to_numpy(float))
