@@ -315,3 +315,13 @@ def test_copies_of_a_labelled_key_count_once_and_the_bound_is_on_documents(spark
     taken = lambda most: quality_model.labelled_texts(docs, sample, "_y", "doc_id", "text", most).collect()
     assert sorted(tuple(r) for r in taken(100)) == sorted({(int(d != 1), t) for d, t in rows})
     assert len(taken(5)) == 5
+
+
+def test_copies_leave_room_for_other_texts_to_learn_identifiers_from(spark):
+    copies = [("copied text",)] * 3000
+    other = [(f"ordinary name_{i} here",) for i in range(30)]
+    table = spark.createDataFrame(copies + other + [("long_one " * 500,)], "t string")
+    got = [r["t"] for r in secrets.sample_texts(table, 100, 1 << 20).collect()]
+    assert len(got) == len(set(got)) == 32
+    few = [r["t"] for r in secrets.sample_texts(table, 100, 2000).collect()]
+    assert sorted(few) == sorted({t for t, in copies + other})  # the long text is passed over

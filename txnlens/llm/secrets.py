@@ -31,9 +31,10 @@ IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_]{3,}"
 #: Characters of a token, in the order of their numbers; anything else is one more class.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 CLASSES = len(ALPHABET) + 1
-#: Bounds of the training sample: values of the fixed patterns, and documents whose identifiers are read.
+#: Bounds of the training sample: values of the fixed patterns, and different texts whose identifiers are read.
 MOST_SECRETS = 20_000
 MOST_DOCUMENTS = 2_000
+MOST_BYTES = 8 << 20
 SMOOTHING = 0.5
 #: Least ratio a character (natural logarithm) of a secret.
 LEAST_RATIO = 0.5
@@ -81,8 +82,27 @@ def bigrams(tokens: DataFrame, token: str, label: str) -> DataFrame:
     return pairs.groupBy(label, "pair").agg(F.count("*").alias("n"))
 
 
-def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(token, random): distinct values of the fixed patterns, and identifiers of a bounded set of documents."""
+def sample_texts(whole: DataFrame, most: int, most_bytes: int) -> DataFrame:
+    """(t): different texts in the order of a hash, as many as both bounds allow; a text that does not fit is passed over.
+
+    Hashes and lengths are ranked first; only then are texts read.
+    """
+    keyed = whole.select("t", F.xxhash64("t").alias("h"))
+    ranked = keyed.select("h", F.octet_length("t").alias("n")).distinct().orderBy("h", "n").limit(most).collect()
+    taken, left = [], most_bytes
+    for r in ranked:
+        if r["n"] <= left:
+            taken.append((r["h"],))
+            left -= r["n"]
+    if left == most_bytes and ranked:  # no text fits: the shortest one that isn't empty
+        taken.append((min(ranked, key=lambda r: (r["n"] == 0, r["n"]))["h"],))
+    wanted = whole.sparkSession.createDataFrame(taken, "h bigint")  # at most ``most`` rows
+    return keyed.join(F.broadcast(wanted), "h").dropDuplicates(["h"]).select("t")
+
+
+def labelled_samples(docs: DataFrame, text: str = "text", most: int = MOST_DOCUMENTS,
+                     most_bytes: int = MOST_BYTES) -> DataFrame:
+    """(token, random): distinct values of the fixed patterns, and identifiers of a bounded set of different texts."""
     whole = docs.select(F.coalesce(F.col(text), F.lit("")).alias("t"))
     seen = [possible(F.col("t"), p) & F.col("t").rlike(p) for p in (ACCESS, ASSIGN, HEX)]
     hits = whole.where(seen[0] | seen[1] | seen[2])
@@ -90,7 +110,7 @@ def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
         F.filter(F.regexp_extract_all("t", F.lit(ASSIGN), F.lit(1)), lambda v: F.length(v) >= 16),
         F.regexp_extract_all("t", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("t", F.lit(HEX), F.lit(0)))).alias("token"))
     random = values.distinct().orderBy(F.xxhash64("token"), "token").limit(MOST_SECRETS)
-    read = whole.orderBy(F.xxhash64("t"), "t").limit(MOST_DOCUMENTS)
+    read = sample_texts(whole, most, most_bytes)
     plain = read.select(F.explode(F.regexp_extract_all(
         F.regexp_replace(F.regexp_replace(F.regexp_replace("t", ASSIGN, " "), ACCESS, " "), HEX, " "),
         F.lit(IDENTIFIER), F.lit(0))).alias("token")).distinct()
