@@ -325,3 +325,12 @@ def test_copies_leave_room_for_other_texts_to_learn_identifiers_from(spark):
     assert len(got) == len(set(got)) == 32
     few = [r["t"] for r in secrets.sample_texts(table, 100, 2000).collect()]
     assert sorted(few) == sorted({t for t, in copies + other})  # the long text is passed over
+
+
+def test_language_sample_takes_turns_and_passes_over_long_texts(spark):
+    rows = [("en", f"text number {i}") for i in range(200)] + [("eo", "malofta teksto")] + [("en", "x " * 4000)]
+    known = spark.createDataFrame(rows, "l string, t string")
+    got = language_crf.sample_texts(known, 10, 1 << 20)
+    assert len(got) == 10 and ("eo", b"malofta teksto") in got
+    short = language_crf.sample_texts(known, 1000, 6000)
+    assert len(short) == 201 and all(len(t) < 100 for _, t in short)

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnlens.llm.bytesets import Words, row_chunks, text_buffer
@@ -192,18 +192,25 @@ def has_letter(raw: np.ndarray) -> bool:
 
 
 def sample_texts(known: DataFrame, most: int, most_bytes: int) -> list[tuple[str, bytes]]:
-    """Different texts with their languages, as columns ``l`` and ``t``, in the order of a hash up to either bound.
+    """Different texts with their languages, as columns ``l`` and ``t``, up to either bound.
 
-    Hashes and lengths are ranked first; only then are texts read, so no task and no driver meets more than the bounds.
+    Languages take turns, each in the order of a hash, so a rare one has its examples. Texts longer than a language's
+    equal share of the bytes are passed over until the others are taken. Hashes and lengths are ranked first; only then are texts read, so no task and no driver meets more than the bounds.
     """
     keyed = known.withColumn("h", F.xxhash64("t", "l"))
-    ranked = keyed.select("h", F.octet_length("t").alias("n")).distinct().orderBy("h", "n").limit(most).collect()
+    sizes = keyed.select("l", "h", F.octet_length("t").alias("n")).distinct()
+    share = most_bytes // max(1, known.select("l").distinct().count())
+    turn = Window.partitionBy("l").orderBy(F.col("n") > share, "h")
+    ranked = sizes.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= most) \
+        .orderBy(F.col("n") > share, "turn", "h").limit(most).collect()
     if not ranked:
         return []
     used = np.cumsum([r["n"] for r in ranked])
-    last = ranked[max(0, int(np.searchsorted(used, most_bytes, side="right")) - 1)]["h"]
-    rows = keyed.where(F.col("h") <= last).dropDuplicates(["h"]).orderBy("h").select("l", "t").collect()
-    return [(r["l"], r["t"].encode()) for r in rows]
+    taken = ranked[:max(1, int(np.searchsorted(used, most_bytes, side="right")))]
+    place = {r["h"]: i for i, r in enumerate(taken)}
+    wanted = known.sparkSession.createDataFrame([(h,) for h in place], "h bigint")  # at most ``most`` rows
+    rows = keyed.join(F.broadcast(wanted), "h").dropDuplicates(["h"]).select("h", "l", "t").collect()
+    return [(r["l"], r["t"].encode()) for r in sorted(rows, key=lambda r: place[r["h"]])]
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", most: int = MOST_TEXTS,
