@@ -23,7 +23,9 @@ _LOWER[ord("A"):ord("Z") + 1] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 #: Most bytes that are looked at together (a longer text is still taken whole).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 19
+#: Longest table of powers that stays in memory.
+KEPT_POWERS = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,13 +42,14 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """The first n powers of a base; tables are kept and only grow."""
+    """The first n powers of a base; tables are kept up to ``KEPT_POWERS``, so that one long text leaves nothing behind."""
     known = _POWERS.get(int(base))
     if known is None or len(known) < n:
-        known = np.full(max(n, 1 << 16 if known is None else 2 * len(known)), base, np.uint64)
+        known = np.full(max(n, 1 << 16 if known is None else min(2 * len(known), KEPT_POWERS)), base, np.uint64)
         known[0] = 1
         np.multiply.accumulate(known, out=known)
-        _POWERS[int(base)] = known
+        if len(known) <= KEPT_POWERS:
+            _POWERS[int(base)] = known
     return known[:n]
 
 
@@ -77,12 +80,12 @@ def row_chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[
 class Words:
     """The words ``[^\\x20\\x09-\\x0D]+`` of consecutive rows."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray, lower: bool = False):
-        """offsets: of the rows in ``raw``, starting at 0."""
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, lower: bool = False, breaks: np.ndarray = IS_SPACE):
+        """offsets: of the rows in ``raw``, starting at 0; breaks: which bytes stand between words."""
         if lower:
             raw = _LOWER[raw]
         self.raw = raw
-        inside = ~IS_SPACE[raw]
+        inside = ~breaks[raw]
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
         cuts = offsets[1:-1]
@@ -103,11 +106,12 @@ class Words:
         return mix(own + (self.ends - self.starts).astype(np.uint64))
 
 
-def row_words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Iterator[tuple[int, int, Words]]:
+def row_words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False,
+              breaks: np.ndarray = IS_SPACE) -> Iterator[tuple[int, int, Words]]:
     """Words of row ranges: first row, end row, words."""
     for first, last in row_chunks(offsets):
         a, b = offsets[first], offsets[last]
-        yield first, last, Words(raw[a:b], offsets[first:last + 1] - a, lower)
+        yield first, last, Words(raw[a:b], offsets[first:last + 1] - a, lower, breaks)
 
 
 def window_hashes(values: np.ndarray, size: int, seed: int = 0) -> np.ndarray:

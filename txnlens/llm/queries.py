@@ -6,6 +6,7 @@ from txnlens.llm import (  # noqa: F401  (fill the registry)
     corpus_queries,
     dedup_queries,
     model_queries,
+    phrase_queries,
     quality_queries,
     secret_queries,
 )
