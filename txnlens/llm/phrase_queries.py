@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txnlens.llm import phrase_graph
+from txnlens.llm import periodic_runs, phrase_graph
 from txnlens.llm.registry import query, table
 
 OP11_SQL = """
@@ -40,3 +40,8 @@ from r join n using (lang) where rank <= 2000
 @query("op11_phrase_collocations", OP11_SQL)
 def op11(spark, sf_dir):
     return phrase_graph.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_periodic_runs")
+def op12(spark, sf_dir):
+    return periodic_runs.find_runs(table(spark, sf_dir, "documents"), repeated_tails=True).drop("n_words", "runs", "collapsed")
