@@ -94,16 +94,18 @@ def common_length(levels: list[np.ndarray], a: np.ndarray, b: np.ndarray, back:
 
 
 def smaller_before(values: np.ndarray, strict: bool) -> np.ndarray:
-    """For each place the last one before it with a smaller value (or one not larger), -1 if there is none."""
-    n = len(values)
-    at = np.arange(n) - 1
-    live = np.flatnonzero(at >= 0)
+    """For each place with a value above 0, the last one before it with a smaller value (or one not larger).
+
+    The first value is not above 0. All places jump at once, over what their last stop has jumped over.
+    """
+    at = np.arange(len(values)) - 1
+    live = np.flatnonzero(values > 0)
+    own = values[live]
     while len(live):
         before = values[at[live]]
-        wrong = before >= values[live] if strict else before > values[live]
-        live = live[wrong]
+        wrong = before >= own if strict else before > own
+        live, own = live[wrong], own[wrong]
         at[live] = at[at[live]]
-        live = live[at[live] >= 0]
     return at
 
 
@@ -222,7 +224,7 @@ def _judged(keys: pa.Array, words, tails: bool) -> pa.RecordBatch:
     np.add.at(step, start + period, 1)
     np.add.at(step, end, -1)
     kept = np.cumsum(step[:-1]) == 0
-    raw, begin, stop = words.raw, words.starts, words.ends
+    plain = kept & (place == np.arange(len(place)))
     cut = np.searchsorted(start, rows)
     out: dict[str, list] = {c: [] for c in ("n_words", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
                                             "collapsed_sha256", "runs", "collapsed")}
@@ -231,7 +233,8 @@ def _judged(keys: pa.Array, words, tails: bool) -> pa.RecordBatch:
         x, y = cut[i], cut[i + 1]
         runs = list(zip((start[x:y] - a).tolist(), (end[x:y] - start[x:y]).tolist(), period[x:y].tolist()))
         best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=None)
-        left = b" ".join(raw[begin[w]:stop[w]].tobytes() for w in place[a:b][kept[a:b]].tolist())
+        text = words.raw[words.starts[a]:words.ends[b - 1]].tobytes().split() if b > a else []
+        left = b" ".join(text if plain[a:b].all() else [text[w] for w in (place[a:b][kept[a:b]] - a).tolist()])
         out["n_words"].append(int(b - a))
         out["n_runs"].append(len(runs))
         for c, v in zip(("start", "length", "period", "exponent_milli"),
