@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from txnlens.llm import periodic_runs, phrase_graph
+from pyspark.sql import functions as F
+
+from txnlens.llm import periodic_runs, phrase_graph, sharding
 from txnlens.llm.registry import query, table
 
 OP11_SQL = """
@@ -45,3 +47,10 @@ def op11(spark, sf_dir):
 @query("op12_periodic_runs")
 def op12(spark, sf_dir):
     return periodic_runs.find_runs(table(spark, sf_dir, "documents"), repeated_tails=True).drop("n_words", "runs", "collapsed")
+
+
+@query("op13_sharding")
+def op13(spark, sf_dir):
+    found = sharding.assign(table(spark, sf_dir, "documents"))
+    return found.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int")) \
+        .select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
