@@ -142,6 +142,11 @@ def _unique_report(df: DataFrame, i: int, rule: Rule) -> DataFrame:
                      F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("k"))), F.lit(0)).alias("base"),
                      F.coalesce(F.sum(F.when(F.col("v").isNotNull() & (F.col("k") > 1), F.col("k"))), F.lit(0))
                      .alias("bad"))
+    return uniqueness_row(one, i, rule)
+
+
+def uniqueness_row(one: DataFrame, i: int, rule: Rule) -> DataFrame:
+    """The report row of a uniqueness rule from one row with the elements ``n``, the values ``base`` and the repeated ``bad``."""
     success, percent = _judge(F.col("base"), F.col("bad"), rule.mostly)
     return one.select(*_row(i, rule, success=success, elements=F.col("n"), unexpected=F.col("bad"), percent=percent))
 

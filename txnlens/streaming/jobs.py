@@ -7,9 +7,14 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txnlens.operators.drift import JS_LIMIT, js_distances
-from txnlens.operators.quality import Rule, run_suite
+from txnlens.operators.quality import UNIQUE, Rule, run_suite
 from txnlens.operators.scoring import score
 from txnlens.plans import preprocess
+from txnlens.session import materialize
+from txnlens.streaming.uniqueness import stream_uniqueness
+
+#: Name of the observed metrics of drift windows: rows that arrived with a value, by column.
+INTAKE = "intake"
 
 
 def stream_score(rows: DataFrame, fitted: preprocess.Fitted, model: PipelineModel, out: str,
@@ -29,28 +34,65 @@ def window_counts(rows: DataFrame, columns, time: str, width: str, delay: str) -
     return long.groupBy(F.window(time, width), "feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def window_distances(counts: DataFrame, reference: DataFrame, limit: float) -> DataFrame:
+    """(window_start, window_end, feature, distance, n, alert) from (window, feature, value, n) of whole windows."""
+    parts = counts.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                          "feature", "value", "n")
+    by = ["window_start", "window_end"]
+    size = parts.groupBy(*by, "feature").agg(F.sum("n").alias("n"))
+    scored = js_distances(parts, reference, by).join(size, [*by, "feature"])
+    return scored.withColumn("alert", F.col("distance") > limit)
+
+
 def stream_drift_windows(rows: DataFrame, reference: DataFrame, columns, out: str, checkpoint: str,
                          time: str = "datetime", width: str = "1 day", delay: str = "1 day",
                          limit: float = JS_LIMIT) -> StreamingQuery:
     """Jensen-Shannon distance of each closed window from stored reference shares.
 
-    Append mode hands over all values of a window in one micro-batch, so the distance is taken there.
+    Append mode hands over all values of a window in one micro-batch, so the distance is taken there. See
+    :mod:`txnlens.streaming.windows` for late rows and for the last windows of a finished input.
     """
     def distances(counts: DataFrame, batch_id: int) -> None:
-        parts = counts.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                              "feature", "value", "n")
-        scored = js_distances(parts, reference, ["window_start", "window_end"])
-        # one folder per micro-batch: a repeated batch replaces its own output
-        scored.withColumn("alert", F.col("distance") > limit).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        # stored, since the distances read it twice; one folder per micro-batch: a repeated batch replaces its own output
+        scored = window_distances(materialize(counts, "closed"), reference, limit)
+        scored.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    return (window_counts(rows, columns, time, width, delay).writeStream.outputMode("append")
+    watched = rows.observe(INTAKE, *[F.count(c).alias(c) for c in columns])
+    return (window_counts(watched, columns, time, width, delay).writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(distances).start())
 
 
-def stream_expectations(rows: DataFrame, rules: list[Rule], out: str, checkpoint: str) -> StreamingQuery:
-    """Run a suite on every micro-batch and store its report under the batch number."""
+class Running:
+    """Streaming queries that belong together."""
+
+    def __init__(self, queries: list[StreamingQuery]):
+        self.queries = queries
+
+    def awaitTermination(self) -> None:  # noqa: N802  (as of a single query)
+        for q in self.queries:
+            q.awaitTermination()
+
+    def stop(self) -> None:
+        for q in self.queries:
+            q.stop()
+
+
+def stream_expectations(rows: DataFrame, rules: list[Rule], out: str, checkpoint: str) -> Running:
+    """Run a suite on every micro-batch and store its report under the batch number.
+
+    Uniqueness is judged over the whole stream by a second query, under ``out`` with ``-unique`` added (see
+    :mod:`txnlens.streaming.uniqueness`).
+    """
+    each = [r for r in rules if r.expectation != UNIQUE]
+    whole = [r for r in rules if r.expectation == UNIQUE]
+
     def report(batch: DataFrame, batch_id: int) -> None:
-        run_suite(batch, rules).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        run_suite(batch, each).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    return (rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-            .foreachBatch(report).start())
+    started = []
+    if each:
+        started.append(rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+                       .foreachBatch(report).start())
+    if whole:
+        started.append(stream_uniqueness(rows, whole, f"{out}-unique", f"{checkpoint}-unique"))
+    return Running(started)
