@@ -1,11 +1,12 @@
 """Feature selection, models, scoring and evaluation."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks import views as V
 from checks.encoding import preprocess_sql
 from checks.registry import query
-from txnlens.operators import metrics, modelling as M, profiling, scoring, selection
+from txnlens.operators import attribution, metrics, modelling as M, profiling, scoring, selection
 from txnlens.operators.features import add_log_features
 from txnlens.operators.splitting import train_test_xy
 from txnlens.plans import drift_watch, preprocess, training
@@ -187,6 +188,34 @@ def _(spark, sf):
     return scoring.linear_attribution(train, model)
 
 
+TREES = {"DecisionTreeClassifier": {"max_depth": 5}, "RandomForestClassifier": {"n_estimators": 10, "max_depth": 5},
+         "GradientBoostingClassifier": {"n_estimators": 5, "max_depth": 3}}
+
+
+@query("tree_attribution")
+def _(spark, sf):
+    train, _test, columns = parts(spark, sf)
+    model = M.fit_model(train, columns, "RandomForestClassifier", {"n_estimators": 20, "max_depth": 5})
+    return attribution.tree_attribution(train, model)
+
+
+@query("tree_attribution_balance", V.sql(" union all ".join(
+    f"select '{name}' as learner, count(*) as n_rows, 0::bigint as n_off from ref_txn" for name in TREES), "ref_txn"))
+def _(spark, sf):
+    """Each row's contributions and the base add up to its score."""
+    rows, fitted = ready(spark, sf)
+    out = []
+    for name, params in TREES.items():
+        model = M.fit_model(rows, preprocess.model_columns(fitted), name, params)
+        column = "rawPrediction" if name == "GradientBoostingClassifier" else "probability"
+        scored = model.transform(rows).select("trans_num", vector_to_array(column)[1].alias("score"))
+        told = attribution.explain_rows(rows, model, "trans_num")
+        sums = F.col("base") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
+        both = scored.join(told, "trans_num").select((F.abs(sums - F.col("score")) > 1e-9).alias("off"))
+        out.append(both.agg(F.lit(name).alias("learner"), F.count("*").alias("n_rows"), F.count_if("off").alias("n_off")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 @query("drift_on_slice")
 def _(spark, sf):
     rows, fitted = ready(spark, sf)
