@@ -14,8 +14,9 @@ So all pairs that share a band are in one component or were compared. Components
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with nothing; fewer words
 than a shingle make the whole sequence the only shingle. A document is a key and a text: rows equal in both are one,
-different texts under one key or under a null key are different documents (a null key comes before all others). A
-component is named by the key of its first document. Other columns are not read, whatever their names; an empty table
+different texts under one key or under a null key are different documents (a null key comes after all others). A
+component is named by its smallest key (null if none has a key), and every document with that key is kept in
+:func:`near_duplicates`; :func:`keep_one_of_each` keeps one of them. Other columns are not read, whatever their names; an empty table
 gives an empty result.
 """
 
@@ -38,7 +39,10 @@ PER_BAND = 2
 BANDS = PERMUTATIONS // PER_BAND
 #: Shingle values that one block holds at most (a longer document is a block of its own).
 BLOCK_VALUES = 200_000
-_NULL_KEY = -2**63
+#: Documents that one block holds at most, as queries and as members.
+BLOCK_DOCUMENTS = 2_000
+#: Stands for a null key: it comes after all others.
+_NULL_KEY = 2**63 - 1
 _NAME = "struct<k: bigint, h: bigint>"
 _RANDOM = np.random.default_rng(77)
 _FACTOR = _RANDOM.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -168,16 +172,16 @@ def _compare_blocks(percent: int):
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 85,
-                    block_values: int = BLOCK_VALUES) -> DataFrame:
+                    block_values: int = BLOCK_VALUES, block_documents: int = BLOCK_DOCUMENTS) -> DataFrame:
     """(key, n_shingles, component_id, kept) of each row; two documents are linked at ``percent`` similarity or more."""
-    found = document_components(docs, key, text, size, percent, block_values)
+    found = document_components(docs, key, text, size, percent, block_values, block_documents)
     back = lambda c: F.when(F.col(c) != _NULL_KEY, F.col(c))
     return found.select(back("k.k").alias(key), F.col("n").alias("n_shingles"), back("label.k").alias("component_id"),
-                        (F.col("k") == F.col("label")).alias("kept"))
+                        (F.col("k.k") == F.col("label.k")).alias("kept"))
 
 
 def document_components(docs: DataFrame, key: str, text: str, size: int, percent: int,
-                        block_values: int = BLOCK_VALUES) -> DataFrame:
+                        block_values: int = BLOCK_VALUES, block_documents: int = BLOCK_DOCUMENTS) -> DataFrame:
     """(k, n, label) of each row: its document's name, shingles, and the name of its component's first document."""
     signed = materialize(signatures(docs, key, text, size), "signed")
     classes = signed.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("k").alias("rep"),
@@ -209,11 +213,13 @@ def document_components(docs: DataFrame, key: str, text: str, size: int, percent
     parts = inside.groupBy("band", "label").agg(F.count("*").alias("size"), F.sum("n").alias("values"))
     state = parts.groupBy("band").agg(
         F.count("*").alias("parts"), F.max(F.struct("size", "label"))["label"].alias("main"),
-        F.sum("values").alias("all_values"), F.max(F.struct("size", "values"))["values"].alias("main_values"))
+        F.sum("values").alias("all_values"), F.max(F.struct("size", "label", "values")).alias("largest"),
+        F.sum("size").alias("all_size"))
+    blocks = lambda values, size: F.greatest(
+        F.lit(1), F.ceil(values / block_values), F.ceil(size / block_documents)).cast("int")
     state = state.where("parts > 1").select(
-        "band", "main", F.ceil(F.col("all_values") / block_values).cast("int").alias("m_blocks"),
-        F.greatest(F.lit(1), F.ceil((F.col("all_values") - F.col("main_values")) / block_values)).cast("int")
-        .alias("q_blocks"))
+        "band", "main", blocks(F.col("all_values"), F.col("all_size")).alias("m_blocks"),
+        blocks(F.col("all_values") - F.col("largest.values"), F.col("all_size") - F.col("largest.size")).alias("q_blocks"))
     rest = inside.join(state, "band").join(sets.select("k", "s"), "k")
     own = F.pmod(F.xxhash64("k"), F.lit(1 << 30))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -242,8 +248,8 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", s
                      percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose document is the first of its component; of rows equal in key and text, one stays."""
     first = document_components(docs, key, text, size, percent).where(F.col("k") == F.col("label"))
-    first = first.select(F.when(F.col("k.k") != _NULL_KEY, F.col("k.k")).alias("_kept"),
-                         F.col("k.h").alias("_hash")).distinct()
-    marked = docs.withColumn("_own", F.xxhash64(F.col(f"`{text}`").cast("string")))
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_kept")) & (F.col("_own") == F.col("_hash"))
-    return marked.join(first, same, "left_semi").dropDuplicates([key, "_own"]).drop("_own")
+    first = first.select(F.col("k.k").alias("k"), F.col("k.h").alias("h")).distinct()
+    names = docs.select(
+        F.coalesce(F.col(f"`{key}`").cast("bigint"), F.lit(_NULL_KEY)).alias("k"),
+        F.xxhash64(F.col(f"`{text}`").cast("string")).alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return names.join(first, ["k", "h"], "left_semi").dropDuplicates(["k", "h"]).select("row.*")
