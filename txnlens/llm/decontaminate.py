@@ -394,7 +394,8 @@ def _all_leaks(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item_
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text holds no item; other texts under the same key stay."""
-    leaked = _all_leaks(docs, benchmark, key, text).select(F.col("d").alias("_leaked"), F.col("h").alias("_hash"))
+    leaked = _all_leaks(docs, benchmark, key, text).select(F.col("d").alias("k"), "h")
     leaked = materialize(leaked.distinct(), "leaks")
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_leaked")) & (F.xxhash64(F.col(f"`{text}`").cast("string")) == F.col("_hash"))
-    return docs.join(leaked, same, "left_anti")
+    rows = docs.select(F.col(f"`{key}`").alias("own"), F.xxhash64(F.col(f"`{text}`").cast("string")).alias("own_h"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(leaked, F.col("own").eqNullSafe(F.col("k")) & (F.col("own_h") == F.col("h")), "left_anti").select("row.*")

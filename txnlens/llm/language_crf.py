@@ -86,7 +86,7 @@ class Block:
     def __init__(self, texts: list[bytes], languages: list[int], rng: np.random.Generator):
         raw = np.frombuffer(b"".join(texts), np.uint8)
         words = Words(raw, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64), lower=True)
-        labels = np.repeat(np.array(languages, np.uint8), np.diff(words.rows))
+        labels = np.repeat(np.array(languages, np.int32), np.diff(words.rows))
         runs = [np.arange(a, min(a + RUN, z)) for p, z in zip(words.rows[:-1], words.rows[1:]) for a in range(p, z, RUN)]
         runs = [runs[i] for i in rng.permutation(len(runs))]
         order = np.concatenate(runs) if runs else np.empty(0, np.int64)

@@ -2,12 +2,18 @@
 
 A classifier learned from the table of labels gives every document its chances of belonging to each domain (here: each
 pair of quality and toxicity that the labels hold). Projected-gradient least squares then finds a rate of repetition for
-every document, 0 or more, whose expected tokens by domain meet the targets. A step, with momentum, needs only one
-distributed sum; a document's rate follows from the steps' short history, so nothing but a few numbers a step passes
-through the driver and a lost executor costs nothing.
+every document, 0 or more, whose expected tokens by domain meet the targets as well as they can. The gradient of a rate
+is a product of the document's chances with a few numbers, so a step needs two distributed sums: the curvature by pairs of
+domains over the rates that are free to move, by whose inverse the gradient is scaled, and the tokens for some step
+lengths, of which the best is taken. Rates are stored every few steps, so a step costs the same however many went before.
+
+The fit ends where the conditions of the optimum hold: no free rate has a slope, and no rate at 0 would rise. ``balance`` tells for every
+domain the target, what was reached and the difference, and ``targets_met`` whether all targets are: documents whose
+chances can't carry them leave a difference, and that is then the smallest there is.
 
 The classifier is a softmax over text features and word evidence, both learned from at most ``MOST_ROWS`` different
-labelled documents (a documented bound; keys and documents are taken in the order of a hash). Tokens are words of the text. Defined cases: null and
+labelled documents (a documented bound; keys and documents are taken in the order of a hash), which may come from another
+table than the documents that are mixed. Tokens are words of the text. Defined cases: null and
 empty texts have no tokens and rate 1; without labelled rows there is one domain and all rates meet its total alike;
 domains without any expected token are left out of the fit; equal rows get equal rates; a document with several labels
 counts with the smallest pair; extra columns are not read.
@@ -16,7 +22,6 @@ counts with the smallest pair; extra columns are not read.
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +35,14 @@ from txnlens.session import materialize
 
 MOST_ROWS = 20_000
 TABLE_BITS = 15
-STEPS = 100
-TOLERANCE = 1e-6
+#: Largest difference from a target, as a share of all tokens, that counts as met.
+MET = 1e-4
+#: The fit ends when a step of the plain gradient would move the rates by this share of all tokens at most.
+TOLERANCE = 1e-7
+#: Step lengths that are tried together.
+LENGTHS = (1.0, 0.5, 0.25, 0.1, 0.02, 0.002)
+#: Steps between two stored tables of rates.
+STORE_EVERY = 4
 #: Share of all tokens by domain (quality/toxic); other domains share what is left.
 TARGETS = {"1/0": 0.85, "1/1": 0.03, "0/0": 0.10, "0/1": 0.02}
 
@@ -141,71 +152,110 @@ def memberships(docs: DataFrame, model: Domains, *keys: str, text: str = "text")
     return source.mapInArrow(run, f"{kinds}, n_tokens bigint, chances array<double>")
 
 
-def rate_of(history: list[list[float]]) -> Column:
-    """A document's ``x`` (its rate) and ``y`` (where the next slope is taken) after the given steps, and before the last.
-
-    Each step holds the domains' slopes and the momentum: the rate goes from ``y`` against the slope and stays at 0 or
-    above, and ``y`` goes on from the new rate in the direction it moved.
-    """
+def _literal(steps: list[dict]) -> Column:
     # one literal, since a column object for every number takes longer than the step itself
-    steps = F.from_json(F.lit(json.dumps([{"slope": h[:-1], "momentum": h[-1]} for h in history])),
-                        "array<struct<slope: array<double>, momentum: double>>")
-    state = lambda **parts: F.struct(*[c.alias(n) for n, c in parts.items()])
-    one = F.lit(1.0)
+    return F.from_json(F.lit(json.dumps(steps)),
+                       "array<struct<slope: array<double>, move: array<double>, length: double>>")
 
-    def step(now: Column, by: Column) -> Column:
-        pull = F.aggregate(F.zip_with("chances", by["slope"], lambda p, v: p * v), F.lit(0.0), lambda s, v: s + v)
-        rate = F.greatest(F.lit(0.0), now["y"] - pull)
-        return state(x=rate, y=rate + by["momentum"] * (rate - now["x"]), last_x=now["x"], last_y=now["y"])
-    return F.aggregate(steps, state(x=one, y=one, last_x=one, last_y=one), step)
 
+def _along(vector: Column) -> Column:
+    """The product of a document's chances with one number for each domain."""
+    return F.aggregate(F.zip_with("chances", vector, lambda p, v: p * v), F.lit(0.0), lambda s, v: s + v)
 
-def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float], steps: int = STEPS) -> list[list[float]]:
-    """History of steps that brings the expected tokens of every domain to its target share of all tokens.
 
-    The squares of the misses are weighted by 1 over the domain's tokens and the rates by the document's tokens; in
-    this measure the slope's steepness is at most 1, so full steps converge. Momentum grows from step to step and
-    starts anew when it leads uphill; one pass gives all that a step needs.
-    """
-    k = len(names)
+def _is_free(rate: Column, slope: Column) -> Column:
+    """A rate at 0 that a step against its slope would not raise stays there."""
+    return (rate > 0) | (slope < 0)
+
+
+def rate_of(steps: list[dict]) -> Column:
+    """A document's rate after some steps from its stored ``rate``."""
+    def step(now: Column, by: Column) -> Column:
+        return F.when(_is_free(now, _along(by["slope"])), F.greatest(F.lit(0.0), now - by["length"] * _along(by["move"]))) \
+            .otherwise(now)
+    return F.aggregate(_literal(steps), F.col("rate"), step) if steps else F.col("rate")
 
-    def measure(history: list[list[float]]) -> tuple[list[float], list[float], float]:
-        """Expected tokens by domain at ``x`` and at ``y``, and how far the last momentum led uphill."""
-        told = members.select("n_tokens", "chances", rate_of(history).alias("now"))
-        x, y = F.col("now.x"), F.col("now.y")
-        row = told.agg(*[F.sum(F.col("n_tokens") * F.col("chances")[i] * at).alias(f"{name}{i}")
-                         for name, at in (("x", x), ("y", y)) for i in range(k)],
-                       F.sum(F.col("n_tokens") * (F.col("now.last_y") - x) * (x - F.col("now.last_x"))).alias("up")).first()
-        value = [float(v or 0.0) for v in row]
-        return value[:k], value[k:2 * k], value[-1]
-
-    start, _, _ = measure([])
-    everything = sum(start)
-    given = sum(targets.get(n, 0.0) for n in names)
+
+def wanted_tokens(names: list[str], everything: float, targets: dict[str, float]) -> list[float]:
+    """Tokens by domain; domains without a target share what the targets leave."""
     loose = [n for n in names if n not in targets]
-    spread = max(0.0, 1.0 - given) / len(loose) if loose else 0.0
-    wanted = [targets.get(n, spread) for n in names]
-    wanted = [everything * w / (sum(wanted) or 1.0) for w in wanted]
-    miss = lambda sums: [(s - w) / n if n > 0 else 0.0 for s, w, n in zip(sums, wanted, start)]
-    history: list[list[float]] = []
-    at_x = at_y = start
-    weight = 1.0
-    while len(history) < steps and max(map(abs, miss(at_x)), default=0.0) >= TOLERANCE:
-        grown = (1 + math.sqrt(1 + 4 * weight * weight)) / 2
-        history.append([*miss(at_y), (weight - 1) / grown])
-        at_x, at_y, uphill = measure(history)
-        weight = grown
-        if uphill > 0:
-            history[-1][-1], at_y, weight = 0.0, at_x, 1.0
-    return history
+    spread = max(0.0, 1.0 - sum(targets.get(n, 0.0) for n in names)) / len(loose) if loose else 0.0
+    shares = [targets.get(n, spread) for n in names]
+    return [everything * w / (sum(shares) or 1.0) for w in shares]
 
 
-def mix(docs: DataFrame, labels: DataFrame, *keys: str, key: str = "doc_id", text: str = "text",
-        targets: dict[str, float] | None = None) -> DataFrame:
-    """Keys, ``n_tokens``, ``chances``, the likeliest ``domain`` and the fitted ``rate`` of each row."""
-    model = learn_domains(docs, labels, key, text)
+def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float]) -> tuple[DataFrame, list[tuple]]:
+    """``members`` with the fitted ``rate``, and (domain, target, reached) shares of all tokens.
+
+    The squares of the misses are weighted by 1 over the domain's tokens and the rates by the document's tokens.
+    """
+    k = len(names)
+    chance = [F.col("chances")[i] for i in range(k)]
+    members = members.withColumn("rate", F.lit(1.0))
+
+    def tokens(steps_of: list[list[dict]]) -> list[np.ndarray]:
+        """Expected tokens by domain after each of some lists of steps."""
+        told = members.select("n_tokens", "chances", *[rate_of(s).alias(f"x{j}") for j, s in enumerate(steps_of)])
+        row = told.agg(*[F.sum(F.col("n_tokens") * chance[i] * F.col(f"x{j}")) for j in range(len(steps_of))
+                         for i in range(k)]).first()
+        return list(np.array([float(v or 0.0) for v in row]).reshape(len(steps_of), k))
+
+    reached = start = tokens([[]])[0]
+    everything = float(start.sum())
+    wanted = np.array(wanted_tokens(names, everything, targets))
+    weight = np.where(start > 0, 1 / np.where(start > 0, start, 1.0), 0.0)
+    far = lambda s: float((weight * (s - wanted) ** 2).sum())
+    steps: list[dict] = []
+    while everything > 0:
+        slope = (weight * (reached - wanted)).tolist()
+        told = members.select("n_tokens", "chances", rate_of(steps).alias("x"))
+        told = told.withColumn("g", _along(F.array(*[F.lit(v) for v in slope])))
+        told = told.withColumn("t", F.when(_is_free(F.col("x"), F.col("g")), F.col("n_tokens")).otherwise(0))
+        pairs = [(i, j) for i in range(k) for j in range(i, k)]
+        row = told.agg(F.sum(F.col("n_tokens") * F.abs(F.col("x") - F.greatest(F.lit(0.0), F.col("x") - F.col("g")))),
+                       *[F.sum(F.col("t") * chance[i] * chance[j]) for i, j in pairs]).first()
+        if float(row[0] or 0.0) <= TOLERANCE * everything:
+            break
+        curve = np.zeros((k, k))
+        for (i, j), v in zip(pairs, row[1:]):
+            curve[i, j] = curve[j, i] = float(v or 0.0)
+        scaled = np.sqrt(weight)[:, None] * curve * np.sqrt(weight)[None, :]
+        move = np.sqrt(weight) * (np.linalg.pinv(scaled, rcond=1e-9, hermitian=True) @ (np.sqrt(weight) * (reached - wanted)))
+        # the scaled step at several lengths, and the plain one, which always leads downhill
+        tried = [{"slope": slope, "move": move.tolist(), "length": a} for a in LENGTHS]
+        tried.append({"slope": slope, "move": slope, "length": 1.0})
+        sums = tokens([[*steps, t] for t in tried])
+        best = min(range(len(tried)), key=lambda j: far(sums[j]))
+        if far(sums[best]) >= far(reached) * (1 - 1e-12):
+            break
+        steps.append(tried[best])
+        reached = sums[best]
+        if len(steps) == STORE_EVERY:
+            members = materialize(members.withColumn("rate", rate_of(steps)), "rates")
+            steps = []
+    share = lambda s: (s / everything if everything else s * 0).tolist()
+    return members.withColumn("rate", rate_of(steps)), list(zip(names, share(wanted), share(reached)))
+
+
+def mix_with_balance(docs: DataFrame, labels: DataFrame, *keys: str, key: str = "doc_id", text: str = "text",
+                     targets: dict[str, float] | None = None, learn_from: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows as of :func:`mix`, and (domain, target, reached, missed) shares of all tokens.
+
+    ``learn_from`` holds the labelled documents, by default the mixed ones.
+    """
+    model = learn_domains(docs if learn_from is None else learn_from, labels, key, text)
     members = materialize(memberships(docs, model, *keys, text=text), "members")
-    history = fit_rates(members, model.names, TARGETS if targets is None else targets)
+    rated, balance = fit_rates(members, model.names, TARGETS if targets is None else targets)
+    met = all(abs(r - t) <= MET for _, t, r in balance)
     top = F.get(F.array(*[F.lit(n) for n in model.names]),
                 (F.array_position("chances", F.array_max("chances")) - 1).cast("int"))
-    return members.select(*keys, "n_tokens", "chances", top.alias("domain"), rate_of(history)["x"].alias("rate"))
+    rows = rated.select(*keys, "n_tokens", "chances", top.alias("domain"), "rate", F.lit(met).alias("targets_met"))
+    table = docs.sparkSession.createDataFrame([(n, t, r, r - t) for n, t, r in balance],
+                                              "domain string, target double, reached double, missed double")
+    return rows, table
+
+
+def mix(docs: DataFrame, labels: DataFrame, *keys: str, key: str = "doc_id", text: str = "text",
+        targets: dict[str, float] | None = None, learn_from: DataFrame | None = None) -> DataFrame:
+    """Keys, ``n_tokens``, ``chances``, the likeliest ``domain``, the fitted ``rate`` and ``targets_met`` of each row."""
+    return mix_with_balance(docs, labels, *keys, key=key, text=text, targets=targets, learn_from=learn_from)[0]
