@@ -8,7 +8,7 @@ stage updates ``n_chars`` where it changed the text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlens.llm import decontaminate, mixing, near_dup, quality_rules, secrets
@@ -30,18 +30,32 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def packed(docs: DataFrame, **more: Column) -> DataFrame:
+    """Whole rows in one column ``row``, so that columns of any name can't clash with ours."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in more.items()])
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = secrets.redact(docs.withColumn("_before", F.length("text")))
-    length = F.when(F.length("text") == F.col("_before"), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))
-    return clean.withColumn("n_chars", length).select(*docs.columns)
+    clean = secrets.redact(packed(docs, text=F.col("text")))
+    same = F.col("row.text").eqNullSafe(F.col("text"))
+    new = {"text": F.col("text"), "n_chars": F.when(same, F.col("row.n_chars")).otherwise(F.length("text").cast("bigint"))}
+    return clean.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows with ``n_tokens``, ``domain``, ``rate`` and ``targets_met``; columns of these names are replaced.
+
+    The domains are learned from all labelled documents, also those that earlier stages left out.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    own = F.xxhash64("text")
-    rates = mixing.mix(docs.withColumn("_own", own), labels, "doc_id", "_own") \
-        .select(F.col("doc_id").alias("_id"), "_own", "n_tokens", "domain", "rate").dropDuplicates(["_id", "_own"])
-    return docs.join(rates, F.col("doc_id").eqNullSafe(F.col("_id")) & (own == F.col("_own")), "left").drop("_id", "_own")
+    every = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    own = F.xxhash64(F.col("text").cast("string"))
+    told = docs.select(F.col("doc_id").alias("k"), own.alias("h"), "text")
+    added = ["n_tokens", "domain", "rate", "targets_met"]
+    rates = mixing.mix(told, labels, "k", "h", learn_from=every).select("k", "h", *added).dropDuplicates(["k", "h"])
+    rows = packed(docs, own_k=F.col("doc_id"), own_h=own)
+    both = rows.join(rates, F.col("own_k").eqNullSafe(F.col("k")) & (F.col("own_h") == F.col("h")), "left")
+    return both.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in added], *added)
 
 
 STAGES = [
