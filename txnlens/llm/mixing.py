@@ -40,7 +40,9 @@ MET = 1e-4
 #: The fit ends when a step of the plain gradient would move the rates by this share of all tokens at most.
 TOLERANCE = 1e-7
 #: Step lengths that are tried together.
-LENGTHS = (1.0, 0.5, 0.25, 0.1, 0.02, 0.002)
+LENGTHS = (1.0, 0.5, 0.1, 0.01)
+#: Scaled steps that are tried: each leaves at 0 the rates that the one before would take there.
+TRIES = 3
 #: Steps between two stored tables of rates.
 STORE_EVERY = 4
 #: Share of all tokens by domain (quality/toxic); other domains share what is left.
@@ -155,7 +157,7 @@ def memberships(docs: DataFrame, model: Domains, *keys: str, text: str = "text")
 def _literal(steps: list[dict]) -> Column:
     # one literal, since a column object for every number takes longer than the step itself
     return F.from_json(F.lit(json.dumps(steps)),
-                       "array<struct<slope: array<double>, move: array<double>, length: double>>")
+                       "array<struct<slope: array<double>, ends: array<array<double>>, move: array<double>, length: double>>")
 
 
 def _along(vector: Column) -> Column:
@@ -168,12 +170,20 @@ def _is_free(rate: Column, slope: Column) -> Column:
     return (rate > 0) | (slope < 0)
 
 
+def _moves(rate: Column, slope: Column, ends: Column) -> Column:
+    """Free rates, but for those with a slope that any of the moves ``ends`` takes to 0."""
+    return _is_free(rate, slope) & ((slope <= 0) | F.forall(ends, lambda v: rate > _along(v)))
+
+
+def _stepped(now: Column, by: Column) -> Column:
+    slope = _along(by["slope"])
+    moved = F.greatest(F.lit(0.0), now - by["length"] * _along(by["move"]))
+    return F.when(_moves(now, slope, by["ends"]), moved).when((F.size(by["ends"]) > 0) & (slope > 0), 0.0).otherwise(now)
+
+
 def rate_of(steps: list[dict]) -> Column:
     """A document's rate after some steps from its stored ``rate``."""
-    def step(now: Column, by: Column) -> Column:
-        return F.when(_is_free(now, _along(by["slope"])), F.greatest(F.lit(0.0), now - by["length"] * _along(by["move"]))) \
-            .otherwise(now)
-    return F.aggregate(_literal(steps), F.col("rate"), step) if steps else F.col("rate")
+    return F.aggregate(_literal(steps), F.col("rate"), _stepped) if steps else F.col("rate")
 
 
 def wanted_tokens(names: list[str], everything: float, targets: dict[str, float]) -> list[float]:
@@ -193,14 +203,14 @@ def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float]) -
     chance = [F.col("chances")[i] for i in range(k)]
     members = members.withColumn("rate", F.lit(1.0))
 
-    def tokens(steps_of: list[list[dict]]) -> list[np.ndarray]:
-        """Expected tokens by domain after each of some lists of steps."""
-        told = members.select("n_tokens", "chances", *[rate_of(s).alias(f"x{j}") for j, s in enumerate(steps_of)])
-        row = told.agg(*[F.sum(F.col("n_tokens") * chance[i] * F.col(f"x{j}")) for j in range(len(steps_of))
-                         for i in range(k)]).first()
-        return list(np.array([float(v or 0.0) for v in row]).reshape(len(steps_of), k))
+    def tokens(told: DataFrame) -> list[np.ndarray]:
+        """Expected tokens by domain at each of the rates ``xs``; a row for each comes to the driver."""
+        each = told.select("n_tokens", "chances", F.posexplode("xs").alias("at", "x"))
+        rows = each.groupBy("at").agg(*[F.sum(F.col("n_tokens") * F.col("x") * c) for c in chance]).collect()
+        out = {r["at"]: np.array([float(v or 0.0) for v in r[1:]]) for r in rows}
+        return [out.get(j, np.zeros(k)) for j in range(max(out, default=0) + 1)]
 
-    reached = start = tokens([[]])[0]
+    reached = start = tokens(members.withColumn("xs", F.array("rate")))[0]
     everything = float(start.sum())
     wanted = np.array(wanted_tokens(names, everything, targets))
     weight = np.where(start > 0, 1 / np.where(start > 0, start, 1.0), 0.0)
@@ -208,23 +218,32 @@ def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float]) -
     steps: list[dict] = []
     while everything > 0:
         slope = (weight * (reached - wanted)).tolist()
-        told = members.select("n_tokens", "chances", rate_of(steps).alias("x"))
-        told = told.withColumn("g", _along(F.array(*[F.lit(v) for v in slope])))
-        told = told.withColumn("t", F.when(_is_free(F.col("x"), F.col("g")), F.col("n_tokens")).otherwise(0))
         pairs = [(i, j) for i in range(k) for j in range(i, k)]
-        row = told.agg(F.sum(F.col("n_tokens") * F.abs(F.col("x") - F.greatest(F.lit(0.0), F.col("x") - F.col("g")))),
-                       *[F.sum(F.col("t") * chance[i] * chance[j]) for i, j in pairs]).first()
-        if float(row[0] or 0.0) <= TOLERANCE * everything:
+        tried, ends, left = [], [], None
+        while len(ends) < TRIES:
+            told = members.select("n_tokens", "chances", rate_of(steps).alias("x"))
+            told = told.withColumn("g", _along(F.from_json(F.lit(json.dumps(slope)), "array<double>")))
+            stops = F.from_json(F.lit(json.dumps(ends)), "array<array<double>>")
+            told = told.withColumn("t", F.when(_moves(F.col("x"), F.col("g"), stops), F.col("n_tokens")).otherwise(0))
+            row = told.agg(F.sum(F.col("n_tokens") * F.abs(F.col("x") - F.greatest(F.lit(0.0), F.col("x") - F.col("g")))),
+                           *[F.sum(F.col("t") * chance[i] * chance[j]) for i, j in pairs]).first()
+            left = float(row[0] or 0.0)
+            if left <= TOLERANCE * everything:
+                break
+            curve = np.zeros((k, k))
+            for (i, j), v in zip(pairs, row[1:]):
+                curve[i, j] = curve[j, i] = float(v or 0.0)
+            root = np.sqrt(weight)
+            inverse = np.linalg.pinv(root[:, None] * curve * root[None, :], rcond=1e-9, hermitian=True)
+            move = (root * (inverse @ (root * (reached - wanted)))).tolist()
+            tried += [{"slope": slope, "ends": list(ends), "move": move, "length": a} for a in LENGTHS]
+            ends.append(move)
+        if left <= TOLERANCE * everything:
             break
-        curve = np.zeros((k, k))
-        for (i, j), v in zip(pairs, row[1:]):
-            curve[i, j] = curve[j, i] = float(v or 0.0)
-        scaled = np.sqrt(weight)[:, None] * curve * np.sqrt(weight)[None, :]
-        move = np.sqrt(weight) * (np.linalg.pinv(scaled, rcond=1e-9, hermitian=True) @ (np.sqrt(weight) * (reached - wanted)))
-        # the scaled step at several lengths, and the plain one, which always leads downhill
-        tried = [{"slope": slope, "move": move.tolist(), "length": a} for a in LENGTHS]
-        tried.append({"slope": slope, "move": slope, "length": 1.0})
-        sums = tokens([[*steps, t] for t in tried])
+        # the scaled steps at several lengths, and the plain one, which always leads downhill
+        tried.append({"slope": slope, "ends": [], "move": slope, "length": 1.0})
+        told = members.select("n_tokens", "chances", rate_of(steps).alias("now"))
+        sums = tokens(told.withColumn("xs", F.transform(_literal(tried), lambda by: _stepped(F.col("now"), by))))
         best = min(range(len(tried)), key=lambda j: far(sums[j]))
         if far(sums[best]) >= far(reached) * (1 - 1e-12):
             break
