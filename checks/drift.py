@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from checks import views as V
 from checks.registry import query
 from txnlens.operators import drift as D
+from txnlens.operators.encoding import apply_standard, fit_standard
+from txnlens.operators.gappy_pca import components, fit_covariance, pattern_moments, project_expected
+from txnlens.operators.wide_tests import wide_two_sample
 from txnlens.roles import DRIFT_CATEGORICAL, DRIFT_NUMERICAL
 
 LONG = ", ".join(f"'{c}'" for c in DRIFT_NUMERICAL), ", ".join(f"{c}::double" for c in DRIFT_NUMERICAL)
@@ -159,6 +162,17 @@ def _(spark, sf):
     return V.rounded(D.wasserstein_normed(D.sample_counts(V.ref_txn(spark, sf), V.ana_txn(spark, sf))))
 
 
+@query("two_sample_wide", V.sql(f"""
+    with {CUMULATIVE}, {KS}, {WASSERSTEIN}
+    select kp.feature, round(kp.d, 6) as ks_stat, round(ws.d, 6) as distance
+    from kp join ws on ws.feature = kp.feature""", "ref_txn", "ana_txn"))
+def _(spark, sf):
+    # few points, so that many ranges must be looked into
+    found = wide_two_sample(V.ref_txn(spark, sf), V.ana_txn(spark, sf), DRIFT_NUMERICAL, points=20)
+    spread = F.when(F.col("std") < 0.001, F.lit(0.001)).otherwise(F.col("std"))
+    return V.rounded(found.select("feature", "ks_stat", (F.col("area") / spread).alias("distance")))
+
+
 @query("dataset_drift_share", V.sql(f"""
     with {CUMULATIVE}, {KS}, {WASSERSTEIN},
     verdict as (select s.feature, case when s.n <= 1000 then kp.p < 0.05 else ws.d >= 0.05 end as drifted
@@ -171,6 +185,25 @@ def _(spark, sf):
     return V.rounded(D.dataset_drift_share(tests))
 
 
+@query("pca_gaps", """
+    select 'PC1' as component, count(*) filter (o_orderkey % 7 = 0 or o_custkey % 5 = 0) as n_gaps, count(*) as n_rows
+    from orders""")
+def _(spark, sf):
+    """No row is left out: every one has a score, those with gaps an expected one."""
+    rows = V.table(spark, sf, "orders").select(
+        F.expr("if(o_orderkey % 7 = 0, null, double(o_totalprice))").alias("price"),
+        F.expr("if(o_custkey % 5 = 0, null, o_totalprice * 2 + double(o_orderkey % 11))").alias("twice"),
+        F.expr("double(o_orderkey % 13)").alias("other"))
+    columns = rows.columns
+    stats = {r["feature"]: (r["mean"], r["std"]) for r in fit_standard(rows, columns).collect()}
+    scaled = apply_standard(rows, stats, columns)
+    seen = pattern_moments(scaled, columns)
+    mean, cov = fit_covariance(seen)
+    scores = project_expected(scaled, columns, components(cov, 1), mean, cov, seen.present)
+    return scores.where("PC1 is not null and not isnan(PC1)").agg(
+        F.lit("PC1").alias("component"), F.lit(seen.gaps).cast("bigint").alias("n_gaps"), F.count("*").alias("n_rows"))
+
+
 @query("pca_psi")
 def _(spark, sf):
     return V.rounded(D.pca_psi(V.ref_txn(spark, sf), V.ana_txn(spark, sf)))

@@ -11,8 +11,10 @@ from txnlens.functions.stats import half_kl, ks_p_value, psi_term
 from txnlens.operators.distribution import (MANY_VALUES, counts_at, number, numeric_counts, quantiles, running_counts,
                                             scan_counts_at, split_by_distinct, totals, wide_quantiles)
 from txnlens.operators.encoding import apply_standard, category_counts, fit_standard, shares_of
+from txnlens.operators.gappy_pca import Moments, components, fit_covariance, pattern_moments, project_expected
 from txnlens.operators.lookup import join_lookup
 from txnlens.operators.rowindex import with_row_index
+from txnlens.operators.wide_tests import wide_two_sample
 from txnlens.roles import DRIFT_CATEGORICAL, DRIFT_NUMERICAL, EVENT_TIME, KEY
 from txnlens.session import materialize
 
@@ -218,6 +220,24 @@ def drift_tests(counts: DataFrame, limit: float = TEST_LIMIT, small: int = 1000)
     return ks if few else ws
 
 
+def two_sample_tests(ref: DataFrame, ana: DataFrame, columns=DRIFT_NUMERICAL, limit: float = TEST_LIMIT,
+                     small: int = 1000, many_values: int = MANY_VALUES) -> DataFrame:
+    """:func:`drift_tests` of two samples; columns with more than ``many_values`` distinct values are not shuffled."""
+    columns = list(columns)
+    few, wide = split_by_distinct(ref.select(*columns).unionByName(ana.select(*columns)), columns, many_values)
+    parts = [drift_tests(sample_counts(ref, ana, few), limit, small)] if few else []
+    if wide:
+        found = wide_two_sample(ref, ana, wide)
+        distance = F.col("area") / F.when(F.col("std") < 0.001, F.lit(0.001)).otherwise(F.col("std"))
+        p = ks_p_value(F.col("ks_stat"), F.col("n"), F.col("m"))
+        is_small = F.col("n") <= small
+        parts.append(found.select(
+            "feature", F.when(is_small, "ks").otherwise("wasserstein").alias("method"),
+            F.when(is_small, p).otherwise(distance).alias("score"),
+            F.when(is_small, p < limit).otherwise(distance >= limit).alias("drifted")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def dataset_drift_share(tests: DataFrame, share: float = DRIFT_SHARE) -> DataFrame:
     """One row: number and share of drifted columns and whether the whole dataset drifted."""
     return tests.agg(F.count(F.lit(1)).alias("n_columns"), F.count_if("drifted").alias("n_drifted")).withColumn(
@@ -277,9 +297,16 @@ def widen_chunks(chunks: DataFrame, columns=DRIFT_CATEGORICAL) -> DataFrame:
 # Principal components
 
 def pca_loadings(ref_scaled: DataFrame, columns, k: int = 2) -> list[list[float]]:
-    """k loading vectors of the scaled reference; the largest entry of each is made positive."""
-    complete = ref_scaled.select(*columns).dropna()
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(complete)
+    """k loading vectors of the scaled reference, rows with gaps included; the largest entry of each is made positive."""
+    columns = list(columns)
+    data = pattern_moments(ref_scaled, columns)
+    return _loadings(ref_scaled, columns, k, data, fit_covariance(data)[1] if data.gaps else None)
+
+
+def _loadings(ref_scaled: DataFrame, columns, k: int, data: Moments, cov) -> list[list[float]]:
+    if data.gaps:
+        return components(cov, k)
+    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(ref_scaled.select(*columns))
     pc = PCA(k=k, inputCol="v", outputCol="pc").fit(vectors).pc.toArray()
     out = []
     for j in range(k):
@@ -295,12 +322,24 @@ def project(scaled: DataFrame, columns, loadings) -> DataFrame:
 
 def pca_psi(ref: DataFrame, ana: DataFrame, columns=DRIFT_NUMERICAL, k: int = 2, bins: int = 50,
             limit: float = PSI_LIMIT) -> DataFrame:
-    """(component, psi_score, drifted): PSI of both samples on the reference's principal components."""
+    """(component, psi_score, drifted, ref_gaps, ana_gaps): PSI of both samples on the reference's principal components.
+
+    Rows with missing values take part with their expected scores (:mod:`txnlens.operators.gappy_pca`); the last two
+    columns tell how many there are.
+    """
     columns = list(columns)
     stats = {r["feature"]: (r["mean"], r["std"]) for r in fit_standard(ref, columns).collect()}
     ref_scaled, ana_scaled = apply_standard(ref, stats, columns), apply_standard(ana, stats, columns)
-    loadings = pca_loadings(ref_scaled, columns, k)
-    scores = psi(project(ref_scaled, columns, loadings), project(ana_scaled, columns, loadings),
-                 [f"PC{j + 1}" for j in range(k)], bins)
-    return scores.select(F.col("feature").alias("component"), "psi_score",
-                         (F.col("psi_score") > limit).alias("drifted"))
+    seen = [pattern_moments(df, columns) for df in (ref_scaled, ana_scaled)]
+    if seen[0].gaps or seen[1].gaps:
+        mean, cov = fit_covariance(seen[0])
+        loadings = _loadings(ref_scaled, columns, k, seen[0], cov)
+        projected = [project_expected(df, columns, loadings, mean, cov, m.present)
+                     for df, m in zip((ref_scaled, ana_scaled), seen)]
+    else:
+        loadings = _loadings(ref_scaled, columns, k, seen[0], None)
+        projected = [project(df, columns, loadings) for df in (ref_scaled, ana_scaled)]
+    scores = psi(*projected, [f"PC{j + 1}" for j in range(k)], bins)
+    return scores.select(F.col("feature").alias("component"), "psi_score", (F.col("psi_score") > limit).alias("drifted"),
+                         F.lit(seen[0].gaps).cast("bigint").alias("ref_gaps"),
+                         F.lit(seen[1].gaps).cast("bigint").alias("ana_gaps"))

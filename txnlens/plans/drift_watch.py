@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from txnlens.operators import drift
+from txnlens.operators.distribution import split_by_distinct
 from txnlens.operators.ingest import filter_by_value
 from txnlens.operators.metrics import classification_metrics
 from txnlens.operators.scoring import score
@@ -28,11 +29,12 @@ class DriftResult:
 
 def watch(ref: DataFrame, ana: DataFrame, numerical=DRIFT_NUMERICAL, categorical=DRIFT_CATEGORICAL,
           chunk_size: int = 1000) -> DriftResult:
-    """Every drift score; the value counts of both samples are taken once and shared."""
-    counts = drift.sample_counts(ref, ana, numerical)
+    """Every drift score; the value counts of both samples are taken once and shared, if no column has too many values."""
+    both = ref.select(*numerical).unionByName(ana.select(*numerical))
+    counts = None if split_by_distinct(both, numerical)[1] else drift.sample_counts(ref, ana, numerical)
     sweep = materialize(drift.psi_sweep(ref, ana, numerical, counts=counts), "sweep")
     scores = sweep.join(drift.knee_bins(sweep), ["feature", "bins"]).withColumnRenamed("psi", "psi_score")
-    tests = drift.drift_tests(counts)
+    tests = materialize(drift.two_sample_tests(ref, ana, numerical) if counts is None else drift.drift_tests(counts), "tests")
     return DriftResult(scores, drift.drift_decision(scores), drift.pca_psi(ref, ana, numerical),
                        drift.js_categorical_chunks(ref, ana, categorical, chunk_size), tests,
                        drift.dataset_drift_share(tests))
