@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_ROWS = 1_000_000
@@ -19,8 +21,8 @@ def join_lookup(df: DataFrame, lookup: DataFrame, column: str, key: str, rows: i
     """Add the lookup's value columns to every row; rows without a match get nulls.
 
     A lookup of at most ``broadcast_rows`` rows is broadcast; it is counted here if ``rows`` is not given, so
-    it should be a stored table. A larger one is joined by shuffle, and rows that need no partner there are
-    spread over many partitions instead of meeting in one. If ``share`` names the column with each key's
+    it should be a stored table. A larger one is joined by shuffle, where neither rows without a key nor a key that
+    is frequent in ``df`` meet in one partition. If ``share`` names the column with each key's
     share of the rows, keys with at least HOT_SHARE (there can be at most 1/HOT_SHARE of them) are broadcast,
     so that no key left for the shuffle can fill a partition.
     """
@@ -39,10 +41,32 @@ def join_lookup(df: DataFrame, lookup: DataFrame, column: str, key: str, rows: i
         "_rest", *[f"_hot_{v}" for v in values])
 
 
+def heavy_keys(df: DataFrame, key: Column, share: float = HOT_SHARE) -> DataFrame:
+    """(_heavy, _slots): the keys that hold at least ``share`` of the rows, and in how many parts they are to be dealt.
+
+    A frequent-items sketch of bounded size misses none of them; there can be 1 / share.
+    """
+    most = math.ceil(1 / share)
+    one = df.select(key.cast("string").alias("k")).where("k is not null").agg(
+        F.expr(f"approx_top_k(k, {most}, {4 * most})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    hot = [(t["item"], math.ceil(t["count"] / one["n"] / share)) for t in one["top"] or () if t["count"] >= share * one["n"]]
+    return df.sparkSession.createDataFrame(hot, "_heavy string, _slots int")
+
+
 def _spread_join(df: DataFrame, right: DataFrame, key: Column, values) -> DataFrame:
-    """Shuffled left join; rows whose key is null go to partitions picked by a hash of the row."""
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    slot = F.when(key.isNull(), F.pmod(row_hash, F.lit(_SPREAD)).cast("int")).otherwise(F.lit(-1))
-    left = df.withColumns({"_key": F.coalesce(key, F.lit("")), "_slot": slot})
-    right = right.select(F.col("_lookup_key").alias("_key"), F.lit(-1).alias("_slot"), *values)
+    """Shuffled left join in which no key can fill a partition.
+
+    Rows whose key is null go to partitions picked by a hash of the row. A key that is frequent in ``df``, whatever its
+    share was when the lookup was learned, is dealt into parts, and its lookup row is repeated for each.
+    """
+    heavy = F.broadcast(heavy_keys(df, key))
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])  # the same after a lost task is run again
+    left = df.withColumns({"_key": key.cast("string"), "_row": row_hash}).join(heavy, F.col("_key") == F.col("_heavy"), "left")
+    slot = F.when(F.col("_key").isNull(), F.pmod("_row", F.lit(_SPREAD)).cast("int")).when(
+        F.col("_slots").isNotNull(), F.pmod("_row", F.col("_slots")).cast("int")).otherwise(F.lit(-1))
+    left = left.withColumn("_slot", slot).withColumn("_key", F.coalesce("_key", F.lit(""))).drop("_row", "_heavy", "_slots")
+    right = right.select(F.col("_lookup_key").cast("string").alias("_key"), *values).join(
+        heavy, F.col("_key") == F.col("_heavy"), "left")
+    each = F.when(F.col("_slots").isNotNull(), F.sequence(F.lit(0), F.col("_slots") - 1)).otherwise(F.array(F.lit(-1)))
+    right = right.select("_key", F.explode(each).alias("_slot"), *values)
     return left.join(right, ["_key", "_slot"], "left").drop("_key", "_slot")
