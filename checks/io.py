@@ -110,3 +110,26 @@ def _(spark, sf):
               "categorical": {"name": "preprocessed_categorical_features", "version": 1}}
     store.write_all({k: g for k, g in groups.items() if k != "target"}, config)
     return text_time(ops.merge_configured_groups(config, store.read))
+
+
+@query("profile_appended", """
+    with top as (select o_orderpriority as v, count(*) as n from orders group by 1 order by n desc, v limit 1)
+    select 'o_totalprice' as column_name, count(*) as n_rows, count(*) - count(o_totalprice) as n_null,
+           round(min(o_totalprice)::double, 6) as min_value, round(max(o_totalprice)::double, 6) as max_value,
+           round(avg(o_totalprice), 6) as mean, round(stddev_samp(o_totalprice), 6) as std, null::varchar as top_value,
+           null::bigint as top_count from orders
+    union all
+    select 'o_orderpriority', count(*), count(*) - count(o_orderpriority), null, null, null, null, (select v from top),
+           (select n from top) from orders""")
+def _(spark, sf):
+    """A profile merged from the states of three appended batches."""
+    orders = V.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", F.col("o_totalprice").cast("double")
+                                                 .alias("o_totalprice"), "o_orderpriority")
+    store = FeatureTables(spark, scratch_path(spark, "features"), key="o_orderkey", event_time="o_orderdate")
+    for i in range(3):
+        store.write(orders.where(F.col("o_orderkey") % 3 == i), "orders")
+    found = store.profile("orders", verified=True).where("column_name in ('o_totalprice', 'o_orderpriority')")
+    text = F.col("column_name") == "o_orderpriority"
+    return V.rounded(found.select("column_name", "n_rows", "n_null", "min_value", "max_value", "mean", "std",
+                                  F.when(text, F.col("top_value")).alias("top_value"),
+                                  F.when(text, F.col("top_count")).alias("top_count")))

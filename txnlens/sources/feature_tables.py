@@ -6,6 +6,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from txnlens.operators.profile_states import column_states, merge_states, verified_top
 from txnlens.operators.profiling import table_statistics
 from txnlens.roles import EVENT_TIME, KEY
 
@@ -19,10 +20,14 @@ class FeatureTables:
     def path(self, name: str, version: int) -> str:
         return f"{self.root}/name={name}/version={version}"
 
+    def states_path(self, name: str, version: int) -> str:
+        return f"{self.root}/states/name={name}/version={version}"
+
     def write(self, df: DataFrame, name: str, version: int = 1) -> int:
         """Append one batch, creating the table if need be; a batch must not repeat a key. Returns its rows.
 
-        The check and the write are two reads of ``df``; pass a stored table where that is dear.
+        The check and the write are two reads of ``df``; pass a stored table where that is dear. The batch's profile
+        state is taken from what was written, and no earlier batch is read.
         """
         keys = df.groupBy(self.key).agg(F.count(F.lit(1)).alias("k"))
         found = keys.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n"),
@@ -30,7 +35,10 @@ class FeatureTables:
         if found["bad"]:
             raise ValueError(f"{name}: {found['bad']} keys are null or repeated in the batch")
         batch = time.time_ns()
-        df.write.mode("append").parquet(f"{self.path(name, version)}/{BATCH}={batch}")
+        written = f"{self.path(name, version)}/{BATCH}={batch}"
+        df.write.mode("append").parquet(written)
+        column_states(self.spark.read.schema(df.schema).parquet(written)).write.mode("overwrite") \
+            .parquet(f"{self.states_path(name, version)}/{BATCH}={batch}")
         return found["n"]
 
     def write_all(self, groups: dict[str, DataFrame], config: dict) -> dict[str, int]:
@@ -52,6 +60,19 @@ class FeatureTables:
             F.max_by(F.struct(*rest), F.struct(self.event_time, BATCH)).alias("row"))
         return latest.select(self.key, "row.*")
 
+    def profile(self, name: str, version: int = 1, verified: bool = False) -> DataFrame:
+        """The profile of all appended rows, also of those that later ones replace, merged from the batches' states.
+
+        Counts, bounds, mean and deviation are exact; distinct values, quartiles and the most frequent value are estimates.
+        ``verified`` counts the most frequent value exactly, which reads the rows once.
+        """
+        states = self.spark.read.parquet(self.states_path(name, version)).drop(BATCH)
+        merged = merge_states(states)
+        if not verified:
+            return merged
+        rows = self.spark.read.parquet(self.path(name, version)).drop(BATCH)
+        return merged.drop("top_value", "top_count").join(verified_top(rows, states), "column_name", "left")
+
     def statistics(self, name: str, version: int = 1, bins: int = 20) -> dict[str, DataFrame]:
         """Profile, histograms and correlations of the current rows, stored beside the table."""
         stats = table_statistics(self.read(name, version), bins)
