@@ -2,14 +2,13 @@
 
 A classifier learned from the table of labels gives every document its chances of belonging to each domain (here: each
 pair of quality and toxicity that the labels hold). Projected-gradient least squares then finds a rate of repetition for
-every document, 0 or more, whose expected tokens by domain meet the targets as well as they can. The gradient of a rate
-is a product of the document's chances with a few numbers, so a step needs two distributed sums: the curvature by pairs of
-domains over the rates that are free to move, by whose inverse the gradient is scaled, and the tokens for some step
-lengths, of which the best is taken. Rates are stored every few steps, so a step costs the same however many went before.
+every document, 0 or more, whose expected tokens by domain meet the targets as well as they can, and that stays near 1. The
+gradient of a rate is a product of the document's chances with one pull for each domain, so all rates follow from the pulls,
+and a step needs one distributed sum: tokens, and the curvature by pairs of domains by whose inverse the step is scaled. Only
+numbers by domain pass through the driver, and a lost executor costs nothing.
 
-The fit ends where the conditions of the optimum hold: no free rate has a slope, and no rate at 0 would rise. ``balance`` tells for every
-domain the target, what was reached and the difference, and ``targets_met`` whether all targets are: documents whose
-chances can't carry them leave a difference, and that is then the smallest there is.
+The fit ends at the optimum. ``balance`` tells for every domain the target, what was reached and the difference, and
+``targets_met`` whether all targets are met: documents whose chances can't carry them leave a difference.
 
 The classifier is a softmax over text features and word evidence, both learned from at most ``MOST_ROWS`` different
 labelled documents (a documented bound; keys and documents are taken in the order of a hash), which may come from another
@@ -36,15 +35,13 @@ from txnlens.session import materialize
 MOST_ROWS = 20_000
 TABLE_BITS = 15
 #: Largest difference from a target, as a share of all tokens, that counts as met.
-MET = 1e-4
-#: The fit ends when a step of the plain gradient would move the rates by this share of all tokens at most.
-TOLERANCE = 1e-7
+MET = 1e-3
+#: Weight of the rates' distance from 1: of all rates that meet the targets, the nearest are taken.
+RIDGE = 1e-5
+#: The fit ends when misses and pulls differ by this share of all tokens at most.
+TOLERANCE = 1e-9
 #: Step lengths that are tried together.
-LENGTHS = (1.0, 0.5, 0.1, 0.01)
-#: Scaled steps that are tried: each leaves at 0 the rates that the one before would take there.
-TRIES = 3
-#: Steps between two stored tables of rates.
-STORE_EVERY = 4
+LENGTHS = (1.0, 0.5, 0.2, 0.05, 0.01, 0.001)
 #: Share of all tokens by domain (quality/toxic); other domains share what is left.
 TARGETS = {"1/0": 0.85, "1/1": 0.03, "0/0": 0.10, "0/1": 0.02}
 
@@ -154,36 +151,20 @@ def memberships(docs: DataFrame, model: Domains, *keys: str, text: str = "text")
     return source.mapInArrow(run, f"{kinds}, n_tokens bigint, chances array<double>")
 
 
-def _literal(steps: list[dict]) -> Column:
-    # one literal, since a column object for every number takes longer than the step itself
-    return F.from_json(F.lit(json.dumps(steps)),
-                       "array<struct<slope: array<double>, ends: array<array<double>>, move: array<double>, length: double>>")
-
-
 def _along(vector: Column) -> Column:
     """The product of a document's chances with one number for each domain."""
     return F.aggregate(F.zip_with("chances", vector, lambda p, v: p * v), F.lit(0.0), lambda s, v: s + v)
 
 
-def _is_free(rate: Column, slope: Column) -> Column:
-    """A rate at 0 that a step against its slope would not raise stays there."""
-    return (rate > 0) | (slope < 0)
-
-
-def _moves(rate: Column, slope: Column, ends: Column) -> Column:
-    """Free rates, but for those with a slope that any of the moves ``ends`` takes to 0."""
-    return _is_free(rate, slope) & ((slope <= 0) | F.forall(ends, lambda v: rate > _along(v)))
-
+def rate_of(pull: Column) -> Column:
+    """A document's rate under the domains' pulls: from 1 against the slope they make, and projected to 0 or above."""
+    return F.greatest(F.lit(0.0), 1.0 - _along(pull))
 
-def _stepped(now: Column, by: Column) -> Column:
-    slope = _along(by["slope"])
-    moved = F.greatest(F.lit(0.0), now - by["length"] * _along(by["move"]))
-    return F.when(_moves(now, slope, by["ends"]), moved).when((F.size(by["ends"]) > 0) & (slope > 0), 0.0).otherwise(now)
 
-
-def rate_of(steps: list[dict]) -> Column:
-    """A document's rate after some steps from its stored ``rate``."""
-    return F.aggregate(_literal(steps), F.col("rate"), _stepped) if steps else F.col("rate")
+def _numbers(value) -> Column:
+    # one literal, so that the plan is the same for every step
+    kind = "array<double>" if not value or isinstance(value[0], float) else "array<array<double>>"
+    return F.from_json(F.lit(json.dumps(value)), kind)
 
 
 def wanted_tokens(names: list[str], everything: float, targets: dict[str, float]) -> list[float]:
@@ -197,63 +178,55 @@ def wanted_tokens(names: list[str], everything: float, targets: dict[str, float]
 def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float]) -> tuple[DataFrame, list[tuple]]:
     """``members`` with the fitted ``rate``, and (domain, target, reached) shares of all tokens.
 
-    The squares of the misses are weighted by 1 over the domain's tokens and the rates by the document's tokens.
+    The squares of the misses are weighted by 1 over the domain's tokens, those of the rates' distance from 1 by the
+    document's tokens and ``RIDGE``. At the optimum a rate is 1 less the slope over ``RIDGE``, or 0; the slope is a product of
+    the chances with a pull for each domain, and the pulls are the domains' weighted misses. One pass gives, for pulls at some
+    step lengths, the tokens, the curvature and the objective whose top is the optimum; the best gives the next step.
     """
     k = len(names)
     chance = [F.col("chances")[i] for i in range(k)]
-    members = members.withColumn("rate", F.lit(1.0))
-
-    def tokens(told: DataFrame) -> list[np.ndarray]:
-        """Expected tokens by domain at each of the rates ``xs``; a row for each comes to the driver."""
-        each = told.select("n_tokens", "chances", F.posexplode("xs").alias("at", "x"))
-        rows = each.groupBy("at").agg(*[F.sum(F.col("n_tokens") * F.col("x") * c) for c in chance]).collect()
-        out = {r["at"]: np.array([float(v or 0.0) for v in r[1:]]) for r in rows}
-        return [out.get(j, np.zeros(k)) for j in range(max(out, default=0) + 1)]
-
-    reached = start = tokens(members.withColumn("xs", F.array("rate")))[0]
-    everything = float(start.sum())
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def measure(pulls: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+        """Tokens by domain, curvature over the rates above 0, and squared distance of the rates; a row for each pull."""
+        told = members.select("n_tokens", "chances", F.posexplode(F.transform(
+            _numbers([u.tolist() for u in pulls]), rate_of)).alias("at", "x"))
+        t = F.col("n_tokens")
+        rows = told.groupBy("at").agg(
+            *[F.sum(t * F.col("x") * c) for c in chance],
+            *[F.sum(F.when(F.col("x") > 0, t).otherwise(0) * chance[i] * chance[j]) for i, j in pairs],
+            F.sum(t * F.pow(F.col("x") - 1, 2))).collect()
+        out = {}
+        for r in rows:
+            v = [float(x or 0.0) for x in r[1:]]
+            curve = np.zeros((k, k))
+            for (i, j), c in zip(pairs, v[k:-1]):
+                curve[i, j] = curve[j, i] = c
+            out[r["at"]] = (np.array(v[:k]), curve, v[-1])
+        return [out.get(i, (np.zeros(k), np.zeros((k, k)), 0.0)) for i in range(len(pulls))]
+
+    pull = np.zeros(k)
+    start, curve, apart = measure([pull])[0]
+    reached, everything = start, float(start.sum())
     wanted = np.array(wanted_tokens(names, everything, targets))
-    weight = np.where(start > 0, 1 / np.where(start > 0, start, 1.0), 0.0)
-    far = lambda s: float((weight * (s - wanted) ** 2).sum())
-    steps: list[dict] = []
+    some = start > 0
+    size = np.where(some, start, 1.0)
+    # the objective of the pulls: concave, and its slope is what is missing between misses and pulls
+    height = lambda u, s, a: float(RIDGE * u @ (s - wanted) - (RIDGE * u) ** 2 @ size / 2 + RIDGE * a / 2)
     while everything > 0:
-        slope = (weight * (reached - wanted)).tolist()
-        pairs = [(i, j) for i in range(k) for j in range(i, k)]
-        tried, ends, left = [], [], None
-        while len(ends) < TRIES:
-            told = members.select("n_tokens", "chances", rate_of(steps).alias("x"))
-            told = told.withColumn("g", _along(F.from_json(F.lit(json.dumps(slope)), "array<double>")))
-            stops = F.from_json(F.lit(json.dumps(ends)), "array<array<double>>")
-            told = told.withColumn("t", F.when(_moves(F.col("x"), F.col("g"), stops), F.col("n_tokens")).otherwise(0))
-            row = told.agg(F.sum(F.col("n_tokens") * F.abs(F.col("x") - F.greatest(F.lit(0.0), F.col("x") - F.col("g")))),
-                           *[F.sum(F.col("t") * chance[i] * chance[j]) for i, j in pairs]).first()
-            left = float(row[0] or 0.0)
-            if left <= TOLERANCE * everything:
-                break
-            curve = np.zeros((k, k))
-            for (i, j), v in zip(pairs, row[1:]):
-                curve[i, j] = curve[j, i] = float(v or 0.0)
-            root = np.sqrt(weight)
-            inverse = np.linalg.pinv(root[:, None] * curve * root[None, :], rcond=1e-9, hermitian=True)
-            move = (root * (inverse @ (root * (reached - wanted)))).tolist()
-            tried += [{"slope": slope, "ends": list(ends), "move": move, "length": a} for a in LENGTHS]
-            ends.append(move)
-        if left <= TOLERANCE * everything:
+        slope = np.where(some, reached - wanted - RIDGE * size * pull, 0.0)
+        if np.abs(slope).sum() <= TOLERANCE * everything:
             break
-        # the scaled steps at several lengths, and the plain one, which always leads downhill
-        tried.append({"slope": slope, "ends": [], "move": slope, "length": 1.0})
-        told = members.select("n_tokens", "chances", rate_of(steps).alias("now"))
-        sums = tokens(told.withColumn("xs", F.transform(_literal(tried), lambda by: _stepped(F.col("now"), by))))
-        best = min(range(len(tried)), key=lambda j: far(sums[j]))
-        if far(sums[best]) >= far(reached) * (1 - 1e-12):
+        root = 1 / np.sqrt(size)
+        step = root * np.linalg.solve(RIDGE * np.eye(k) + root[:, None] * curve * root[None, :], root * slope)
+        tried = [pull + a * step for a in LENGTHS]
+        found = measure(tried)
+        best = max(range(len(tried)), key=lambda i: height(tried[i], found[i][0], found[i][2]))
+        if height(tried[best], found[best][0], found[best][2]) <= height(pull, reached, apart):
             break
-        steps.append(tried[best])
-        reached = sums[best]
-        if len(steps) == STORE_EVERY:
-            members = materialize(members.withColumn("rate", rate_of(steps)), "rates")
-            steps = []
+        pull, (reached, curve, apart) = tried[best], found[best]
     share = lambda s: (s / everything if everything else s * 0).tolist()
-    return members.withColumn("rate", rate_of(steps)), list(zip(names, share(wanted), share(reached)))
+    return members.withColumn("rate", rate_of(_numbers(pull.tolist()))), list(zip(names, share(wanted), share(reached)))
 
 
 def mix_with_balance(docs: DataFrame, labels: DataFrame, *keys: str, key: str = "doc_id", text: str = "text",

@@ -5,7 +5,7 @@ has some of it, with the number of its documents there; a group of a third of al
 spread evenly over the shards. Each round
 
 1. sums the linked sizes by shard, and with them the room that is left under the quota (all sizes over ``shards``),
-2. takes as a group's homes the shards that hold most of it, as many as have room for all of it,
+2. takes as a group's homes the shards that have room for all of it and hold most of it, or as many as have that room,
 3. asks to move what stands elsewhere to a home, and grants of that the share that keeps every shard within its quota
    (and ``SLACK``), counting what moves away too (a table of shards by shards, so the driver does it).
 
@@ -35,6 +35,8 @@ SHARDS = 40
 OWN_BYTES = 16
 #: While labels move, shards may hold this much of their quota, so that there is room where all documents are linked.
 SLACK = 1.1
+#: Rounds in a row that bring nothing together before the propagation ends.
+IDLE_ROUNDS = 3
 #: Documents above this share of the quota are placed one by one.
 LARGE = 1_000
 
@@ -73,16 +75,17 @@ def loads_of(cells: DataFrame, shards: int) -> list[float]:
 
 def propagate(cells: DataFrame, quota: float, shards: int) -> DataFrame:
     """Rounds over (g, shard, m, w): documents ``m`` of mean size ``w`` that group ``g`` has in a shard."""
-    turn = 0
+    turn = idle = 0
+    best = 0.0
     mass = F.col("m") * F.col("w")
     while True:
         loads = loads_of(cells, shards)
         room = [max(0.0, quota - x) for x in loads]
-        most = Window.partitionBy("g").orderBy(F.desc("m"), F.xxhash64("g", "shard"), "shard")
         group = Window.partitionBy("g")  # at most one cell a shard
-        placed = cells.withColumn("all", F.sum(mass).over(group)).withColumn(
-            "before", F.coalesce(F.sum(mass + _pick(room, F.col("shard"))).over(
-                most.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+        placed = cells.withColumn("all", F.sum(mass).over(group)).withColumn("can", mass + _pick(room, F.col("shard")))
+        most = group.orderBy(F.col("can") < F.col("all"), F.desc("m"), F.xxhash64("g", "shard"), "shard")
+        placed = placed.withColumn("before", F.coalesce(F.sum("can").over(
+            most.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
         placed = placed.withColumn("home", (F.row_number().over(most) == 1) | (F.col("before") < F.col("all")))
         homes = F.collect_list(F.when(F.col("home"), F.col("shard"))).over(group)
         placed = placed.withColumn("homes", homes).withColumn(
@@ -101,9 +104,11 @@ def propagate(cells: DataFrame, quota: float, shards: int) -> DataFrame:
             F.struct(F.col("target").alias("shard"), F.col("goes").alias("m")))).alias("c"))
         after = materialize(split.select("g", "w", "c.*").where("m > 0").groupBy("g", "shard").agg(
             F.sum("m").alias("m"), F.first("w").alias("w")), "cells")
-        # the rounds end when groups no longer come together
+        # the rounds end when groups no longer come together; what is granted may be too little for a single document
         together = lambda c: float(c.agg(F.sum(F.col("m").cast("double") * F.col("m") * F.col("w"))).first()[0])
-        if together(after) <= together(cells) * (1 + 1e-9):
+        now = together(after)
+        idle, best = (0, now) if now > best * (1 + 1e-9) else (idle + 1, best)
+        if idle == IDLE_ROUNDS:
             return cells
         cells, turn = after, turn + 1
 
