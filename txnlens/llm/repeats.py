@@ -124,7 +124,7 @@ def _extract(kind: str, size: int):
 
 
 def _pieces(judge: Judge, dtype: type, size: int, limit: int):
-    """Runs ``judge`` over anchors in a row until a piece is full; gives runs of repeated windows of judged contexts."""
+    """Runs ``judge`` over anchors in a row until a piece is full; gives runs of repeated windows within judged contexts."""
     def work(rows: list[tuple]) -> pa.RecordBatch:
         units = [np.frombuffer(r[5], dtype) for r in rows]
         length = np.array([len(u) for u in units])
@@ -137,9 +137,9 @@ def _pieces(judge: Judge, dtype: type, size: int, limit: int):
                 if len(hit):
                     cut = np.flatnonzero(np.diff(hit) > 1)
                     for x, y in zip(hit[np.concatenate([[0], cut + 1])], hit[np.append(cut, len(hit) - 1)]):
-                        out.append((row[1], row[2], row[3] + int(x), row[3] + int(y) + size))
+                        out.append((row[1], row[2], row[3], int(x), int(y) + size))
         return pa.RecordBatch.from_pydict({n: pa.array([o[k] for o in out], pa.int64())
-                                           for k, n in enumerate(("d", "h", "a", "b"))})
+                                           for k, n in enumerate(("d", "h", "lo", "a", "b"))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -175,8 +175,8 @@ def _windows(kind: str, size: int):
                 n = len(one)
                 yield pa.RecordBatch.from_pydict({
                     "f1": pa.array(one.view(np.int64)), "f2": pa.array(two.view(np.int64)),
-                    "d": pa.array(np.full(n, d)), "h": pa.array(np.full(n, h)),
-                    "a": pa.array(np.arange(lo, lo + n)), "judged": pa.array(np.full(n, judged))})
+                    "d": pa.array(np.full(n, d)), "h": pa.array(np.full(n, h)), "lo": pa.array(np.full(n, lo)),
+                    "a": pa.array(np.arange(n)), "judged": pa.array(np.full(n, judged))})
     return run
 
 
@@ -201,18 +201,19 @@ def repeated_spans(source: DataFrame, kind: str, size: int, gram: int, judge: Ju
     groups = groups.where((F.col("n") > 1) & (F.lit(earlier) | (F.col("single") > 0))) \
         .select("g", (F.col("units") > group_units).alias("crowded"))
 
-    again = found.join(classes.where(more).select("g", "w", F.col("one")["d"].alias("first")), ["g", "w"])
+    # Equal contexts share their verdict: one place a class is judged, whatever the number of its places.
+    judged = classes.select("g", "one.*", "wide", (F.lit(True) if earlier else ~more).alias("judged")) \
+        .select("g", "d", "h", "lo", (F.col("lo") + F.col("wide")).alias("hi"), "judged")
     if earlier:
-        again = again.where(F.col("d") > F.col("first"))
-    covered = again.select("d", "h", F.col("lo").alias("a"), (F.col("hi") + size).alias("b"))
-
-    if earlier:
-        judged = found.join(classes.select("g", "w", F.col("one")["d"].alias("first")), ["g", "w"]) \
-            .where(F.col("d") == F.col("first")).select("g", "d", "h", "lo", "hi", F.lit(True).alias("judged"))
+        again = found.join(classes.where("one <> two").select("g", "w", "one"), ["g", "w"]).where(place != F.col("one"))
+        again = materialize(again.select("d", "h", "lo", "hi", "one"), "again")
+        covered = again.where(F.col("d") > F.col("one")["d"])
+        alike = again.where(F.col("d") == F.col("one")["d"]).select("d", "h", "lo", "one")
     else:
-        judged = classes.select("g", "one.*", "wide", (~more).alias("judged")) \
-            .select("g", "d", "h", "lo", (F.col("lo") + F.col("wide")).alias("hi"), "judged")
-    lists = judged.distinct().join(groups, "g").groupBy("d", "h").agg(
+        covered = found.join(classes.where(more).select("g", "w"), ["g", "w"])
+    covered = covered.select("d", "h", F.col("lo").alias("a"), (F.col("hi") + size).alias("b"))
+
+    lists = judged.join(groups, "g").groupBy("d", "h").agg(
         F.collect_list(F.struct("g", "lo", "hi", "judged", "crowded")).alias("places"))
     texts = source.join(lists, ["d", "h"]).select("d", "h", "t", "places")
     pieces = materialize(texts.mapInArrow(_extract(kind, size), "g bigint, d bigint, h bigint, lo bigint, "
@@ -220,19 +221,24 @@ def repeated_spans(source: DataFrame, kind: str, size: int, gram: int, judge: Ju
     columns = ["g", "d", "h", "lo", "judged", "units"]
     dtype = np.uint8 if kind == "bytes" else np.uint64
     small = pieces.where("not crowded").dropDuplicates(["g", "d", "h", "lo"]).select(*columns).repartition("g") \
-        .sortWithinPartitions("g").mapInArrow(_pieces(judge, dtype, size, CHUNK_UNITS), "d bigint, h bigint, a bigint, b bigint")
+        .sortWithinPartitions("g").mapInArrow(_pieces(judge, dtype, size, CHUNK_UNITS), "d bigint, h bigint, lo bigint, a bigint, b bigint")
     small = materialize(small, "spans")
 
     windows = pieces.where("crowded").select(*columns).mapInArrow(
-        _windows(kind, size), "f1 bigint, f2 bigint, d bigint, h bigint, a bigint, judged boolean")
-    at = F.struct("d", "h", "a")
+        _windows(kind, size), "f1 bigint, f2 bigint, d bigint, h bigint, lo bigint, a bigint, judged boolean")
+    at = F.struct("d", "h", (F.col("lo") + F.col("a")).alias("at"))
     known = windows.groupBy("f1", "f2").agg(F.min(at).alias("one"), F.max(at).alias("two"))
     known = known.where((F.col("one")["d"] < F.col("two")["d"]) if earlier else (F.col("one") != F.col("two")))
     hot = windows.where("judged").join(known.select("f1", "f2", F.col("one")["d"].alias("first")), ["f1", "f2"])
     if earlier:
         hot = hot.where(F.col("d") > F.col("first"))
-    hot = hot.select("d", "h", "a", (F.col("a") + size).alias("b"))
-    spans = covered.unionByName(small).unionByName(hot)
+    hot = hot.select("d", "h", "lo", "a", (F.col("a") + size).alias("b"))
+    within = small.unionByName(hot)
+    if earlier:
+        within = materialize(within, "within")
+        judged_at = within.select(F.struct("d", "h", "lo").alias("one"), "a", "b")
+        within = within.unionByName(alike.join(judged_at, "one").select("d", "h", "lo", "a", "b"))
+    spans = covered.unionByName(within.select("d", "h", (F.col("lo") + F.col("a")).alias("a"), (F.col("lo") + F.col("b")).alias("b")))
     return spans.groupBy("d", "h").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 

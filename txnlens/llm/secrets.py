@@ -47,22 +47,41 @@ def possible(text: Column, pattern: str) -> Column:
     return text.contains("AKIA") if pattern == ACCESS else F.lit(True)
 
 
+def running(values: Column, combine, zero: Column) -> Column:
+    """Running values of an associative ``combine`` over an array, the element itself included.
+
+    An array is copied when it is appended to, so n appends cost n squared. Here about sqrt(n) blocks of sqrt(n)
+    elements are walked each for itself, then the blocks' last values, and every block is shifted by those before it.
+    """
+    def walk(part: Column, begin: Column) -> Column:
+        start = F.struct(begin.alias("last"), F.filter(F.array(zero), lambda _: F.lit(False)).alias("out"))
+        return F.aggregate(part, start, lambda acc, x: let(combine(acc["last"], x), lambda v: F.struct(
+            v.alias("last"), F.concat(acc["out"], F.array(v)).alias("out"))))["out"]
+
+    def shifted(blocks: Column) -> Column:
+        ends = walk(F.transform(blocks, lambda b: F.element_at(b, -1)), zero)
+        before = F.concat(F.array(zero), ends)
+        return let(before, lambda own: F.flatten(F.transform(blocks, lambda b, i: F.transform(
+            b, lambda v: combine(F.get(own, i), v)))))
+
+    def parted(step: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(values), step)
+        return let(F.transform(starts, lambda at: walk(F.slice(values, at, step), zero)), shifted)
+    return F.when(F.size(values) > 0, let(F.ceil(F.sqrt(F.size(values))).cast("int"), parted)) \
+        .otherwise(F.filter(F.array(zero), lambda _: F.lit(False)))
+
+
 def matches(text: Column, pattern: str, accept=None) -> Column:
     """(start, end) of the leftmost matches without overlap. The text is split only if there is a match."""
     def place(found: Column) -> Column:
         gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
-        sizes = F.transform(found, lambda x: F.length(x))
-        steps = F.slice(F.zip_with(gaps, sizes, lambda g, s: F.struct(g.alias("g"), s.alias("s"))), 1, F.size(found))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-        walked = F.aggregate(steps, start, lambda acc, x: F.struct(
-            (acc["at"] + x["g"] + x["s"]).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + x["g"]).alias("start"),
-                                                  (acc["at"] + x["g"] + x["s"]).alias("end")))).alias("out")))["out"]
-        if accept is None:
-            return walked
-        good = F.filter(F.zip_with(walked, found, lambda w, m: F.struct(w.alias("w"), m.alias("m"))),
-                        lambda x: accept(x["m"]))
-        return F.transform(good, lambda x: x["w"])
+        steps = F.slice(F.zip_with(gaps, found, lambda g, m: g + F.length(m)), 1, F.size(found))
+        ends = let(steps, lambda own: running(own, lambda a, b: a + b, F.lit(0)))
+        walked = F.zip_with(ends, found, lambda e, m: F.struct(
+            F.struct((e - F.length(m)).alias("start"), e.alias("end")).alias("w"), m.alias("m")))
+        if accept is not None:
+            walked = F.filter(walked, lambda x: accept(x["m"]))
+        return F.transform(walked, lambda x: x["w"])
     none = F.array().cast("array<struct<start:int,end:int>>")
     all_of = F.when(possible(text, pattern), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array())
     return let(all_of, lambda found: F.when(F.size(found) > 0, place(found)).otherwise(none))
@@ -159,10 +178,27 @@ def scan(docs: DataFrame, model: list[float], *keys: str, text: str = "text") ->
         return found.select(*keys, base.alias("base")).withColumn("spans", F.col("base"))
     extra = ranked(matches(t, CANDIDATE, lambda m: ratio(m, table) >= LEAST_RATIO), 3)
     both = found.select(*keys, F.struct(base.alias("base"), extra.alias("extra")).alias("_both"))
-    new = F.filter(F.col("_both.extra"), lambda e: ~F.exists(
-        F.col("_both.base"), lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
-    return both.select(*keys, F.col("_both.base").alias("base"),
-                       F.sort_array(F.concat("_both.base", new)).alias("spans"))
+    return both.select(*keys, F.col("_both.base").alias("base"), F.when(
+        (F.size("_both.base") == 0) | (F.size("_both.extra") == 0), F.concat("_both.base", "_both.extra"))
+        .otherwise(let(F.sort_array(F.concat("_both.base", "_both.extra")), without_overlaps)).alias("spans"))
+
+
+def without_overlaps(spans: Column) -> Column:
+    """Sorted spans without those of the models that meet a base span.
+
+    A span meets an earlier one that ends behind its start, or a later one that starts before its end; so the greatest
+    end so far and the least start to come decide, and no span is held against every other one.
+    """
+    model = len(KINDS) - 1
+    far = F.lit(2**31 - 1)
+    ends = running(F.transform(spans, lambda s: F.when(s["kind"] < model, s["end"]).otherwise(0)), F.greatest, F.lit(0))
+    starts = F.reverse(running(F.transform(F.reverse(spans), lambda s: F.when(s["kind"] < model, s["start"]).otherwise(far)),
+                               F.least, far))
+    both = F.zip_with(F.zip_with(spans, ends, lambda s, e: F.struct(s.alias("s"), e.alias("e"))), starts,
+                      lambda x, a: F.struct(x["s"].alias("s"), x["e"].alias("e"), a.alias("a")))
+    kept = F.filter(both, lambda x: (x["s"]["kind"] < model) | (
+        (x["e"] <= x["s"]["start"]) & (x["a"] >= x["s"]["end"])))
+    return F.transform(kept, lambda x: x["s"])
 
 
 def named(spans: Column) -> Column:
@@ -178,17 +214,21 @@ def secret_report(docs: DataFrame, *keys: str, text: str = "text") -> DataFrame:
     return found.select(*keys, *[count(k) for k in range(len(KINDS))], "base", "spans")
 
 
-def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
-    """The rows with every span (overlapping ones joined) replaced by ``mark``; a text without spans is unchanged."""
-    model = train(labelled_samples(docs, text))
+def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", model: list[float] | None = None) -> DataFrame:
+    """The rows with every span (overlapping ones joined) replaced by ``mark``; a text without spans is unchanged.
+
+    ``model`` is the result of :func:`train`, by default of these rows.
+    """
+    model = train(labelled_samples(docs, text)) if model is None else model
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text).alias("_t"))
     found = scan(packed, model, "_row", "_t", text="_t")
-    empty = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    walked = F.aggregate("spans", empty, lambda acc, s: F.when(
-        s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(
-            acc["out"], F.substring(F.col("_t"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("out")))
-        .otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))))
-    clean = let(walked, lambda w: F.concat(w["out"], F.substring(F.col("_t"), w["at"] + 1, F.lit(2**31 - 1))))
+    # A span that starts before an earlier one's end goes on with it; the text between the others stays.
+    reach = running(F.transform("spans", lambda s: s["end"]), F.greatest, F.lit(0))
+    parts = let(F.concat(F.array(F.lit(0)), reach), lambda ends: F.transform(
+        F.filter(F.transform(F.col("spans"), lambda s, i: F.struct(F.get(ends, i).alias("a"), s["start"].alias("b"))),
+                 lambda x: x["a"] <= x["b"]), lambda x: F.substring(F.col("_t"), x["a"] + 1, x["b"] - x["a"])))
+    last = F.substring(F.col("_t"), F.array_max(F.transform("spans", lambda s: s["end"])) + 1, F.lit(2**31 - 1))
+    clean = F.array_join(F.concat(parts, F.array(last)), mark)
     value = F.when(F.size("spans") > 0, clean).otherwise(F.col("_t"))
     return found.select("_row", value.alias("_clean")).select(
         *[(F.col("_clean") if c == text else F.col("_row")[c]).alias(c) for c in docs.columns])
