@@ -3,15 +3,20 @@
 1. Every word of every document is replaced by its number among the benchmark's words and stored; the benchmark is
    taken in blocks of ``BLOCK_ITEMS`` items, so its words stay a table of bounded size.
 2. Passages of two neighbouring blocks of ``STEP`` words are TF-IDF rows over those words (document frequencies from all
-   passages). A randomised SVD of all rows is computed where they are: each task adds up its share of A'AQ, the shares
-   are summed by ranges of terms in two levels, and only terms x rank numbers reach the driver. The rarest words of
-   every item have weight however often they stand, so an item that leaked often, or a small table, has its cosine.
-3. Passages and items meet by an exact bound: a passage is a candidate if enough of the item's words stand around it for
-   ``LEAST_COMMON`` (first counted over the item's rarest words only, then over all). A confirmed passage always meets
-   the bound, whatever its cosine, so a search by cosine could add none to it. None is capped.
-4. A candidate is confirmed by the longest common subsequence of words with the item and with the item's answer (its
-   last sentence), so paraphrases that change some words are found and chance neighbours are not. Confirmed passages get
-   their cosine in the latent space, which chooses among rows with the same common words.
+   passages). A randomised SVD of all rows A is computed where they are: a first pass takes A'A times random columns, a
+   few more than the rank, and its orthonormal basis Q; a second one sums (AQ)'AQ, whose small decomposition gives the
+   singular values and turns Q to the right singular vectors. Each task adds up its share, shares are summed in two
+   levels, and only terms x rank numbers reach the driver. The rarest words of every item have weight however often
+   they stand, so an item that leaked often, or a small table, has its cosine.
+3. Every passage is compared with every item in the latent space. Those of ``LEAST_COSINE`` or more whose own words hold
+   ``LEAST_WEIGHT`` of the item's TF-IDF weight are candidates: items with clauses in another order, or with about half of
+   their words replaced.
+4. Literal and lightly edited items need no luck in the latent space: a passage is a candidate too if enough of the item's
+   words stand around it for ``LEAST_COMMON`` (first counted over the item's rarest words only, then over all). A passage
+   of that share always meets this bound. No candidate is capped.
+5. A candidate is confirmed by the longest common subsequence of words with the item and with the item's answer (its
+   last sentence): ``LEAST_COMMON`` for those of the bound, ``LEAST_PARAPHRASE`` for those of the cosine, whose words
+   already agree by weight. Cosines choose among rows with the same common words.
 
 Defined cases: null and empty texts leak nothing; null or empty items are never leaked; equal rows get equal results,
 rows with a null key are reported under the null key; an empty benchmark or corpus gives an empty result; other
@@ -39,6 +44,12 @@ MOST_SHARE = 0.005
 LEAST_COMMON = 0.6
 #: How many of an item's rarest words have to stand around a passage before all of them are counted.
 PROBES = 3
+#: Columns of the random start beyond the rank.
+OVERSAMPLE = 16
+#: What a passage needs to be a candidate by meaning, and the share of the item that then has to stand there in order.
+LEAST_COSINE = 0.4
+LEAST_WEIGHT = 0.4
+LEAST_PARAPHRASE = 0.35
 LEAST_ANSWER = 0.5
 #: Terms whose sums travel together.
 TERM_RANGE = 256
@@ -288,27 +299,102 @@ def gram_times(stored: DataFrame, weight: np.ndarray, basis: np.ndarray) -> np.n
                 "part": pa.array([start // TERM_RANGE], pa.int64()), "salt": pa.array([task], pa.int64()),
                 "sums": pa.array([total[start:start + TERM_RANGE].astype(np.float32).tobytes()], pa.binary())})
 
+    return _summed(stored, run, np.float32).reshape(n_terms, width).astype(float)
+
+
+def _summed(stored: DataFrame, run, dtype: type) -> np.ndarray:
+    """The sums of what ``run`` yields for each task as (part, salt, sums), in two levels, parts in order."""
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros(len(rows["sums"].iloc[0]) // 4)
+        out = np.zeros(len(rows["sums"].iloc[0]) // np.dtype(dtype).itemsize)
         for s in rows["sums"]:
-            out += np.frombuffer(s, np.float32)
-        return pd.DataFrame({"part": [rows["part"].iloc[0]], "salt": [0], "sums": [out.astype(np.float32).tobytes()]})
+            out += np.frombuffer(s, dtype)
+        return pd.DataFrame({"part": [rows["part"].iloc[0]], "salt": [0], "sums": [out.astype(dtype).tobytes()]})
     kind = "part bigint, salt bigint, sums binary"
     shares = stored.mapInArrow(run, kind)
     levels = max(1, int(stored.rdd.getNumPartitions()**0.5))
     shares = shares.withColumn("salt", F.col("salt") % levels).groupBy("part", "salt").applyInPandas(add, kind)
     got = shares.groupBy("part").applyInPandas(add, kind).toPandas().sort_values("part")
-    return np.concatenate([np.frombuffer(s, np.float32) for s in got["sums"]]).reshape(n_terms, width).astype(float)
+    return np.concatenate([np.frombuffer(s, dtype) for s in got["sums"]]) if len(got) else np.zeros(0, dtype)
+
+
+def row_gram(stored: DataFrame, weight: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """(AQ)'AQ for the TF-IDF rows A of all passages and a basis Q."""
+    width = basis.shape[1]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, width))
+        for batch in batches:
+            for _, texts in _texts(batch):
+                rows, scale, _ = Blocks(texts).passages(weight, basis)
+                rows = rows[scale > 0].astype(float)
+                total += rows.T @ rows
+        import pyspark
+        yield pa.RecordBatch.from_pydict({
+            "part": pa.array([0], pa.int64()), "salt": pa.array([pyspark.TaskContext.get().partitionId()], pa.int64()),
+            "sums": pa.array([total.tobytes()], pa.binary())})
+    got = _summed(stored, run, np.float64)
+    return (got if len(got) else np.zeros(width * width)).reshape(width, width)
 
-def latent_basis(stored: DataFrame, weight: np.ndarray, rank: int) -> np.ndarray:
-    """Terms x rank: an orthonormal basis of the leading latent space, from one pass with a power step.
 
-    A'A times random columns leans to the leading right singular vectors. Turning the basis to the single vectors would
-    change no cosine, so that pass is left out.
+def latent_basis(stored: DataFrame, weight: np.ndarray, rank: int) -> tuple[np.ndarray, np.ndarray]:
+    """(terms x rank right singular vectors, singular values) of all passages by a randomised SVD.
+
+    A'A times ``rank + OVERSAMPLE`` random columns spans nearly the leading space (that is a power pass); within it the
+    decomposition is that of the small matrix (AQ)'AQ. Directions that no passage has are left out.
     """
-    start = np.random.default_rng(11).standard_normal((len(weight), min(len(weight), rank)))
-    return np.linalg.qr(gram_times(stored, weight, start.astype(np.float32)))[0].astype(np.float32)
+    width = min(len(weight), rank + OVERSAMPLE)
+    start = np.random.default_rng(11).standard_normal((len(weight), width)).astype(np.float32)
+    q = np.linalg.qr(gram_times(stored, weight, start))[0].astype(np.float32)
+    square, turn = np.linalg.eigh(row_gram(stored, weight, q))
+    square, turn = square[::-1][:rank], turn[:, ::-1][:, :rank]
+    held = square > 1e-10 * max(float(square[0]), 1e-300)
+    held[0] = True
+    return (q @ turn[:, held]).astype(np.float32), np.sqrt(np.maximum(square[held], 0))
+
+
+class Nearby:
+    """Items near a passage in the latent space whose TF-IDF weight it holds in good part."""
+
+    def __init__(self, items: Items, weight: np.ndarray, basis: np.ndarray, slab: int):
+        own = Blocks(items.words)
+        rows = own.passages(weight, basis)[0]
+        whole = np.ones(own.n, bool)  # a long item's last block alone is a part of the row before it
+        whole[own.first[1:][np.diff(own.first) > 1] - 1] = False
+        self.vectors = _unit(rows[whole]).T
+        self.item = (np.searchsorted(own.first, np.arange(own.n), side="right") - 1)[whole]
+        words = [np.unique(w) for w in items.words]
+        self.n_terms, self.slab = len(weight), slab
+        self.padded = np.full((len(words), max(len(w) for w in words)), self.n_terms)
+        for i, w in enumerate(words):
+            self.padded[i, :len(w)] = w
+        self.weight = np.append(weight, 0.0)
+        self.total = np.maximum(self.weight[self.padded].sum(axis=1), 1e-12)
+
+    def pairs(self, blocks: Blocks, unit: np.ndarray, live: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows and items, by ranges of rows. ``unit``: latent rows of ``blocks``; ``live``: rows that have weight."""
+        edge = np.searchsorted(blocks.used_block, np.arange(blocks.n + 2))
+        place = np.full(blocks.n + 1, -1)
+        for start in range(0, len(live), self.slab):
+            x = live[start:start + self.slab]
+            near, column = np.nonzero(unit[x] @ self.vectors >= LEAST_COSINE)
+            if not len(near):
+                continue
+            pair = np.unique(near * len(self.padded) + self.item[column])
+            near, item = np.divmod(pair, len(self.padded))
+            place[x] = np.arange(len(x))
+            low, high = edge[x[0]], edge[min(x[-1] + 2, blocks.n + 1)]
+            block, term = blocks.used_block[low:high], blocks.used_term[low:high]
+            present = np.zeros((len(x), self.n_terms + 1), bool)
+            for at in (block, _previous(block, blocks.first, blocks.n)):
+                use = np.flatnonzero((at >= 0) & (place[at] >= 0))
+                present[place[at[use]], term[use]] = True
+            place[x] = -1
+            for k in range(0, len(near), 1 << 14):
+                i, j = near[k:k + (1 << 14)], item[k:k + (1 << 14)]
+                words = self.padded[j]
+                share = (present[i[:, None], words] * self.weight[words]).sum(axis=1) / self.total[j]
+                good = share >= LEAST_WEIGHT
+                yield x[i[good]], j[good]
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -322,9 +408,10 @@ def leaks_of(stored: DataFrame, items: Items, rank: int = RANK) -> DataFrame:
     bound = Bound(items, seen)
     common_term = (seen > max(1, MOST_SHARE * blocks)) & ~bound.probe
     weight = np.where(common_term, 0, np.log((blocks + 1) / (seen + 1)) + 1)
-    basis = latent_basis(stored, weight, rank)
+    basis, _ = latent_basis(stored, weight, rank)
     own = Blocks(items.words)
     latent = _unit(own.passages(weight, basis)[0])
+    nearby = Nearby(items, weight, basis, bound.slab)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -332,26 +419,31 @@ def leaks_of(stored: DataFrame, items: Items, rank: int = RANK) -> DataFrame:
             for start, texts in _texts(batch):
                 out: dict[tuple[int, int], tuple] = {}
                 part = Blocks(texts)
-                sure: dict[int, list[tuple]] = {}
-                for rows, near in bound.pairs(part):
+                rows_of, scale, _ = part.passages(weight, basis)
+                unit = _unit(rows_of)
+
+                def confirm(rows: np.ndarray, near: np.ndarray, least: float, known: set) -> None:
                     text_of = np.searchsorted(part.first, rows, side="right") - 1
                     for row, item, text in zip(rows.tolist(), near.tolist(), text_of.tolist()):
+                        if (text, item) in known:
+                            continue
                         n, m = len(items.words[item]), len(items.answers[item])
                         place = row - int(part.first[text])
                         a, b = max(0, place * STEP - n), min(len(texts[text]), (place + 2) * STEP + n)
                         around = texts[text][a:b].tolist()
                         common = common_length(items.masks[item], n, around) / n
-                        if common < LEAST_COMMON:
+                        if common < least:
                             continue
                         answer = common_length(items.answer_masks[item], m, around) / m if m else 1.0
                         if answer >= LEAST_ANSWER:
-                            sure.setdefault(text, []).append((place, item, common, answer, a, b))
-                for text, held in sure.items():
-                    rows = _unit(Blocks([texts[text]]).passages(weight, basis)[0])
-                    for place, item, common, answer, a, b in held:
-                        cosine = float((latent[own.first[item]:own.first[item + 1]] @ rows[place]).max())
-                        if (text, item) not in out or (common, cosine) > out[text, item][:2]:
-                            out[text, item] = (common, cosine, answer, a, b)
+                            cosine = float((latent[own.first[item]:own.first[item + 1]] @ unit[row]).max())
+                            if (text, item) not in out or (common, cosine) > out[text, item][:2]:
+                                out[text, item] = (common, cosine, answer, a, b)
+                for rows, near in bound.pairs(part):
+                    confirm(rows, near, LEAST_COMMON, set())
+                known = set(out)
+                for rows, near in nearby.pairs(part, unit, np.flatnonzero(scale > 0)):
+                    confirm(rows, near, LEAST_PARAPHRASE, known)
                 found = sorted(out.items())
                 yield pa.RecordBatch.from_pydict({
                     "d": pa.array([keys[start + t].as_py() for (t, _), _ in found], pa.int64()),
