@@ -7,7 +7,8 @@ from checks.ingest import text_time
 from checks.registry import query
 from txnlens.operators import ingest as ops
 from txnlens.plans import ingest as ingest_plan
-from txnlens.session import scratch_path
+from txnlens.session import materialize, scratch_path
+from txnlens.sources.bucketed_features import REFUSE, BucketedFeatures
 from txnlens.sources.feature_tables import FeatureTables
 from txnlens.sources.tables import TableCatalog, write_report
 from txnlens.sources.transactions import read_transactions_csv
@@ -133,3 +134,25 @@ def _(spark, sf):
     return V.rounded(found.select("column_name", "n_rows", "n_null", "min_value", "max_value", "mean", "std",
                                   F.when(text, F.col("top_value")).alias("top_value"),
                                   F.when(text, F.col("top_count")).alias("top_count")))
+
+
+@query("merge_feature_groups_bucketed", V.sql(f"""
+    select trans_num, strftime(datetime + case when is_fraud = 1 then interval 1 day else interval 0 day end,
+                               '%Y-%m-%d %H:%M:%S') as datetime,
+           age, case when is_fraud = 1 then round(amt * 2, 6) else round(amt, 6) end as amt, lat, long, city_pop,
+           merch_lat, merch_long, {TEXT}, is_fraud from ingested""", "ingested"))
+def _(spark, sf):
+    """Groups in tables bucketed by key: a second batch replaces rows, another one brings new keys only."""
+    store = BucketedFeatures(spark, scratch_path(spark, "bucketed"), buckets=16)
+    full = materialize(V.ingested(spark, sf), "ingested")
+    groups = ops.split_feature_groups(full)
+    newer = ops.split_feature_groups(full.where("is_fraud = 1").withColumns({
+        "datetime": F.expr("datetime + interval 1 day"), "amt": F.col("amt") * 2}))["numerical"]
+    store.write(groups["numerical"], "numerical_features")
+    store.write(newer, "numerical_features")
+    even = F.col("trans_num").cast("bigint") % 2 == 0
+    store.write(groups["categorical"].where(even), "categorical_features", repeats=REFUSE)
+    store.write(groups["categorical"].where(~even), "categorical_features", repeats=REFUSE)
+    store.write(groups["target"], "target_features")
+    merged = store.merge(["numerical_features", "categorical_features", "target_features"])
+    return V.rounded(text_time(merged), "amt")

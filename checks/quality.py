@@ -116,15 +116,16 @@ def _(spark, sf):
 
 @query("expect_distinct_in_set", V.sql(f"""
     select 0 as rule, 'gender' as column_name, true as success, '[]' as unexpected_value,
-           cast(to_json(list_sort(list(distinct gender))) as varchar) as observed_value from txn
+           cast(to_json(list_sort(list(distinct gender))) as varchar) as observed_value, true as listed_all from txn
     union all
     select 1, 'state', bool_and(state in ({STATE_LIST})),
            cast(to_json(list_sort(list(distinct state) filter (state not in ({STATE_LIST})))) as varchar),
-           cast(to_json(list_sort(list(distinct state))) as varchar) from txn""", "txn"))
+           cast(to_json(list_sort(list(distinct state))) as varchar),
+           count(distinct state) filter (state not in ({STATE_LIST})) <= 1000 from txn""", "txn"))
 def _(spark, sf):
     rules = [Rule(Q.DISTINCT_IN_SET, "gender", values=GENDERS), Rule(Q.DISTINCT_IN_SET, "state", values=STATES)]
     return Q.run_suite(V.txn(spark, sf), rules).select("rule", "column_name", "success", "unexpected_value",
-                                                       "observed_value")
+                                                       "observed_value", "listed_all")
 
 
 @query("expect_regex", V.sql(report_sql([

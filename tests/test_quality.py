@@ -53,6 +53,9 @@ def test_many_unexpected_values_are_not_cut_short(spark):
     got = by_rule(Q.run_suite(df, [rule]))[0]
     assert not got["success"] and got["unexpected_count"] == Q.LISTED_VALUES + 4
     assert len(json.loads(got["unexpected_value"])) == Q.LISTED_VALUES
+    assert got["listed_all"] is False
+    few = Q.run_suite(df.limit(20), [rule]).first()
+    assert few["listed_all"] is True
     assert Q.observed_values(df, rule).count() == Q.LISTED_VALUES + 5
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from txnlens.functions.dates import age_by_year, age_in_years, lenient_timestamp
@@ -85,15 +85,27 @@ def split_feature_groups(df: DataFrame, target: str = TARGET, key: str = KEY,
     }
 
 
+SPREAD = "_spread"
+
+
 def merge_feature_groups(groups: list[DataFrame], on=(KEY,)) -> DataFrame:
-    """Left joins on the key; a column both sides have is taken from the left."""
+    """Left joins on the key; a column both sides have is taken from the left.
+
+    Rows whose key has a null find no partner; they are spread by a second join key that is 0 for all others.
+    """
     on = list(on)
 
     def join(left: DataFrame, right: DataFrame) -> DataFrame:
         shared = [c for c in right.columns if c in left.columns and c not in on]
-        return left.join(right.drop(*shared), on, "left")
-
-    return reduce(join, groups)
+        # always 0, but not a constant to the optimizer, which would take it out of the join keys
+        home = F.pmod(F.xxhash64(*on), F.lit(1))
+        return left.join(right.drop(*shared).withColumn(SPREAD, home), [*on, SPREAD], "left")
+
+    if len(groups) == 1:
+        return groups[0]
+    no_partner = reduce(Column.__or__, [F.col(c).isNull() for c in on])
+    spread = F.when(no_partner, F.monotonically_increasing_id()).otherwise(F.lit(0)).cast("bigint")
+    return reduce(join, [groups[0].withColumn(SPREAD, spread), *groups[1:]]).drop(SPREAD)
 
 
 def merge_configured_groups(config: dict, read, on=(KEY, EVENT_TIME)) -> DataFrame:

@@ -33,7 +33,7 @@ SCANNED = (NOT_NULL, BETWEEN, IN_SET, REGEX, STRFTIME)
 LISTED_VALUES = 1000
 REPORT_SCHEMA = """rule int, expectation string, column_name string, success boolean, element_count bigint,
     unexpected_count bigint, unexpected_percent double, min_value double, max_value double, value_set string,
-    unexpected_value string, observed_value string"""
+    unexpected_value string, observed_value string, listed_all boolean"""
 
 # Type names used in rules and the table types they stand for.
 _TYPE_NAMES = {
@@ -98,7 +98,7 @@ def _value_set(rule: Rule) -> Column:
 
 
 def _row(i: int, rule: Rule, *, success, elements=None, unexpected=None, percent=None, bad_values=None,
-         observed=None) -> list[Column]:
+         observed=None, listed_all=None) -> list[Column]:
     def typed(value, kind):
         return (value if isinstance(value, Column) else F.lit(value)).cast(kind)
 
@@ -109,6 +109,7 @@ def _row(i: int, rule: Rule, *, success, elements=None, unexpected=None, percent
         typed(percent, "double").alias("unexpected_percent"), typed(rule.low, "double").alias("min_value"),
         typed(rule.high, "double").alias("max_value"), _value_set(rule).alias("value_set"),
         typed(bad_values, "string").alias("unexpected_value"), typed(observed, "string").alias("observed_value"),
+        typed(listed_all, "boolean").alias("listed_all"),
     ]
 
 
@@ -161,7 +162,8 @@ def observed_values(df: DataFrame, rule: Rule) -> DataFrame:
 def _distinct_report(df: DataFrame, i: int, rule: Rule) -> DataFrame:
     """Exact number of unexpected values; the lists show the first LISTED_VALUES of each kind in order.
 
-    :func:`observed_values` has them all. The values are grouped once and stored.
+    ``listed_all`` tells whether that is all of them; :func:`observed_values` has every one. The values are grouped once
+    and stored.
     """
     seen = materialize(observed_values(df, rule), "observed")
     stats = seen.agg(F.lit(i).alias("i"), F.count_if(~F.col("allowed")).alias("bad"))
@@ -172,7 +174,7 @@ def _distinct_report(df: DataFrame, i: int, rule: Rule) -> DataFrame:
     one = stats.join(good, "i").join(other, "i")
     return one.select(*_row(
         i, rule, success=F.col("bad") == 0, unexpected=F.col("bad"), bad_values=F.to_json(F.array_sort("other")),
-        observed=F.to_json(F.array_sort(F.concat("good", "other")))))
+        observed=F.to_json(F.array_sort(F.concat("good", "other"))), listed_all=F.col("bad") <= LISTED_VALUES))
 
 
 def check_columns(df: DataFrame, expected) -> tuple[list[str], list[str]]:
@@ -205,7 +207,7 @@ def expect_schema(df: DataFrame, rules: list[Rule], numbers: list[int] | None =
         else:
             success = r.column in df.columns and _type_name(df.schema[r.column].dataType) == r.type_name
             observed = _type_name(df.schema[r.column].dataType) if r.column in df.columns else None
-        found.append((i, r.expectation, r.column, success, None, None, None, None, None, value_set, wrong, observed))
+        found.append((i, r.expectation, r.column, success, None, None, None, None, None, value_set, wrong, observed, None))
     return spark.createDataFrame(found, REPORT_SCHEMA)
 
 
@@ -228,7 +230,7 @@ def run_suite(df: DataFrame, rules: list[Rule], strict: bool = False, key: str =
     if by_schema:
         parts.append(expect_schema(df, [r for _, r in by_schema], [i for i, _ in by_schema]))
     if absent:
-        rows = [(i, r.expectation, r.column, False) + (None,) * 8 for i, r in absent]
+        rows = [(i, r.expectation, r.column, False) + (None,) * 9 for i, r in absent]
         parts.append(df.sparkSession.createDataFrame(rows, REPORT_SCHEMA))
     scanned = [(i, r) for i, r in rest if r.expectation in SCANNED]
     if scanned:
