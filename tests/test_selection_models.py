@@ -153,3 +153,21 @@ def test_training_plan(data, tmp_path):
     assert result.decision.first()["replace"] and result.final.test["macro_f1"] > 0.9
     chosen = {r["feature"] for r in result.selected.where("selected").collect()}
     assert set(scoring.model_columns(result.final.model)) == chosen
+
+
+def test_trials_of_one_learner_are_fitted_once(data, monkeypatch):
+    _, _, df = data
+    fitted = []
+
+    def fit(frame, columns, name, params, *rest):
+        fitted.append((params["max_depth"], max(params["min_samples_leaf"], -(-params["min_samples_split"] // 2))))
+        return fitted[-1]
+
+    monkeypatch.setattr(M, "fit_model", fit)
+    monkeypatch.setattr(M, "evaluate", lambda model, *rest: {"macro_f1": 1.0 / sum(model)})
+    space = {"max_depth": ("int", 3, 4), "min_samples_split": ("int", 2, 4), "min_samples_leaf": ("int", 1, 2)}
+    trials = M.tune_model(df, df, NAMES, "DecisionTreeClassifier", 12, space=space)
+    assert len(trials) == 12 and len(fitted) - 1 == len(set(fitted)) <= 4  # and the best one again
+    for t in trials:
+        leaf = max(t.params["min_samples_leaf"], -(-t.params["min_samples_split"] // 2))
+        assert t.test["macro_f1"] == 1.0 / (t.params["max_depth"] + leaf)
