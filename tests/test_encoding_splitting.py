@@ -131,3 +131,9 @@ def test_train_test_refuses_nulls(spark):
         S.train_test_xy(df.withColumn("datetime", F.lit("t")))
     train, test, columns = S.train_test_xy(df.na.fill(0.0).withColumn("datetime", F.lit("t")), 0.5)
     assert columns == ["x"] and train.count() + test.count() == 2
+
+
+def test_preprocessing_reads_its_input_once(spark, sf_dir, tmp_path):
+    V.ref_txn(spark, sf_dir).write.parquet(str(tmp_path / "source"))
+    rows, _fitted = P.fit(spark.read.parquet(str(tmp_path / "source")), rare_share=0.04)
+    assert rows.inputFiles() and not [f for f in rows.inputFiles() if str(tmp_path) in f]
