@@ -22,12 +22,13 @@ def events_stream(spark, sf):
 
 @query("stream_score")
 def _(spark, sf):
-    ready, fitted = preprocess.fit(V.ref_txn(spark, sf), rare_share=0.04)
+    rows, fitted = preprocess.fit(V.ref_txn(spark, sf), rare_share=0.04)
+    ready = materialize(rows, "ready")  # counted and fitted
     model = M.fit_model(ready, preprocess.model_columns(fitted), "LogisticRegression", {"C": 1.0})
     folder, out = scratch_path(spark, "arrivals"), scratch_path(spark, "scored")
     V.late_txn(spark, sf).write.parquet(folder)
-    rows = file_stream(spark, folder, V.late_txn(spark, sf).schema)
-    jobs.stream_score(rows, fitted, model, out, scratch_path(spark, "progress")).awaitTermination()
+    late = file_stream(spark, folder, V.late_txn(spark, sf).schema)
+    jobs.stream_score(late, fitted, model, out, scratch_path(spark, "progress")).awaitTermination()
     return spark.read.parquet(out).select("trans_num", "is_fraud", "y_pred")
 
 
