@@ -46,7 +46,7 @@ def _(spark, sf):
     select 'categorical', count(*) from ingested union all select 'target', count(*) from ingested""", "ingested"))
 def _(spark, sf):
     store = FeatureTables(spark, scratch_path(spark, "features"))
-    groups = ingest_plan.checked_groups(V.ingested(spark, sf))
+    groups = ingest_plan.checked_groups(materialize(V.ingested(spark, sf), "ingested"))
     config = {name: {"name": f"{name}_features", "version": 1} for name in groups}
     store.write_all(groups, config)
     parts = [store.read(c["name"]).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"))
@@ -63,7 +63,7 @@ def _(spark, sf):
 def _(spark, sf):
     # a second batch brings newer rows for all fraudulent transactions
     store = FeatureTables(spark, scratch_path(spark, "features"))
-    full = V.ingested(spark, sf)
+    full = materialize(V.ingested(spark, sf), "ingested")
     numeric = ops.split_feature_groups(full)["numerical"]
     newer = ops.split_feature_groups(full.where("is_fraud = 1").withColumns({
         "datetime": F.expr("datetime + interval 1 day"), "amt": F.col("amt") * 2}))["numerical"]
@@ -80,7 +80,7 @@ def _(spark, sf):
     group by c""", "ingested"))
 def _(spark, sf):
     store = FeatureTables(spark, scratch_path(spark, "features"))
-    store.write(ops.split_feature_groups(V.ingested(spark, sf))["numerical"], "numerical_features")
+    store.write(ops.split_feature_groups(materialize(V.ingested(spark, sf), "ingested"))["numerical"], "numerical_features")
     profile = store.statistics("numerical_features")["profile"]
     kept = profile.where("column_name <> 'trans_num'").select(
         "column_name", "n_rows", "n_null", "min_value", "max_value", "mean", "median")
