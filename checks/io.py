@@ -105,7 +105,7 @@ def _(spark, sf):
     select trans_num, {DT}, {NUMERIC}, {TEXT} from ingested""", "ingested"))
 def _(spark, sf):
     store = FeatureTables(spark, scratch_path(spark, "features"))
-    groups = ops.split_feature_groups(V.ingested(spark, sf))
+    groups = ops.split_feature_groups(materialize(V.ingested(spark, sf), "ingested"))
     config = {"upload_features": False,
               "numerical": {"name": "preprocessed_numerical_features", "version": 1},
               "categorical": {"name": "preprocessed_categorical_features", "version": 1}}
