@@ -204,14 +204,15 @@ def _(spark, sf):
 def _(spark, sf):
     """Each row's contributions and the base add up to its score."""
     rows, fitted = ready(spark, sf)
+    columns = preprocess.model_columns(fitted)
     out = []
     for name, params in TREES.items():
-        model = M.fit_model(rows, preprocess.model_columns(fitted), name, params)
+        model = M.fit_model(rows, columns, name, params)
         column = "rawPrediction" if name == "GradientBoostingClassifier" else "probability"
-        scored = model.transform(rows).select("trans_num", vector_to_array(column)[1].alias("score"))
-        told = attribution.explain_rows(rows, model, "trans_num")
+        scored = model.transform(rows).select(vector_to_array(column)[1].alias("score"), *columns)
+        told = attribution.explain_rows(scored, model, "score")  # the score travels with its row
         sums = F.col("base") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
-        both = scored.join(told, "trans_num").select((F.abs(sums - F.col("score")) > 1e-9).alias("off"))
+        both = told.select((F.abs(sums - F.col("score")) > 1e-9).alias("off"))
         out.append(both.agg(F.lit(name).alias("learner"), F.count("*").alias("n_rows"), F.count_if("off").alias("n_off")))
     return out[0].unionByName(out[1]).unionByName(out[2])
 

@@ -75,3 +75,18 @@ def test_linear_models_and_single_leaves(spark, rows):
     assert {tuple(r["contributions"]) for r in got} == {(0.0,)}
     with pytest.raises(ValueError, match="no tree attribution"):
         A.explain_rows(rows, model)
+
+
+@pytest.mark.parametrize("depth", [1, 5, 8])
+def test_listed_patterns_give_the_values_of_single_rows(monkeypatch, depth):
+    rng = np.random.default_rng(depth)
+    feature = np.array([rng.permutation(12)[:depth] for _ in range(70)])
+    low = rng.normal(-0.5, 0.5, feature.shape)
+    paths = [A.Paths(feature, low, low + rng.uniform(0.5, 2, feature.shape), rng.uniform(0, 1, feature.shape),
+                               rng.normal(size=70))]
+    x = rng.normal(size=(700, 12))
+    calls, parts = [], A._parts
+    monkeypatch.setattr(A, "_parts", lambda inside, *a: calls.append(len(inside)) or parts(inside, *a))
+    many = A.shapley(x, paths, 12)
+    assert set(calls) == {1 << depth}  # each pattern once, however many rows
+    assert np.array_equal(many, np.concatenate([A.shapley(x[i:i + 1], paths, 12) for i in range(700)]))

@@ -28,6 +28,8 @@ from txnlens.session import scratch_path
 MOST_ENTRIES = 4_000_000
 _ROWS = 256
 _CELLS = 400_000
+#: Longest paths whose patterns are all listed.
+_LISTED_DEPTH = 8
 
 
 @dataclass
@@ -99,32 +101,46 @@ def paths_of(nodes: DataFrame, scale: float = 1.0) -> tuple[float, list[Paths]]:
     return base, out
 
 
+def _parts(inside: np.ndarray, share: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """What each leaf adds to the value of each feature of its path, by row; ``inside`` says which intervals hold the row."""
+    depth = share.shape[1]
+    points, weights = np.polynomial.legendre.leggauss((depth + 1) // 2)  # exact for the path's polynomial
+    total = np.zeros_like(inside)
+    for t, w in zip((points + 1) / 2, weights / 2):
+        factor = share * (1 - t) + inside * t
+        before = np.ones_like(factor)
+        before[:, :, 1:] = np.cumprod(factor[:, :, :-1], axis=2)
+        after = np.ones_like(factor)
+        after[:, :, :-1] = np.cumprod(factor[:, :, :0:-1], axis=2)[:, :, ::-1]
+        total += w * before * after
+    return total * (inside - share) * value[:, None]
+
+
 def shapley(x: np.ndarray, paths: list[Paths], features: int) -> np.ndarray:
-    """Values by row and feature."""
+    """Values by row and feature.
+
+    What a leaf adds depends only on which of its path's intervals hold the row, so with more rows than such patterns it is
+    worked out once a pattern and looked up for the rows.
+    """
     out = np.zeros((len(x), features))
     for p in paths:
         depth = p.feature.shape[1]
-        points, weights = np.polynomial.legendre.leggauss((depth + 1) // 2)  # exact for the path's polynomial
-        points, weights = (points + 1) / 2, weights / 2
+        listed = depth <= _LISTED_DEPTH and 1 << depth < len(x)
         block = max(1, _CELLS // (_ROWS * depth))
         for a in range(0, len(p.value), block):
-            feature, share = p.feature[a:a + block], p.share[a:a + block]
+            feature, share, value = p.feature[a:a + block], p.share[a:a + block], p.value[a:a + block]
             flat = feature.ravel()
             order = np.argsort(flat, kind="stable")
             begin = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0))
+            if listed:
+                bits = 1 << np.arange(depth)
+                patterns = (np.arange(1 << depth)[:, None] & bits > 0).astype(float)
+                table = _parts(np.repeat(patterns[:, None], len(value), axis=1), share, value)
             for r in range(0, len(x), _ROWS):
                 own = x[r:r + _ROWS][:, feature]
-                inside = ((own > p.low[a:a + block]) & (own <= p.high[a:a + block])).astype(float)
-                total = np.zeros_like(inside)
-                for t, w in zip(points, weights):
-                    factor = share * (1 - t) + inside * t
-                    before = np.ones_like(factor)
-                    before[:, :, 1:] = np.cumprod(factor[:, :, :-1], axis=2)
-                    after = np.ones_like(factor)
-                    after[:, :, :-1] = np.cumprod(factor[:, :, :0:-1], axis=2)[:, :, ::-1]
-                    total += w * before * after
-                part = (total * (inside - share) * p.value[a:a + block, None]).reshape(len(own), -1)[:, order]
-                out[r:r + _ROWS, flat[order][begin]] += np.add.reduceat(part, begin, axis=1)
+                inside = (own > p.low[a:a + block]) & (own <= p.high[a:a + block])
+                part = table[inside @ bits, np.arange(len(value))] if listed else _parts(inside.astype(float), share, value)
+                out[r:r + _ROWS, flat[order][begin]] += np.add.reduceat(part.reshape(len(own), -1)[:, order], begin, axis=1)
     return out
 
 
