@@ -66,6 +66,29 @@ def test_many_rows_are_ranked_on_binned_blocks(spark, monkeypatch):
     assert [(r["feature"], r["position"]) for r in left] == [("c1", 1), ("c4", 4)]
 
 
+def test_selection_bins_its_rows_once(spark, monkeypatch):
+    rows, columns = labelled(spark)
+    monkeypatch.setattr(selection, "BINNED_ROWS", 1)
+    monkeypatch.setattr(B, "_BLOCK_ROWS", 256)
+    binned, bins, grown, grow = [], selection.bin_rows, [], selection.importances
+
+    def counted(*args):
+        binned.append(args)
+        return bins(*args)
+
+    def forest(data, kept, *args):
+        grown.append(tuple(kept))
+        return grow(data, kept, *args)
+
+    monkeypatch.setattr(selection, "bin_rows", counted)
+    monkeypatch.setattr(selection, "importances", forest)
+    got = selection.select_features(rows, columns, k_best=2, n_features=2, top_n=2, trees=10).collect()
+    assert len(binned) == 1 and [len(k) for k in grown] == [6, 5, 4, 3]  # the forest over all columns serves both
+    importance = {r["feature"]: r["importance"] for r in selection.rf_importance(rows, columns, trees=10).collect()}
+    left = {r["feature"] for r in selection.rfe(rows, columns, 2, trees=10).collect()}
+    assert {r["feature"]: r["importance"] for r in got} == importance and {r["feature"] for r in got if r["in_rfe"]} == left
+
+
 def test_blocks_hold_every_row_once(spark, monkeypatch):
     rows, columns = labelled(spark)
     monkeypatch.setattr(B, "_BLOCK_ROWS", 256)

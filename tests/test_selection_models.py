@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from txnlens.operators import metrics, modelling as M, scoring, selection as S
 from txnlens.operators.search import ParzenSearch
+from txnlens.operators.splitting import train_test_xy
 from txnlens.plans import training
 
 NAMES = ["age", "balance", "calls", "delay", "echo"]
@@ -171,3 +172,44 @@ def test_trials_of_one_learner_are_fitted_once(data, monkeypatch):
     for t in trials:
         leaf = max(t.params["min_samples_leaf"], -(-t.params["min_samples_split"] // 2))
         assert t.test["macro_f1"] == 1.0 / (t.params["max_depth"] + leaf)
+
+
+def test_training_plan_fits_and_caches_once(data, tmp_path, monkeypatch):
+    _, _, df = data
+    fitted, cached = [], []
+    fit, persist = M.fit_model, type(df).persist
+
+    def counted(frame, columns, name, params=None, *rest, **named):
+        fitted.append((name, tuple(columns), str(params)))
+        return fit(frame, columns, name, params, *rest, **named)
+
+    def seen(frame, level):
+        cached.append(frame.columns)
+        return persist(frame, level)
+
+    monkeypatch.setattr(M, "fit_model", counted)
+    monkeypatch.setattr(type(df), "persist", seen)
+    path = str(tmp_path / "champion")
+    result = training.train(df, path, n_trials=3, trees=5, models=("LogisticRegression",))
+    assert len(fitted) == len(set(fitted)) == 4  # a baseline and three trials, none of them twice
+    columns = scoring.model_columns(result.final.model)
+    # the selection's rows and vectors, then train and test rows for comparison and search together
+    assert cached == [["is_fraud", *NAMES], ["is_fraud", "features"], *[["is_fraud", *columns]] * 2]
+    monkeypatch.undo()
+    train, test, _ = train_test_xy(df)
+    again = M.tune_model(train, test, columns, "LogisticRegression", 3)[0]
+    final = M.train_final(train, test, columns, again.name, again.params)
+    for trial in (again, final):
+        assert (trial.params, trial.test) == (result.final.params, result.final.test)
+        assert trial.train == result.final.train
+        assert trial.model.stages[-1].coefficients == result.final.model.stages[-1].coefficients
+    assert [f.storageLevel.useMemory for f in (train.select("is_fraud", *columns), test.select("is_fraud", *columns))] == [False] * 2
+
+
+def test_caller_keeps_its_cache(data):
+    _, _, df = data
+    with M.cached_parts((df,), NAMES) as (outer,):
+        with M.cached_parts((df,), NAMES) as (inner,):
+            assert inner.storageLevel.useMemory
+        assert outer.storageLevel.useMemory
+    assert not outer.storageLevel.useMemory
