@@ -44,3 +44,14 @@ def test_a_key_hot_only_in_new_rows_is_split(spark, rows, lookup):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # four partitions: without the split one would have half of all rows and more
     assert sum(sizes) == 8000 and max(sizes) < 0.35 * 8000
+
+
+@pytest.mark.parametrize("share", [None, "share"])
+def test_a_stream_is_joined_with_a_lookup_too_large_to_broadcast(spark, rows, lookup, tmp_path, share):
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    joined = join_lookup(stream, lookup, "k", "key", rows=501, share=share, broadcast_rows=0).select("id", "k", "v")
+    joined.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start().awaitTermination()
+    want = rows.join(lookup, F.col("k") == F.col("key"), "left").select("id", "k", "v")
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(map(tuple, want.collect()))
