@@ -213,3 +213,25 @@ def test_caller_keeps_its_cache(data):
             assert inner.storageLevel.useMemory
         assert outer.storageLevel.useMemory
     assert not outer.storageLevel.useMemory
+
+
+def test_the_registered_training_run_leaves_nothing_out(spark, monkeypatch):
+    from inspect import signature
+
+    from checks import models as registered
+    from checks.registry import QUERIES
+
+    asked = {}
+
+    def train(*args, **named):
+        bound = whole.bind(*args, **named)
+        bound.apply_defaults()
+        asked.update(bound.arguments)
+        return training.TrainingResult(None, None, None, "decision")
+
+    whole = signature(training.train)
+    monkeypatch.setattr(registered, "ready", lambda *_: ("rows", None))
+    monkeypatch.setattr(training, "train", train)
+    assert QUERIES["training_run"](spark, "") == "decision"
+    assert (asked["ready"], asked["n_trials"], asked["trees"], asked["models"]) == ("rows", 30, 100, M.MODELS)
+    assert len(M.MODELS) == 6 and not asked["drifted"]
